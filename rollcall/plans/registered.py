@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.operators import history as H
+from rollcall.operators import marts as M
 from rollcall.plans import derived as D
 
 
@@ -21,3 +22,79 @@ def scd2_event_presence(spark: SparkSession, sf: str) -> DataFrame:
 REGISTRY = {
     "scd2_event_presence": scd2_event_presence,
 }
+
+
+def orders_monthly(spark: SparkSession, sf: str) -> DataFrame:
+    o = D.table(spark, sf, "orders")
+    return o.select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                    F.trunc("o_orderdate", "month").alias("snapshot_date"))
+
+
+ORDER_ATTRS = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+
+
+def scd2_order_presence(spark, sf):
+    return H.scd2_presence(orders_monthly(spark, sf), "o_custkey", "snapshot_date",
+                           ORDER_ATTRS, order_by=["o_orderdate", "o_orderkey"])
+
+
+def events_with_customer(spark, sf):
+    daily = D.events_daily(spark, sf)
+    cust = D.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment", "c_nationkey",
+        (F.col("c_acctbal") > 0).alias("has_credit"))
+    return daily.join(cust, "user_id", "left")
+
+
+def current_entities(spark, sf):
+    panel = events_with_customer(spark, sf)
+    hist = H.scd2_presence(panel, "user_id", "snapshot_date",
+                           ["c_name", "c_mktsegment", "has_credit"])
+    return H.current_view(hist, key="user_id", flag_col="has_credit")
+
+
+def movements_daily(spark, sf):
+    daily = D.events_daily(spark, sf)
+    cal = H.calendar(daily)
+    hist = H.scd2_presence(daily, "user_id", "snapshot_date", [], cal=cal)
+    return H.movements(hist, cal)
+
+
+def movements_monthly(spark, sf):
+    panel = orders_monthly(spark, sf)
+    cal = H.calendar(panel)
+    hist = H.scd2_presence(panel, "o_custkey", "snapshot_date", [], cal=cal)
+    return H.movements(hist, cal)
+
+
+def typed_daily(spark, sf):
+    daily = D.events_daily(spark, sf)
+    return daily.withColumn(
+        "entity_type",
+        F.when(F.col("user_id") % 5 == 0, F.lit("NATIONAL")).otherwise(F.lit("LOCAL")))
+
+
+def snapshot_summary(spark, sf):
+    return M.summary(typed_daily(spark, sf))
+
+
+def panel_detail(spark, sf):
+    p = events_with_customer(spark, sf).select(
+        "user_id", "c_name", "snapshot_date",
+        F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("region_code"))
+    return M.panel(p, D.geo_lookup(spark, sf))
+
+
+def calendar_index(spark, sf):
+    return H.calendar(orders_monthly(spark, sf)).select("snapshot_date", "period")
+
+
+REGISTRY.update({
+    "scd2_order_presence": scd2_order_presence,
+    "current_entities": current_entities,
+    "movements_daily": movements_daily,
+    "movements_monthly": movements_monthly,
+    "snapshot_summary": snapshot_summary,
+    "panel_detail": panel_detail,
+    "calendar_index": calendar_index,
+})
