@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from rollcall.operators import history as H
 from rollcall.operators import marts as M
+from rollcall.functions import names as N
+from rollcall.plans import ingest as I
+from rollcall.sources import raw_store as R
 from rollcall.plans import derived as D
 
 
@@ -98,3 +101,41 @@ REGISTRY.update({
     "panel_detail": panel_detail,
     "calendar_index": calendar_index,
 })
+
+
+def valid_names(spark, sf):
+    return D.file_names(spark, sf).select(
+        "file_name", N.is_valid_name("file_name", D.NAME_PATTERN).alias("is_valid"))
+
+
+def dates_from_names(spark, sf):
+    return D.file_names(spark, sf).select(
+        "file_name", N.snapshot_date_of("file_name").alias("snapshot_date"))
+
+
+def canonical_labels(spark, sf):
+    return D.file_names(spark, sf).select(
+        "file_name", N.canonical_label(N.snapshot_date_of("file_name"), D.LABEL_PREFIX).alias("label"))
+
+
+def ingest_plan(spark, sf):
+    loaded = D.table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("snapshot_date"))
+    return I.plan_ingest(D.file_names(spark, sf), loaded, ext=".csv")
+
+
+CUT_DATE = "2024-01-16"
+
+
+def load_new_snapshots(spark, sf):
+    daily = D.events_daily(spark, sf)
+    store = daily.where(F.col("snapshot_date") < F.lit(CUT_DATE).cast("date"))
+    return R.load_new(daily, R.loaded_dates_of(store))
+
+
+REGISTRY.update({
+    "valid_names": valid_names,
+    "dates_from_names": dates_from_names,
+    "canonical_labels": canonical_labels,
+    "ingest_plan": ingest_plan,
+    "load_new_snapshots": load_new_snapshots,
+})
