@@ -74,8 +74,9 @@ def norm_distance(a, b) -> Column:
     """
     a, b = _c(a), _c(b)
     longest = F.greatest(F.length(a), F.length(b))
-    return F.when(longest == 0, F.lit(0.0)) \
-        .otherwise(F.levenshtein(a, b).cast("double") / longest.cast("double"))
+    return (F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
+            .when(longest == 0, F.lit(0.0))
+            .otherwise(F.levenshtein(a, b).cast("double") / longest.cast("double")))
 
 
 def within_distance(a, b, threshold: float) -> Column:
@@ -86,10 +87,13 @@ def within_distance(a, b, threshold: float) -> Column:
     """
     a, b = _c(a), _c(b)
     longest = F.greatest(F.length(a), F.length(b))
-    k = F.floor(F.lit(float(threshold)) * longest).cast("int")
+    # ``+ 1e-9`` keeps products such as 0.2 * 15 from flooring one too low;
+    # the exact ratio test below still decides.
+    k = F.floor(F.lit(float(threshold)) * longest + F.lit(1e-9)).cast("int")
     lev = F.call_function("levenshtein", a, b, k)
-    return F.when(longest == 0, F.lit(True)).otherwise(
-        (lev >= 0) & (lev.cast("double") / longest.cast("double") <= threshold))
+    return (F.when(a.isNull() | b.isNull(), F.lit(None).cast("boolean"))
+            .when(longest == 0, F.lit(True)).otherwise(
+        (lev >= 0) & (lev.cast("double") / longest.cast("double") <= threshold)))
 
 
 def parse_datetime_date(c) -> Column:

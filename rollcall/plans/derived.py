@@ -125,3 +125,28 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(v == 4, F.concat(F.lit("Entities Registry at 31_02_"), F.date_format("d", "yyyy"), F.lit(".csv")))
         .otherwise(F.concat(F.lit("Entities Registry at "), ddmmyyyy, F.lit(".txt"))))
     return o.select(name.alias("file_name")).distinct()
+
+
+# The inline correction seeds of the derived registry. User 7's
+# region code is wrong ('9') up to 2024-01-05; one dated and one undated name
+# correction on two entities.
+REGION_FIXES = [(f"2024-01-0{d}", "LOCAL", "09", "001", "02") for d in range(1, 6)]
+NAME_FIXES = [("2024-01-10", "LOCAL", "01", "001", "CORRECTED NAME ONE"),
+              (None, "NATIONAL", "00", "002", "CORRECTED NAME TWO")]
+OFFICIAL_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+
+def region_fixes(spark: SparkSession) -> DataFrame:
+    from rollcall.plans.staging import REGION_CORRECTION_SCHEMA
+    return spark.createDataFrame(REGION_FIXES, "d string, t string, r string, n string, f string") \
+        .select(F.to_date("d").alias("snapshot_date"), F.col("t").alias("entity_type"),
+                F.col("r").alias("region_code"), F.col("n").alias("entity_no"),
+                F.col("f").alias("region_code_fixed")).to(REGION_CORRECTION_SCHEMA)
+
+
+def name_fixes(spark: SparkSession) -> DataFrame:
+    from rollcall.plans.staging import NAME_CORRECTION_SCHEMA
+    return spark.createDataFrame(NAME_FIXES, "d string, t string, r string, n string, f string") \
+        .select(F.to_date("d").alias("snapshot_date"), F.col("t").alias("entity_type"),
+                F.col("r").alias("region_code"), F.col("n").alias("entity_no"),
+                F.col("f").alias("entity_name_fixed")).to(NAME_CORRECTION_SCHEMA)

@@ -13,6 +13,11 @@ from rollcall.operators import marts as M
 from rollcall.functions import names as N
 from rollcall.plans import ingest as I
 from rollcall.sources import raw_store as R
+from rollcall.sources import export as EX
+from rollcall.functions import text as X
+from rollcall.operators import canonical as CA
+from rollcall.operators import gaps as G
+from rollcall.plans import staging as S
 from rollcall.plans import derived as D
 
 
@@ -139,3 +144,149 @@ REGISTRY.update({
     "ingest_plan": ingest_plan,
     "load_new_snapshots": load_new_snapshots,
 })
+
+
+# ---- the derived registry ("reg") -------------------------------------------------
+
+def reg(spark, sf):
+    return D.registry(spark, sf)
+
+
+def raw_shape(spark, sf):
+    r = reg(spark, sf)
+    shaped = R.shape_values(r, S.RAW_COLUMNS)
+    return shaped.select(*S.RAW_COLUMNS, "snapshot_date",
+                         N.canonical_label("snapshot_date", D.LABEL_PREFIX, ".csv").alias("_source_file"))
+
+
+def pad_codes(spark, sf):
+    r = reg(spark, sf)
+    return r.select("user_id", "snapshot_date", "region_code", "entity_no",
+                    X.pad_code("region_code", 2).alias("region_code_padded"),
+                    X.pad_code("entity_no", 3).alias("entity_no_padded"))
+
+
+def clean_names(spark, sf):
+    r = reg(spark, sf)
+    return r.select("user_id", "snapshot_date",
+                    X.clean_name("region_name").alias("region_name_clean"),
+                    X.clean_name("entity_name").alias("entity_name_clean"))
+
+
+def parse_recognition_dates(spark, sf):
+    r = reg(spark, sf)
+    return r.select("user_id", "snapshot_date", "recognised_on",
+                    X.parse_datetime_date("recognised_on").alias("recognised_date"))
+
+
+def flag_to_bool(spark, sf):
+    r = reg(spark, sf)
+    return r.select("user_id", "snapshot_date", "member_flag",
+                    X.flag_to_bool("member_flag").alias("is_member"))
+
+
+def bool_to_flag(spark, sf):
+    r = reg(spark, sf)
+    return r.select("user_id", "snapshot_date",
+                    X.bool_to_flag(X.flag_to_bool("member_flag")).alias("member_text"))
+
+
+def entity_keys(spark, sf):
+    r = reg(spark, sf)
+    return r.select("user_id", "snapshot_date",
+                    X.entity_key("entity_type", X.pad_code("region_code", 2),
+                                 X.pad_code("entity_no", 3)).alias("entity_key"))
+
+
+NORM_OUT = ["entity_type", "region_code", "region_name", "entity_no", "entity_name", "snapshot_date"]
+
+
+def region_corrections(spark, sf):
+    n = S.normalise(reg(spark, sf))
+    return S.correct(n, D.region_fixes(spark), None).select(*NORM_OUT)
+
+
+def name_corrections(spark, sf):
+    n = S.normalise(reg(spark, sf))
+    return S.correct(n, D.region_fixes(spark), D.name_fixes(spark)).select(*NORM_OUT)
+
+
+def canonical_regions(spark, sf):
+    n = S.correct(S.normalise(reg(spark, sf)), D.region_fixes(spark), D.name_fixes(spark))
+    c = CA.canonicalise(n, D.region_lookup(spark, sf), on="region_code", value="region_name",
+                        threshold=0.20, flag="needs_region_review", suggestion="suggested_region")
+    return c.select(*NORM_OUT, "needs_region_review", "suggested_region")
+
+
+def name_similarity(spark, sf):
+    c = D.table(spark, sf, "customer").select("c_custkey", "c_name")
+    s = D.table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    j = c.join(s, c.c_custkey == s.s_suppkey)
+    return j.select("c_custkey", "c_name", "s_name",
+                    X.norm_distance("c_name", "s_name").alias("distance"),
+                    X.within_distance("c_name", "s_name", 0.40).alias("is_close"))
+
+
+def backfill_numbers(spark, sf):
+    n = S.correct(S.normalise(reg(spark, sf)), D.region_fixes(spark), D.name_fixes(spark))
+    return G.backfill(n, "entity_no", ["region_code", "entity_name"], "snapshot_date",
+                      ["entity_type"]).select(*NORM_OUT)
+
+
+def staged(spark, sf):
+    return S.stage(reg(spark, sf), D.region_lookup(spark, sf), D.region_fixes(spark),
+                   D.name_fixes(spark))
+
+
+def clean_registry(spark, sf):
+    return S.clean(staged(spark, sf))
+
+
+def registry_history(spark, sf):
+    return S.history(clean_registry(spark, sf))
+
+
+def registry_current(spark, sf):
+    return H.current_view(registry_history(spark, sf), key="entity_key", flag_col="is_member")
+
+
+def registry_movements(spark, sf):
+    c = clean_registry(spark, sf)
+    cal = H.calendar(c)
+    return H.movements(S.history(c, cal), cal)
+
+
+def registry_summary(spark, sf):
+    return M.summary(clean_registry(spark, sf))
+
+
+def registry_panel(spark, sf):
+    return M.panel(clean_registry(spark, sf), D.geo_lookup(spark, sf))
+
+
+def export_publication(spark, sf):
+    return EX.publication_frame(registry_current(spark, sf))
+
+
+REGISTRY.update({
+    "raw_shape": raw_shape,
+    "pad_codes": pad_codes,
+    "clean_names": clean_names,
+    "parse_recognition_dates": parse_recognition_dates,
+    "flag_to_bool": flag_to_bool,
+    "bool_to_flag": bool_to_flag,
+    "entity_keys": entity_keys,
+    "region_corrections": region_corrections,
+    "name_corrections": name_corrections,
+    "canonical_regions": canonical_regions,
+    "name_similarity": name_similarity,
+    "backfill_numbers": backfill_numbers,
+    "canonical_to_leader": clean_registry,
+    "staged_registry": staged,
+    "registry_history": registry_history,
+    "registry_current": registry_current,
+    "registry_movements": registry_movements,
+    "registry_summary": registry_summary,
+    "registry_panel": registry_panel,
+    "export_publication": export_publication,
+})

@@ -152,6 +152,13 @@ def shape_raw(df: DataFrame, number_rows: bool = True) -> DataFrame:
     return shaped.where(F.col("snapshot_date").isNotNull())
 
 
+def shape_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """I5-I7 on the given columns: text, NULL -> '', Unicode trim."""
+    want = set(cols)
+    return df.select(*[utrim(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c)
+                       if c in want else F.col(c) for c in df.columns])
+
+
 def select_known(df: DataFrame, cols: list[str]) -> DataFrame:
     """Keep the known columns in order; absent ones become NULL text."""
     have = set(df.columns)
