@@ -18,6 +18,7 @@ from rollcall.functions import text as X
 from rollcall.operators import canonical as CA
 from rollcall.operators import gaps as G
 from rollcall.plans import staging as S
+from rollcall.operators import checks as K
 from rollcall.plans import derived as D
 
 
@@ -290,3 +291,100 @@ REGISTRY.update({
     "registry_panel": registry_panel,
     "export_publication": export_publication,
 })
+
+
+# ---- data checks ----------------------------------------------------------------------
+
+def check_not_null(spark, sf):
+    return K.check_not_null(S.normalise(reg(spark, sf)), "entity_no")
+
+
+def check_unique(spark, sf):
+    return K.check_unique(S.normalise(reg(spark, sf)), "region_code")
+
+
+def check_accepted_values(spark, sf):
+    return K.check_accepted(S.normalise(reg(spark, sf)), "region_name", D.OFFICIAL_REGIONS)
+
+
+def check_snapshot_key(spark, sf):
+    ev = D.table(spark, sf, "events").select("user_id", F.to_date("ts").alias("snapshot_date"))
+    return K.check_unique(ev, ["user_id", "snapshot_date"])
+
+
+def _order_history(spark, sf):
+    return H.scd2_presence(orders_monthly(spark, sf), "o_custkey", "snapshot_date", [],
+                           order_by=["o_orderdate", "o_orderkey"])
+
+
+def check_interval(spark, sf):
+    h = _order_history(spark, sf)
+    swap = F.col("valid_from") < F.col("valid_to")
+    bad = h.select("o_custkey",
+                   F.when(swap, F.col("valid_to")).otherwise(F.col("valid_from")).alias("valid_from"),
+                   F.when(swap, F.col("valid_from")).otherwise(F.col("valid_to")).alias("valid_to"))
+    return K.check_interval(bad, key="o_custkey")
+
+
+def check_history_grain(spark, sf):
+    h = _order_history(spark, sf)
+    return K.check_unique(h.unionByName(h.where("is_current")), ["o_custkey", "valid_from"])
+
+
+def check_single_current(spark, sf):
+    h = _order_history(spark, sf).withColumn("is_current", F.lit(True))
+    return K.check_single_current(h, key="o_custkey")
+
+
+def check_overlap(spark, sf):
+    li = D.table(spark, sf, "lineitem")
+    start = F.to_date("l_shipdate")
+    iv = li.select("l_partkey", start.alias("valid_from"),
+                   F.date_add(start, F.col("l_quantity").cast("int")).alias("valid_to"))
+    return K.check_no_overlap(iv, key="l_partkey")
+
+
+def warn_regions(spark, sf):
+    return K.warn_regions(staged(spark, sf))
+
+
+def warn_names(spark, sf):
+    return K.warn_names(clean_registry(spark, sf))
+
+
+def registry_checks(st, cl, hist):
+    C = K.Check
+    return [
+        C("stg_key_not_null", K.check_not_null(st, "entity_key")),
+        C("stg_region_not_null", K.check_not_null(st, "region_code")),
+        C("stg_number_not_null", K.check_not_null(st, "entity_no")),
+        C("stg_type_accepted", K.check_accepted(st, "entity_type", ["LOCAL", "NATIONAL"])),
+        C("stg_key_unique_per_snapshot", K.check_unique(st, ["entity_key", "snapshot_date"])),
+        C("hist_grain_unique", K.check_unique(hist, ["entity_key", "valid_from"])),
+        C("hist_interval_valid", K.check_interval(hist)),
+        C("hist_no_overlap", K.check_no_overlap(hist)),
+        C("hist_single_current", K.check_single_current(hist)),
+        C("warn_regions", K.warn_regions(st), K.WARN),
+        C("warn_names", K.warn_names(cl), K.WARN),
+    ]
+
+
+def check_report(spark, sf):
+    st = staged(spark, sf)
+    cl = S.clean(st)
+    return K.run_checks(registry_checks(st, cl, S.history(cl)))
+
+
+REGISTRY.update({
+    "check_not_null": check_not_null,
+    "check_unique": check_unique,
+    "check_accepted_values": check_accepted_values,
+    "check_snapshot_key": check_snapshot_key,
+    "check_interval": check_interval,
+    "check_history_grain": check_history_grain,
+    "check_single_current": check_single_current,
+    "check_overlap": check_overlap,
+    "warn_regions": warn_regions,
+    "warn_names": warn_names,
+    "check_report": check_report,
+})
