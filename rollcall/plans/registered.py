@@ -20,6 +20,7 @@ from rollcall.operators import gaps as G
 from rollcall.plans import staging as S
 from rollcall.operators import checks as K
 from rollcall.plans import derived as D
+from rollcall.session import scratch_path
 
 
 def scd2_event_presence(spark: SparkSession, sf: str) -> DataFrame:
@@ -388,3 +389,37 @@ REGISTRY.update({
     "warn_names": warn_names,
     "check_report": check_report,
 })
+
+
+# ---- file round trips (rows-only checks) -------------------------------------------
+
+def raw_row_numbers(spark, sf):
+    """Land every registry snapshot as CSV under its standard name, read the
+    files back (header-safe), shape them and number rows in file order."""
+    r = reg(spark, sf)
+    landing = scratch_path(spark, "landing")
+    R.land_snapshots(r, landing, D.LABEL_PREFIX, ".csv", data_cols=S.RAW_COLUMNS)
+    raw = R.shape_raw(R.read_snapshots(spark, landing))
+    return raw.select(*S.RAW_COLUMNS, "snapshot_date", "_source_file", "_row_number")
+
+
+def schema_evolution(spark, sf):
+    """Two appends to the raw store, the later one with an extra column; read
+    back with additive schema merge (earlier rows get NULL)."""
+    r = reg(spark, sf)
+    store = scratch_path(spark, "raw")
+    cut = F.lit(CUT_DATE).cast("date")
+    first = r.where(F.col("snapshot_date") < cut).select(*S.RAW_COLUMNS, "snapshot_date")
+    later = r.where(F.col("snapshot_date") >= cut).select(
+        *S.RAW_COLUMNS, "snapshot_date",
+        F.concat(F.lit("CASE-"), F.col("event_id").cast("string")).alias("case_ref"))
+    R.append_new(spark, first, store)
+    R.append_new(spark, later, store)
+    R.append_new(spark, later, store)   # rerun: nothing new is written
+    return R.read_raw(spark, store)
+
+
+REGISTRY.update({
+    "raw_row_numbers": raw_row_numbers,
+    "schema_evolution": schema_evolution,
+})
