@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import csv
 import io
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,24 +46,36 @@ def list_snapshots(spark: SparkSession, path: str, pattern: str | None = None,
     order then name order. Only the path is read (file content is pruned)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
              .load(path).select("path"))
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    name = _uri_decode(F.regexp_extract("path", r"([^/]+)$", 1))
     out = files.select(F.col("path"), name.alias("file_name"))
     if ext:
         out = out.where(has_extension("file_name", ext))
     out = out.withColumn("snapshot_date", snapshot_date_of("file_name"))
     valid = is_valid_name("file_name", pattern) if pattern else F.col("snapshot_date").isNotNull()
     return out.withColumn("is_valid", valid & F.col("snapshot_date").isNotNull()) \
-        .orderBy("snapshot_date", "file_name")
+        .orderBy(F.col("snapshot_date").asc_nulls_last(), "file_name")
+
+
+def _uri_decode(c: Column) -> Column:
+    """``_metadata.file_path`` is a URI; decode it without turning ``+`` into
+    a space."""
+    return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
 
 
 def _source_name(path_col: Column) -> Column:
     """Name that carries the snapshot date: the file name, or for a snapshot
     written as a directory of part files, the directory name."""
-    fname = F.regexp_extract(path_col, r"([^/]+)$", 1)
+    fname = _uri_decode(F.regexp_extract(path_col, r"([^/]+)$", 1))
     dname = F.regexp_extract(path_col, r"([^/]+)/[^/]+$", 1)
-    dname = F.regexp_replace(dname, r"^[^=]*=", "")
+    dname = _uri_decode(F.regexp_replace(dname, r"^[^=]*=", ""))
     return F.when(snapshot_date_of(fname).isNotNull() | snapshot_date_of(dname).isNull(), fname) \
-        .otherwise(F.url_decode(dname))
+        .otherwise(dname)
+
+
+def reader_path(uri: str) -> str:
+    """A ``_metadata.file_path`` URI as a literal path for the reader: decoded
+    and with glob characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
 
 def _with_file_meta(df: DataFrame) -> DataFrame:
@@ -100,7 +114,7 @@ def read_snapshots(spark: SparkSession, paths, fmt: str = "csv", sep: str = ",",
     groups: dict[tuple, list[str]] = {}
     for r in heads:
         names = next(csv.reader(io.StringIO(r["header"] or ""), delimiter=sep))
-        groups.setdefault(tuple(normalise_headers(names)), []).append(r["_file_path"])
+        groups.setdefault(tuple(normalise_headers(names)), []).append(reader_path(r["_file_path"]))
     out = None
     for cols, files in sorted(groups.items()):
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])

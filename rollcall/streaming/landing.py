@@ -18,13 +18,17 @@ from rollcall.functions.names import snapshot_date_of
 from rollcall.sources import raw_store as R
 
 
+# The schema of Spark's binaryFile source.
+BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, content binary")
+
+
 def _ingest_batch(spark: SparkSession, store: str, ext: str, cluster_by: str | None):
     def run(batch: DataFrame, batch_id: int) -> None:
         files = (batch.select("path").withColumn("_name", F.regexp_extract("path", r"([^/]+)$", 1))
                  .where(F.lower("_name").endswith(ext.lower()) | F.lit(ext == ""))
                  .where(snapshot_date_of(F.col("path")).isNotNull())
                  .select("path").distinct().orderBy("path"))
-        paths = [r["path"] for r in files.collect()]
+        paths = [R.reader_path(r["path"]) for r in files.collect()]
         if not paths:
             return
         shaped = R.shape_raw(R.read_snapshots(spark, paths))
@@ -43,7 +47,7 @@ def stream_new_snapshots(spark: SparkSession, landing_dir: str, store: str, chec
     """Start an ``availableNow`` stream that loads every not-yet-seen file in
     ``landing_dir`` into the raw store at ``store`` and then stops. Returns the
     StreamingQuery (call ``awaitTermination()``)."""
-    reader = (spark.readStream.format("binaryFile")
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
