@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rollcall.functions.text import within_distance
 from rollcall.session import bounded_broadcast
 
-LOOKUP_BROADCAST_ROWS = 1_000_000
+LOOKUP_BROADCAST_BYTES = 64 << 20
 
 
 def _guard(df: DataFrame, value: str, official: str, threshold: float,
@@ -34,7 +34,7 @@ def canonicalise(df: DataFrame, lookup: DataFrame, on: str, value: str,
     """
     lv = lookup_value or value
     lk = bounded_broadcast(lookup.select(F.col(on).alias("_lk_on"), F.col(lv).alias("_official")),
-                           LOOKUP_BROADCAST_ROWS, "lookup")
+                           LOOKUP_BROADCAST_BYTES, "lookup")
     j = df.join(lk, df[on] == lk["_lk_on"], "left").drop("_lk_on")
     return _guard(j, value, "_official", threshold, flag, suggestion).drop("_official")
 
@@ -52,7 +52,8 @@ def canonicalise_to_leader(df: DataFrame, type_col: str = "entity_type",
     unmatched (never filtered). The leader side is itself data, so the join is
     left to the planner (AQE broadcasts it when small, splits skewed keys
     otherwise); leaders should be unique per (date, number) - see
-    ``checks.check_unique``.
+    ``checks.check_unique``. The input is read twice (rows and leaders), so
+    pipelines pass a materialised table.
     """
     leaders = df.where(F.col(type_col) == leader_value).select(
         F.col(date_col).alias("_l_date"), F.col(no_col).alias("_l_no"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rollcall.session import bounded_broadcast
 
-SEED_BROADCAST_ROWS = 1_000_000
+SEED_BROADCAST_BYTES = 64 << 20
 
 
 def apply_corrections(df: DataFrame, corr: DataFrame, keys: Sequence[str], target: str,
@@ -35,7 +35,7 @@ def apply_corrections(df: DataFrame, corr: DataFrame, keys: Sequence[str], targe
         c.where(F.col(date_col).isNotNull())
          .select(*[F.col(k).alias(f"_c_{k}") for k in keys],
                  F.col(date_col).alias("_c_date"), F.col(value).alias("_c_dated")),
-        SEED_BROADCAST_ROWS, "dated corrections")
+        SEED_BROADCAST_BYTES, "dated corrections")
     cond = [df[k] == dated[f"_c_{k}"] for k in keys] + [df[date_col] == dated["_c_date"]]
     out = df.join(dated, cond, "left").drop(*[f"_c_{k}" for k in keys], "_c_date")
     fixed = F.col("_c_dated")
@@ -43,7 +43,7 @@ def apply_corrections(df: DataFrame, corr: DataFrame, keys: Sequence[str], targe
         undated = bounded_broadcast(
             c.where(F.col(date_col).isNull())
              .select(*[F.col(k).alias(f"_u_{k}") for k in keys], F.col(value).alias("_c_undated")),
-            SEED_BROADCAST_ROWS, "undated corrections")
+            SEED_BROADCAST_BYTES, "undated corrections")
         cond = [out[k] == undated[f"_u_{k}"] for k in keys]
         out = out.join(undated, cond, "left").drop(*[f"_u_{k}" for k in keys])
         fixed = F.coalesce(F.col("_c_dated"), F.col("_c_undated"))

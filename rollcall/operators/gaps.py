@@ -13,6 +13,9 @@ unbounded following" frame is re-evaluated per row. Instead:
 3. running carries over that summary (previous dates, next dates), again with
    running frames in both directions;
 4. one join back on (group, date), null-safe on the group columns.
+
+The input is read twice (rows and the per-date summary); pipelines hand it a
+materialised table (``session.materialize``) when it is expensive to compute.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ def backfill(df: DataFrame, col: str, partition: Sequence[str], order: str = "sn
 
     key = F.struct(*tb)
     nn_key = F.when(v.isNotNull(), key)
-    per_date = rows.groupBy(*[F.col(c).alias(f"_g_{i}") for i, c in enumerate(g)],
+    per_date = df.groupBy(*[F.col(c).alias(f"_g_{i}") for i, c in enumerate(g)],
                             F.col(order).alias("_d")).agg(
         F.max_by(v, nn_key).alias("_last"), F.min_by(v, nn_key).alias("_first"))
     gg = [f"_g_{i}" for i in range(len(g))]

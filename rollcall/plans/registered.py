@@ -20,7 +20,7 @@ from rollcall.operators import gaps as G
 from rollcall.plans import staging as S
 from rollcall.operators import checks as K
 from rollcall.plans import derived as D
-from rollcall.session import scratch_path
+from rollcall.session import materialize, scratch_path
 
 
 def scd2_event_presence(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,8 +244,13 @@ def clean_registry(spark, sf):
     return S.clean(staged(spark, sf))
 
 
+def clean_table(spark, sf):
+    """The clean panel written once: every mart and check reads it."""
+    return materialize(clean_registry(spark, sf), "clean")
+
+
 def registry_history(spark, sf):
-    return S.history(clean_registry(spark, sf))
+    return S.history(clean_table(spark, sf))
 
 
 def registry_current(spark, sf):
@@ -253,17 +258,17 @@ def registry_current(spark, sf):
 
 
 def registry_movements(spark, sf):
-    c = clean_registry(spark, sf)
+    c = clean_table(spark, sf)
     cal = H.calendar(c)
     return H.movements(S.history(c, cal), cal)
 
 
 def registry_summary(spark, sf):
-    return M.summary(clean_registry(spark, sf))
+    return M.summary(clean_table(spark, sf))
 
 
 def registry_panel(spark, sf):
-    return M.panel(clean_registry(spark, sf), D.geo_lookup(spark, sf))
+    return M.panel(clean_table(spark, sf), D.geo_lookup(spark, sf))
 
 
 def export_publication(spark, sf):
@@ -372,8 +377,9 @@ def registry_checks(st, cl, hist):
 
 def check_report(spark, sf):
     st = staged(spark, sf)
-    cl = S.clean(st)
-    return K.run_checks(registry_checks(st, cl, S.history(cl)))
+    cl = materialize(S.clean(st), "clean")
+    hist = materialize(S.history(cl), "history")
+    return K.run_checks(registry_checks(st, cl, hist))
 
 
 REGISTRY.update({

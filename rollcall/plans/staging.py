@@ -21,6 +21,7 @@ from rollcall.operators import history as H
 from rollcall.operators import marts as M
 from rollcall.operators.corrections import apply_corrections
 from rollcall.operators.gaps import backfill
+from rollcall.session import materialize
 
 # The column layout of the registry at each layer.
 RAW_COLUMNS = ["entity_type", "region_code", "region_name", "entity_no", "entity_name",
@@ -88,8 +89,14 @@ def correct(df: DataFrame, region_fixes: DataFrame | None, name_fixes: DataFrame
 
 def stage(raw: DataFrame, region_lookup: DataFrame | None = None,
           region_fixes: DataFrame | None = None, name_fixes: DataFrame | None = None,
-          rules: Rules = Rules()) -> DataFrame:
-    """The staged registry with ``STAGED_COLUMNS``."""
+          rules: Rules = Rules(), persist: bool = True) -> DataFrame:
+    """The staged registry with ``STAGED_COLUMNS``.
+
+    With ``persist`` (default) the two intermediate results that are read
+    twice downstream - the input of the backfill and the staged table, which
+    the leader rule joins with itself - are written once to the checkpoint
+    folder; ``persist=False`` keeps everything one lazy plan.
+    """
     df = correct(normalise(raw, rules), region_fixes, name_fixes)
     if region_lookup is not None:
         df = C.canonicalise(df, region_lookup, on="region_code", value="region_name",
@@ -99,10 +106,13 @@ def stage(raw: DataFrame, region_lookup: DataFrame | None = None,
         df = df.withColumn("needs_region_review", F.lit(False)) \
             .withColumn("suggested_region", F.lit(None).cast("string"))
     tiebreak = ["entity_type"] + (["_row_number"] if "_row_number" in df.columns else [])
+    if persist:
+        df = materialize(df, "pre-backfill")          # read twice by the backfill
     df = backfill(df, "entity_no", ["region_code", "entity_name"], "snapshot_date", tiebreak)
     df = df.withColumn("entity_key", X.entity_key("entity_type", "region_code", "entity_no",
                                                   national_value=rules.national))
-    return df.select(*STAGED_COLUMNS)
+    df = df.select(*STAGED_COLUMNS)
+    return materialize(df, "staged") if persist else df
 
 
 def clean(staged: DataFrame, rules: Rules = Rules()) -> DataFrame:

@@ -77,15 +77,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, what: str) -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder
+    and return the table read back.
+
+    Used where one intermediate result feeds several branches (a self-join, a
+    two-level aggregate, several marts or checks): column pruning makes those
+    branches differ, so Spark cannot reuse one exchange and would recompute the
+    whole upstream chain per branch. The written table also cuts the lineage,
+    so a lost executor does not replay the chain.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (no job is run); None if unknown."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. Spark Connect)
+        return None
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = 64 << 20, what: str = "") -> DataFrame:
     """Broadcast hint for a side whose size is checked, not assumed.
 
-    Used for seed / lookup tables the user hands in. The row count is taken
-    (cheap for such tables); beyond ``max_rows`` the hint is not given and the
-    planner falls back to a shuffle join (AQE may still convert it at runtime).
+    Used for seed / lookup tables the user hands in. The check is the
+    optimizer's size estimate of the plan (file sizes for scans, exact for
+    local data), the same statistic ``autoBroadcastJoinThreshold`` uses; beyond
+    ``max_bytes`` no hint is given and the planner keeps a shuffle join (AQE
+    may still convert it once the real size is known).
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    n = estimated_bytes(df)
+    if n is not None and n <= max_bytes:
         return F.broadcast(df)
     return df
 
@@ -97,5 +123,5 @@ def local_path(p: str) -> str:
 
 __all__ = [
     "DEFAULT_CONF", "get_session", "ensure_checkpoint_dir", "scratch_path",
-    "bounded_broadcast", "local_path",
+    "bounded_broadcast", "local_path", "materialize", "estimated_bytes",
 ]
