@@ -43,21 +43,25 @@ def check_interval(df: DataFrame, key: str = "entity_key", start: str = "valid_f
 def check_no_overlap(df: DataFrame, key: str = "entity_key", start: str = "valid_from",
                      end: str = "valid_to") -> DataFrame:
     """K7: versions that start inside an earlier-starting version of the same
-    key (closed intervals).
-
-    One running maximum replaces the pairwise self-join: ``b`` overlaps some
-    ``a`` with ``a.start < b.start <= a.end`` exactly when ``b.start`` is at or
-    before the latest end among versions starting strictly earlier. The frame
-    is a RANGE on the start day number up to one day before, so versions that
-    start the same day are not compared with each other (as ``<`` requires).
-    Returns each offending version once, with that latest earlier end.
+    key (closed intervals), each offending version once with the latest end
+    among versions starting strictly earlier (``overlaps_until``).
+
+    ``b`` overlaps some ``a`` with ``a.start < b.start <= a.end`` exactly when
+    ``b.start`` is at or before the latest end among versions starting
+    strictly earlier, so no pairs are built. Skew-safe: ends are first reduced
+    to one row per (key, start day) with a map-side partial aggregate; the
+    running maximum runs over those day rows; one equi-join brings it back to
+    the versions (AQE splits a hot key on the large side). NULL keys never
+    match, as in the pairwise form.
     """
     day = F.unix_date(F.col(start)).cast("bigint")
-    w = (Window.partitionBy(key).orderBy(day)
-         .rangeBetween(Window.unboundedPreceding, -1))
-    return (df.select(key, start, end)
-            .withColumn("overlaps_until", F.max(end).over(w))
-            .where(F.col(start) <= F.col("overlaps_until")))
+    rows = df.select(key, start, end).withColumn("_day", day)
+    per_day = rows.where(F.col(key).isNotNull()).groupBy(key, "_day").agg(F.max(end).alias("_day_end"))
+    w = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_day.select(key, "_day", F.max("_day_end").over(w).alias("overlaps_until"))
+    return (rows.join(carry, [key, "_day"])
+            .where(F.col(start) <= F.col("overlaps_until"))
+            .select(key, start, end, "overlaps_until"))
 
 
 def check_single_current(df: DataFrame, key: str = "entity_key",

@@ -35,15 +35,15 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
              .agg(F.max("event_id").alias("event_id")))
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    leader = cust.select(F.col("c_custkey").alias("l_custkey"),
-                         F.col("c_mktsegment").alias("nseg"))
     u, e = F.col("user_id"), F.col("event_id")
     code = u % 5
     g = F.floor(u / 5).cast("bigint")
     d = daily.withColumn("code", code).withColumn("g", g)
+    # one customer lookup: code 4 names use the user's own segment, the
+    # others the leader's (user_id - code)
+    seg_key = F.when(d.code == 4, d.user_id).otherwise(d.user_id - d.code)
     d = (d.join(region, d.code == region.r_regionkey, "left")
-          .join(cust, d.user_id == cust.c_custkey, "left")
-          .join(leader, (d.user_id - d.code) == leader.l_custkey, "left"))
+          .join(cust, seg_key == cust.c_custkey, "left"))
     code_s, g_s = F.col("code").cast("string"), F.col("g").cast("string")
     r_name = F.col("r_name")
     region_code = (
@@ -63,9 +63,9 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(g_s, F.lit(".0"))))
     entity_name = (
         F.when(F.col("code") <= 2,
-               F.concat(F.lit("Party  "), F.col("nseg"), F.lit(" "), g_s))
+               F.concat(F.lit("Party  "), F.col("c_mktsegment"), F.lit(" "), g_s))
         .when(F.col("code") == 3,
-              F.concat(F.lit("PARTY "), F.col("nseg"), F.lit(" "), g_s, F.lit(" SUR")))
+              F.concat(F.lit("PARTY "), F.col("c_mktsegment"), F.lit(" "), g_s, F.lit(" SUR")))
         .otherwise(F.concat(F.col("c_mktsegment"), F.lit(" UNION "), u.cast("string"))))
     member_flag = F.when((F.col("code") == 0) | (u % 10 == 6), F.lit("NO")).otherwise(F.lit("YES"))
     recognised_on = F.when(u % 23 == 0, F.lit("n/d")).otherwise(

@@ -32,16 +32,22 @@ def publication_frame(current: DataFrame) -> DataFrame:
     return current.select(*cols)
 
 
-def export_current(current: DataFrame, out_dir: str, prefix: str = "entities_current_") -> str | None:
-    """Write the sorted publication. The file set is named after
-    ``max(updated)``; the single-file output (``coalesce(1)``) is applied to
-    the current picture only, which holds one row per live entity."""
+def export_current(current: DataFrame, out_dir: str, prefix: str = "entities_current_",
+                   single_file: bool = False) -> str | None:
+    """Write the sorted publication under a folder named after
+    ``max(updated)``; nothing is written when the current picture is empty.
+
+    The sort is a range partitioning, so the part files read in name order are
+    the sorted publication and many tasks write it. ``single_file=True``
+    funnels it through one task instead (only for small pictures).
+    """
     latest = current.agg(F.max("updated").alias("d")).select(
         canonical_label("d", prefix).alias("label")).first()
     if latest is None or latest["label"] is None:
         return None
     target = f"{out_dir.rstrip('/')}/{latest['label']}"
-    ordered = current.orderBy(*SORT)
-    publication_frame(ordered).coalesce(1).write.mode("overwrite") \
-        .option("header", True).csv(target)
+    pub = publication_frame(current.orderBy(*SORT))
+    if single_file:
+        pub = pub.coalesce(1)
+    pub.write.mode("overwrite").option("header", True).csv(target)
     return target

@@ -208,7 +208,10 @@ def write_raw(df: DataFrame, path: str, cluster_by: str | None = "region_name",
     name inside each date (Parquet min/max skipping). Range partitioning spreads
     a large date over many writer tasks instead of one."""
     keys = ["snapshot_date"] + ([cluster_by] if cluster_by and cluster_by in df.columns else [])
-    (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # the row hash as last range key spreads one hot (date, region) over many
+    # writer tasks; it is deterministic, so a retried task writes the same rows
+    spread = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_spread")
+    (df.repartitionByRange(*keys, spread).sortWithinPartitions(*keys)
      .write.mode(mode).partitionBy("snapshot_date").parquet(path))
 
 

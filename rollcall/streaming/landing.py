@@ -42,7 +42,7 @@ def _ingest_batch(spark: SparkSession, store: str, ext: str, cluster_by: str | N
 
 
 def stream_new_snapshots(spark: SparkSession, landing_dir: str, store: str, checkpoint: str,
-                         ext: str = ".csv", max_files_per_trigger: int | None = None,
+                         ext: str = ".csv", max_files_per_trigger: int | None = 1000,
                          cluster_by: str | None = "region_name"):
     """Start an ``availableNow`` stream that loads every not-yet-seen file in
     ``landing_dir`` into the raw store at ``store`` and then stops. Returns the

@@ -104,3 +104,21 @@ def test_stream_loads_only_new_dates(spark, tmp_dir):
         [("2026-01-31", "ASIA"), ("2026-01-31", "EUROPE"), ("2026-02-28", "ASIA")]
     stream_new_snapshots(spark, land, store, ck).awaitTermination()     # nothing new
     assert R.read_raw(spark, store).count() == 3
+
+
+def test_export_current_sorted_named_by_latest(spark, tmp_dir):
+    import glob
+    from rollcall.sources.export import export_current
+    cur = spark.createDataFrame([
+        ("L-02-001", "LOCAL", "02", "ASIA", "001", "B", "P1", dt.date(1990, 1, 2), "YES", dt.date(2024, 3, 31)),
+        ("N-01-001", "NATIONAL", "01", "AMERICA", "001", "A", None, None, "NO", dt.date(2024, 3, 31)),
+        ("L-01-002", "LOCAL", "01", "AMERICA", "002", "C", "P2", None, "YES", dt.date(2024, 3, 31))],
+        "entity_id string, entity_type string, region_code string, region_name string, entity_no string, "
+        "entity_name string, acronym string, recognised_on date, is_member string, updated date")
+    target = export_current(cur, tmp_dir + "/out")
+    assert target.endswith("entities_current_31_03_2024")
+    parts = sorted(glob.glob(target + "/part-*.csv"))
+    rows = [line for p in parts for line in open(p).read().splitlines()[1:]]
+    assert [r.split(",")[0] for r in rows] == ["L-01-002", "N-01-001", "L-02-001"]
+    assert rows[2].split(",")[7] == "02-01-1990" and rows[0].split(",")[7] == ""
+    assert export_current(cur.where("false"), tmp_dir + "/none") is None
