@@ -49,5 +49,5 @@ def export_current(current: DataFrame, out_dir: str, prefix: str = "entities_cur
     pub = publication_frame(current.orderBy(*SORT))
     if single_file:
         pub = pub.coalesce(1)
-    pub.write.mode("overwrite").option("header", True).csv(target)
+    pub.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(target)
     return target
