@@ -127,12 +127,19 @@ def history(clean_df: DataFrame, cal: DataFrame | None = None) -> DataFrame:
     return H.scd2_presence(clean_df, "entity_key", "snapshot_date", HISTORY_ATTRS, cal=cal)
 
 
-def marts(clean_df: DataFrame, geo: DataFrame | None = None) -> dict[str, DataFrame]:
+def marts(clean_df: DataFrame, geo: DataFrame | None = None,
+          persist: bool = True) -> dict[str, DataFrame]:
     """History, current picture, movements, detail and summary from one clean
     panel and one calendar. The caller should materialise ``clean_df`` once
-    (checkpoint or written table) - it feeds four marts."""
+    (checkpoint or written table) - it feeds four marts; with ``persist`` the
+    calendar and the history (read by the current view and the movements) are
+    written once too."""
     cal = H.calendar(clean_df)
+    if persist:
+        cal = materialize(cal, "calendar")
     hist = history(clean_df, cal)
+    if persist:
+        hist = materialize(hist, "history")
     return {
         "history": hist,
         "current": H.current_view(hist, key="entity_key", flag_col="is_member"),
