@@ -4,7 +4,7 @@ name taken from the latest cut-off date; nothing is written when empty."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rollcall.functions.names import canonical_label
@@ -46,8 +46,10 @@ def export_current(current: DataFrame, out_dir: str, prefix: str = "entities_cur
     if latest is None or latest["label"] is None:
         return None
     target = f"{out_dir.rstrip('/')}/{latest['label']}"
-    pub = publication_frame(current.orderBy(*SORT))
+    seen = Observation("export")
+    pub = publication_frame(current.orderBy(*SORT)).observe(seen, F.count(F.lit(1)).alias("rows"))
     if single_file:
         pub = pub.coalesce(1)
     pub.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(target)
+    export_current.last_rows = int(seen.get.get("rows", 0))   # A6: rows written
     return target

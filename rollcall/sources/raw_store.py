@@ -13,7 +13,7 @@ import io
 import re
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,31 +203,37 @@ def load_new(incoming: DataFrame, loaded: DataFrame, date_col: str = "snapshot_d
 
 
 def write_raw(df: DataFrame, path: str, cluster_by: str | None = "region_name",
-              mode: str = "append") -> None:
+              mode: str = "append") -> int:
     """Append to the date-partitioned raw store, rows clustered by region
     name inside each date (Parquet min/max skipping). Range partitioning spreads
-    a large date over many writer tasks instead of one."""
+    a large date over many writer tasks instead of one. Returns the number of
+    rows written (observed during the write, no second pass)."""
     keys = ["snapshot_date"] + ([cluster_by] if cluster_by and cluster_by in df.columns else [])
     # the row hash as last range key spreads one hot (date, region) over many
     # writer tasks; it is deterministic, so a retried task writes the same rows
     spread = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_spread")
+    # The written row count is a metric of the write job itself
+    seen = Observation("raw_load")
+    # (observed after the range exchange: the bounds-sampling job must not count)
     (df.repartitionByRange(*keys, spread).sortWithinPartitions(*keys)
+     .observe(seen, F.count(F.lit(1)).alias("rows"))
      .write.mode(mode).partitionBy("snapshot_date").parquet(path))
+    return int(seen.get.get("rows", 0))
 
 
-def append_new(spark: SparkSession, incoming: DataFrame, path: str, **kw) -> DataFrame:
-    """I1+I2+S4: write only dates not in the store yet; returns what was new."""
+def append_new(spark: SparkSession, incoming: DataFrame, path: str, **kw) -> int:
+    """I1+I2+S4: write only dates not in the store yet; returns the number of
+    rows written (0 on a rerun)."""
     new = load_new(incoming, loaded_dates(spark, path))
-    write_raw(new, path, **kw)
-    return new
+    return write_raw(new, path, **kw)
 
 
-def replace_snapshot(df: DataFrame, path: str, **kw) -> None:
+def replace_snapshot(df: DataFrame, path: str, **kw) -> int:
     """Rewrite the given dates only (dynamic partition overwrite); the manual
     "drop the partition, load again" step as one call."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    write_raw(df, path, mode="overwrite", **kw)
+    return write_raw(df, path, mode="overwrite", **kw)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

@@ -68,9 +68,9 @@ def test_raw_store_idempotent_and_schema_evolution(spark, tmp_dir):
     b = spark.createDataFrame([("LOCAL", "ASIA", "X", dt.date(2024, 2, 29)), ("LOCAL", "ASIA", "Y", dt.date(2024, 1, 31))],
                               "entity_type string, region_name string, extra string, snapshot_date date")
     assert R.loaded_dates(spark, store).count() == 0
-    R.append_new(spark, a, store)
-    R.append_new(spark, b, store)          # only 2024-02-29 is new
-    R.append_new(spark, b, store)          # rerun: nothing new
+    assert R.append_new(spark, a, store) == 1
+    assert R.append_new(spark, b, store) == 1          # only 2024-02-29 is new
+    assert R.append_new(spark, b, store) == 0          # rerun: nothing new
     raw = R.read_raw(spark, store)
     got = sorted((r.snapshot_date, r.extra) for r in raw.collect())
     assert got == [(dt.date(2024, 1, 31), None), (dt.date(2024, 2, 29), "X")]
@@ -120,5 +120,6 @@ def test_export_current_sorted_named_by_latest(spark, tmp_dir):
     parts = sorted(glob.glob(target + "/part-*.csv"))
     rows = [line for p in parts for line in open(p).read().splitlines()[1:]]
     assert [r.split(",")[0] for r in rows] == ["L-01-002", "N-01-001", "L-02-001"]
+    assert export_current.last_rows == 3
     assert rows[2].split(",")[7] == "02-01-1990" and rows[0].split(",")[7] == ""
     assert export_current(cur.where("false"), tmp_dir + "/none") is None
