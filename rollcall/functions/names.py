@@ -29,12 +29,10 @@ def is_valid_name(c, pattern: str) -> Column:
 def snapshot_date_of(c) -> Column:
     """first ``DD[_-]MM[_-]YYYY`` in the name -> DATE; none or an impossible
     date (``31_02_2025``) -> NULL."""
-    c = _c(c)
-    d = F.regexp_extract(c, DATE_IN_NAME, 1)
-    m = F.regexp_extract(c, DATE_IN_NAME, 2)
-    y = F.regexp_extract(c, DATE_IN_NAME, 3)
-    return F.when(c.rlike(DATE_IN_NAME),
-                  F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd"))
+    # one regex evaluation: the whole first match ('' when none), separators
+    # unified by a character translation, then a strict date parse
+    found = F.regexp_extract(_c(c), DATE_IN_NAME, 0)
+    return F.try_to_date(F.translate(found, "_", "-"), "dd-MM-yyyy")
 
 
 def canonical_label(date_col, prefix: str, suffix: str = "") -> Column:

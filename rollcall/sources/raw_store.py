@@ -62,14 +62,21 @@ def _uri_decode(c: Column) -> Column:
     return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
 
 
-def _source_name(path_col: Column) -> Column:
-    """Name that carries the snapshot date: the file name, or for a snapshot
-    written as a directory of part files, the directory name."""
-    fname = _uri_decode(F.regexp_extract(path_col, r"([^/]+)$", 1))
-    dname = F.regexp_extract(path_col, r"([^/]+)/[^/]+$", 1)
-    dname = _uri_decode(F.regexp_replace(dname, r"^[^=]*=", ""))
-    return F.when(snapshot_date_of(fname).isNotNull() | snapshot_date_of(dname).isNull(), fname) \
-        .otherwise(dname)
+def with_source_name(df: DataFrame, path_col: str = "_file_path", out: str = "_source_file") -> DataFrame:
+    """Add the name that carries the snapshot date: the file name, or for a
+    snapshot written as a directory of part files, the directory name.
+
+    Built in separate projections so each regex runs once per row (Catalyst
+    does not inline non-cheap aliases that are used more than once).
+    """
+    p = F.col(path_col)
+    df = (df.withColumn("_fname", _uri_decode(F.regexp_extract(p, r"([^/]+)$", 1)))
+            .withColumn("_dname", _uri_decode(F.regexp_replace(
+                F.regexp_extract(p, r"([^/]+)/[^/]+$", 1), r"^[^=]*=", ""))))
+    df = (df.withColumn("_fdate", snapshot_date_of("_fname"))
+            .withColumn(out, F.when(F.col("_fdate").isNotNull() | snapshot_date_of("_dname").isNull(),
+                                    F.col("_fname")).otherwise(F.col("_dname"))))
+    return df.drop("_fname", "_dname", "_fdate")
 
 
 def reader_path(uri: str) -> str:
@@ -101,7 +108,8 @@ def read_snapshots(spark: SparkSession, paths, fmt: str = "csv", sep: str = ",",
     header and each group is read with its own schema; groups are combined
     with ``unionByName(allowMissingColumns=True)`` (extra columns are kept,
     absent ones are NULL). Only the header lines - one per file - reach the
-    driver. Adds ``_file_path``, ``_block`` and ``_mid`` for row numbering.
+    driver. Adds ``_file_path``, ``_block`` and ``_mid`` for row numbering and
+    the per-file ``_source_file`` / ``_snapshot_date``.
     """
     if isinstance(paths, str):
         paths = [paths]
@@ -109,7 +117,7 @@ def read_snapshots(spark: SparkSession, paths, fmt: str = "csv", sep: str = ",",
         df = spark.read.format(fmt).load(paths)
         df = df.toDF(*normalise_headers(df.columns))
         df = df.select([F.col(c).cast("string").alias(c) for c in df.columns])
-        return _with_file_meta(df)
+        return _attach_source(spark, _with_file_meta(df), df.inputFiles())
     heads = csv_headers(spark, paths).collect()
     groups: dict[tuple, list[str]] = {}
     for r in heads:
@@ -124,7 +132,15 @@ def read_snapshots(spark: SparkSession, paths, fmt: str = "csv", sep: str = ",",
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         raise ValueError("no snapshot files found")
-    return out
+    return _attach_source(spark, out, [r["_file_path"] for r in heads])
+
+
+def _attach_source(spark: SparkSession, df: DataFrame, files: list[str]) -> DataFrame:
+    """Source name and snapshot date computed once per file (a table of one
+    row per listed file, broadcast) instead of once per row."""
+    meta = with_source_name(spark.createDataFrame([(f,) for f in files], "_file_path string"))
+    meta = meta.withColumn("_snapshot_date", snapshot_date_of("_source_file"))
+    return df.join(F.broadcast(meta), "_file_path", "left")
 
 
 def row_numbers(df: DataFrame) -> DataFrame:
@@ -156,11 +172,14 @@ def shape_raw(df: DataFrame, number_rows: bool = True) -> DataFrame:
     data_cols = [c for c in df.columns if not c.startswith("_") and c not in METADATA_TYPES]
     if number_rows:
         df = row_numbers(df)
-    src = _source_name(F.col("_file_path"))
+    if "_source_file" not in df.columns:
+        df = with_source_name(df)
+    if "_snapshot_date" not in df.columns:
+        df = df.withColumn("_snapshot_date", snapshot_date_of("_source_file"))
     shaped = df.select(
         *[utrim(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in data_cols],
-        snapshot_date_of(src).alias("snapshot_date"),
-        src.alias("_source_file"),
+        F.col("_snapshot_date").alias("snapshot_date"),
+        F.col("_source_file"),
         F.current_timestamp().alias("_ingested_at"),
         *([F.col("_row_number")] if number_rows else []))
     return shaped.where(F.col("snapshot_date").isNotNull())
