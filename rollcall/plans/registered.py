@@ -19,6 +19,7 @@ from rollcall.operators import canonical as CA
 from rollcall.operators import gaps as G
 from rollcall.plans import staging as S
 from rollcall.operators import checks as K
+from rollcall.plans import close as CL
 from rollcall.plans import derived as D
 from rollcall.session import materialize, scratch_path
 
@@ -359,20 +360,7 @@ def warn_names(spark, sf):
 
 
 def registry_checks(st, cl, hist):
-    C = K.Check
-    return [
-        C("stg_key_not_null", K.check_not_null(st, "entity_key")),
-        C("stg_region_not_null", K.check_not_null(st, "region_code")),
-        C("stg_number_not_null", K.check_not_null(st, "entity_no")),
-        C("stg_type_accepted", K.check_accepted(st, "entity_type", ["LOCAL", "NATIONAL"])),
-        C("stg_key_unique_per_snapshot", K.check_unique(st, ["entity_key", "snapshot_date"])),
-        C("hist_grain_unique", K.check_unique(hist, ["entity_key", "valid_from"])),
-        C("hist_interval_valid", K.check_interval(hist)),
-        C("hist_no_overlap", K.check_no_overlap(hist)),
-        C("hist_single_current", K.check_single_current(hist)),
-        C("warn_regions", K.warn_regions(st), K.WARN),
-        C("warn_names", K.warn_names(cl), K.WARN),
-    ]
+    return CL.registry_checks(st, cl, hist)
 
 
 def check_report(spark, sf):

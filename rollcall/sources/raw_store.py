@@ -43,11 +43,13 @@ def raw_schema(cols: list[str]) -> T.StructType:
 def list_snapshots(spark: SparkSession, path: str, pattern: str | None = None,
                    ext: str | None = None, recursive: bool = True) -> DataFrame:
     """Candidate snapshot files with their date and validity, in date
-    order then name order. Only the path is read (file content is pruned)."""
+    order then name order. Only the path is read (file content is pruned).
+    ``file_name`` is the name that carries the date: the file's own name, or
+    the directory name for a snapshot stored as part files."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
              .load(path).select("path"))
-    name = _uri_decode(F.regexp_extract("path", r"([^/]+)$", 1))
-    out = files.select(F.col("path"), name.alias("file_name"))
+    # a snapshot written as a directory of part files is named by its directory
+    out = with_source_name(files, "path", "file_name").select("path", "file_name")
     if ext:
         out = out.where(has_extension("file_name", ext))
     out = out.withColumn("snapshot_date", snapshot_date_of("file_name"))
