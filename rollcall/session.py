@@ -6,7 +6,6 @@ expressions or DataFrames, or read session configuration.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 

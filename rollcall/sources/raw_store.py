@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from rollcall.functions.names import (canonical_label, has_extension, is_valid_name,
                                       normalise_headers, snapshot_date_of)
 from rollcall.functions.text import utrim
+from rollcall.session import bounded_broadcast
 
 # Metadata columns added at ingest and their types; everything
 # else in the raw store is text. ``snapshot_date`` is required.
@@ -109,8 +110,9 @@ def read_snapshots(spark: SparkSession, paths, fmt: str = "csv", sep: str = ",",
     CSV is positional in Spark, so files are grouped by their (normalised)
     header and each group is read with its own schema; groups are combined
     with ``unionByName(allowMissingColumns=True)`` (extra columns are kept,
-    absent ones are NULL). Only the header lines - one per file - reach the
-    driver. Adds ``_file_path``, ``_block`` and ``_mid`` for row numbering and
+    absent ones are NULL). Only the header lines - one per file, the same
+    order of size as the file index Spark keeps on the driver for any file
+    read - reach the driver; no data row does. Adds ``_file_path``, ``_block`` and ``_mid`` for row numbering and
     the per-file ``_source_file`` / ``_snapshot_date``.
     """
     if isinstance(paths, str):
@@ -142,7 +144,7 @@ def _attach_source(spark: SparkSession, df: DataFrame, files: list[str]) -> Data
     row per listed file, broadcast) instead of once per row."""
     meta = with_source_name(spark.createDataFrame([(f,) for f in files], "_file_path string"))
     meta = meta.withColumn("_snapshot_date", snapshot_date_of("_source_file"))
-    return df.join(F.broadcast(meta), "_file_path", "left")
+    return df.join(bounded_broadcast(meta, what="file metadata"), "_file_path", "left")
 
 
 def row_numbers(df: DataFrame) -> DataFrame:

@@ -1,5 +1,4 @@
 import datetime as dt
-import itertools
 
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -104,4 +103,3 @@ def test_calendar_is_dense_over_loaded_dates(spark):
     cal = H.calendar(p).orderBy("snapshot_date").collect()
     assert [r.period for r in cal] == list(range(1, 7))
     assert [r.next_date for r in cal][:3] == [D[1], D[2], D[3]] and cal[-1].is_last
-    _ = list(itertools.chain())

@@ -1,5 +1,4 @@
 import datetime as dt
-import random
 
 from hypothesis import given, settings, strategies as st
 
@@ -95,12 +94,9 @@ def brute_backfill(rows):
                 min_size=1, max_size=40))
 def test_backfill_matches_row_order_definition(spark, cells):
     # unique (group, date, tie) so the row order is total, as in the model
-    seen, rows = set(), []
-    for i, (g, d, v) in enumerate(cells):
-        key = (f"g{g}", d, i)
-        rows.append((key[0], dt.date(2024, 1, 1) + dt.timedelta(days=d), i, None if v is None else str(v)))
+    rows = [(f"g{g}", dt.date(2024, 1, 1) + dt.timedelta(days=d), i, None if v is None else str(v))
+            for i, (g, d, v) in enumerate(cells)]
     df = spark.createDataFrame(rows, "g string, snapshot_date date, t int, v string")
     out = backfill(df, "v", ["g"], "snapshot_date", ["t"]).collect()
     got = sorted(((r.g, r.snapshot_date, r.t, r.v) for r in out), key=lambda r: (r[0], r[1], r[2], r[3] or ""))
     assert got == brute_backfill(rows)
-    _ = (seen, random)
