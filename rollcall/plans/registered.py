@@ -236,8 +236,14 @@ def backfill_numbers(spark, sf):
                       ["entity_type"]).select(*NORM_OUT)
 
 
+def stored_reg(spark, sf):
+    """The derived registry written once, in the role of the raw store table
+    (the staging chain scans its input twice)."""
+    return materialize(reg(spark, sf), "registry")
+
+
 def staged(spark, sf):
-    return S.stage(reg(spark, sf), D.region_lookup(spark, sf), D.region_fixes(spark),
+    return S.stage(stored_reg(spark, sf), D.region_lookup(spark, sf), D.region_fixes(spark),
                    D.name_fixes(spark))
 
 

@@ -92,10 +92,12 @@ def stage(raw: DataFrame, region_lookup: DataFrame | None = None,
           rules: Rules = Rules(), persist: bool = True) -> DataFrame:
     """The staged registry with ``STAGED_COLUMNS``.
 
-    With ``persist`` (default) the two intermediate results that are read
-    twice downstream - the input of the backfill and the staged table, which
-    the leader rule joins with itself - are written once to the checkpoint
-    folder; ``persist=False`` keeps everything one lazy plan.
+    ``raw`` should be a stored table (the raw store): the backfill reads its
+    input twice, and up to there every step is narrow (projections and
+    size-checked broadcast joins with the seeds), so a second scan is cheaper
+    than writing a copy. With ``persist`` (default) the staged table - read
+    twice by the leader rule, after windows and joins - is written once to the
+    checkpoint folder; ``persist=False`` keeps everything one lazy plan.
     """
     df = correct(normalise(raw, rules), region_fixes, name_fixes)
     if region_lookup is not None:
@@ -106,8 +108,6 @@ def stage(raw: DataFrame, region_lookup: DataFrame | None = None,
         df = df.withColumn("needs_region_review", F.lit(False)) \
             .withColumn("suggested_region", F.lit(None).cast("string"))
     tiebreak = ["entity_type"] + (["_row_number"] if "_row_number" in df.columns else [])
-    if persist:
-        df = materialize(df, "pre-backfill")          # read twice by the backfill
     df = backfill(df, "entity_no", ["region_code", "entity_name"], "snapshot_date", tiebreak)
     df = df.withColumn("entity_key", X.entity_key("entity_type", "region_code", "entity_no",
                                                   national_value=rules.national))

@@ -29,8 +29,8 @@ def main():
     hist = materialize(S.history(clean, cal), "hist")
 
     def full():
-        st = S.stage(D.registry(spark, sf), D.region_lookup(spark, sf), D.region_fixes(spark),
-                     D.name_fixes(spark))
+        raw = materialize(D.registry(spark, sf), "registry")   # stands in for the raw store
+        st = S.stage(raw, D.region_lookup(spark, sf), D.region_fixes(spark), D.name_fixes(spark))
         cl = materialize(S.clean(st), "clean")
         return list(S.marts(cl, D.geo_lookup(spark, sf)).values())
 
