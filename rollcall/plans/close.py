@@ -64,6 +64,21 @@ def monthly_close(spark: SparkSession, landing: str, store: str, marts_dir: str,
     if paths:
         fmt = ext.lstrip(".").lower() or "csv"
         res.rows_loaded = R.append_new(spark, R.shape_raw(R.read_snapshots(spark, paths, fmt)), store)
+    build_marts(spark, store, marts_dir, region_lookup, region_fixes, name_fixes, geo, rules,
+                stop_on_error, res)
+    if publish_dir:
+        res.publication = EX.export_current(spark.read.parquet(res.marts["current"]), publish_dir)
+    return res
+
+
+def build_marts(spark: SparkSession, store: str, marts_dir: str,
+                region_lookup: DataFrame | None = None, region_fixes: DataFrame | None = None,
+                name_fixes: DataFrame | None = None, geo: DataFrame | None = None,
+                rules: S.Rules = S.Rules(), stop_on_error: bool = True,
+                res: CloseResult | None = None) -> CloseResult:
+    """Raw store -> staged -> clean -> the five marts written under
+    ``marts_dir``, with the checks run before anything is written."""
+    res = res or CloseResult()
     staged = S.stage(R.read_raw(spark, store), region_lookup, region_fixes, name_fixes, rules)
     clean = materialize(S.clean(staged, rules), "clean")
     marts = S.marts(clean, geo)
@@ -73,6 +88,4 @@ def monthly_close(spark: SparkSession, landing: str, store: str, marts_dir: str,
         path = f"{marts_dir.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(path)
         res.marts[name] = path
-    if publish_dir:
-        res.publication = EX.export_current(spark.read.parquet(res.marts["current"]), publish_dir)
     return res

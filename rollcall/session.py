@@ -57,7 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is read from the session; only when nobody set it
     (a local test run) a fresh folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext handle (Spark Connect)
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rollcall-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
