@@ -33,6 +33,13 @@ METADATA_TYPES = {
 REQUIRED = {"snapshot_date"}
 META = list(METADATA_TYPES)
 
+# The cell texts pandas' spreadsheet reader treats as missing by
+# default (public pandas documentation). Opt-in for ``shape_raw(na_values=…)``;
+# by default only an empty cell is missing, so an acronym such as "NA" survives.
+PANDAS_NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+                    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+                    "nan", "null"]
+
 
 def raw_schema(cols: list[str]) -> T.StructType:
     """Metadata typed, the rest STRING; ``snapshot_date`` not nullable."""
@@ -121,7 +128,9 @@ def read_snapshots(spark: SparkSession, paths, fmt: str = "csv", sep: str = ",",
         df = spark.read.format(fmt).load(paths)
         df = df.toDF(*normalise_headers(df.columns))
         df = df.select([F.col(c).cast("string").alias(c) for c in df.columns])
-        return _attach_source(spark, _with_file_meta(df), df.inputFiles())
+        # inputFiles() writes local files as file:///…, _metadata as file:/…
+        files = [re.sub(r"^file:///", "file:/", f) for f in df.inputFiles()]
+        return _attach_source(spark, _with_file_meta(df), files)
     heads = csv_headers(spark, paths).collect()
     groups: dict[tuple, list[str]] = {}
     for r in heads:
@@ -169,10 +178,12 @@ def row_numbers(df: DataFrame) -> DataFrame:
             .drop("_first", "_offset"))
 
 
-def shape_raw(df: DataFrame, number_rows: bool = True) -> DataFrame:
+def shape_raw(df: DataFrame, number_rows: bool = True,
+              na_values: list[str] | None = None) -> DataFrame:
     """Every data column -> text, NULL -> '', Unicode trim; add
     ``snapshot_date`` (from the source name), ``_source_file``, ``_ingested_at``
-    (UTC) and ``_row_number``. Rows without a date in their name are dropped."""
+    (UTC) and ``_row_number``. Rows without a date in their name are dropped.
+    ``na_values`` (e.g. ``PANDAS_NA_VALUES``) lists cell texts read as missing."""
     data_cols = [c for c in df.columns if not c.startswith("_") and c not in METADATA_TYPES]
     if number_rows:
         df = row_numbers(df)
@@ -180,8 +191,13 @@ def shape_raw(df: DataFrame, number_rows: bool = True) -> DataFrame:
         df = with_source_name(df)
     if "_snapshot_date" not in df.columns:
         df = df.withColumn("_snapshot_date", snapshot_date_of("_source_file"))
+    def cell(c):
+        v = F.col(c).cast("string")
+        if na_values:
+            v = F.when(v.isin(list(na_values)), F.lit(None)).otherwise(v)
+        return utrim(F.coalesce(v, F.lit(""))).alias(c)
     shaped = df.select(
-        *[utrim(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in data_cols],
+        *[cell(c) for c in data_cols],
         F.col("_snapshot_date").alias("snapshot_date"),
         F.col("_source_file"),
         F.current_timestamp().alias("_ingested_at"),

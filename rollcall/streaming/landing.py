@@ -22,7 +22,8 @@ from rollcall.sources import raw_store as R
 BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, content binary")
 
 
-def _ingest_batch(spark: SparkSession, store: str, ext: str, cluster_by: str | None):
+def _ingest_batch(spark: SparkSession, store: str, ext: str, cluster_by: str | None,
+                  fmt: str = "csv"):
     def run(batch: DataFrame, batch_id: int) -> None:
         files = (batch.select("path").withColumn("_name", F.regexp_extract("path", r"([^/]+)$", 1))
                  .where(F.lower("_name").endswith(ext.lower()) | F.lit(ext == ""))
@@ -31,7 +32,7 @@ def _ingest_batch(spark: SparkSession, store: str, ext: str, cluster_by: str | N
         paths = [R.reader_path(r["path"]) for r in files.collect()]
         if not paths:
             return
-        shaped = R.shape_raw(R.read_snapshots(spark, paths))
+        shaped = R.shape_raw(R.read_snapshots(spark, paths, fmt))
         # first file (by name) wins when two new files share one date
         first = (shaped.groupBy("snapshot_date")
                  .agg(F.min("_source_file").alias("_first")))
@@ -43,7 +44,7 @@ def _ingest_batch(spark: SparkSession, store: str, ext: str, cluster_by: str | N
 
 def stream_new_snapshots(spark: SparkSession, landing_dir: str, store: str, checkpoint: str,
                          ext: str = ".csv", max_files_per_trigger: int | None = 1000,
-                         cluster_by: str | None = "region_name"):
+                         cluster_by: str | None = "region_name", fmt: str = "csv"):
     """Start an ``availableNow`` stream that loads every not-yet-seen file in
     ``landing_dir`` into the raw store at ``store`` and then stops. Returns the
     StreamingQuery (call ``awaitTermination()``)."""
@@ -52,6 +53,6 @@ def stream_new_snapshots(spark: SparkSession, landing_dir: str, store: str, chec
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(landing_dir).select("path")
-    return (stream.writeStream.foreachBatch(_ingest_batch(spark, store, ext, cluster_by))
+    return (stream.writeStream.foreachBatch(_ingest_batch(spark, store, ext, cluster_by, fmt))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

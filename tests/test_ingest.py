@@ -123,3 +123,14 @@ def test_export_current_sorted_named_by_latest(spark, tmp_dir):
     assert export_current.last_rows == 3
     assert rows[2].split(",")[7] == "02-01-1990" and rows[0].split(",")[7] == ""
     assert export_current(cur.where("false"), tmp_dir + "/none") is None
+
+
+def test_na_values_option_and_json_snapshots(spark, tmp_dir):
+    write(f"{tmp_dir}/na/Entities Registry at 31_01_2026.csv", "acronym,entity_name\nNA,N/A\n")
+    raw = R.read_snapshots(spark, f"{tmp_dir}/na")
+    assert [(r.acronym, r.entity_name) for r in R.shape_raw(raw).collect()] == [("NA", "N/A")]
+    got = R.shape_raw(raw, na_values=R.PANDAS_NA_VALUES).collect()
+    assert [(r.acronym, r.entity_name) for r in got] == [("", "")]
+    write(f"{tmp_dir}/js/Entities Registry at 28_02_2026.json", '{"Entity Name": "A", "N": 2}\n')
+    js = R.shape_raw(R.read_snapshots(spark, f"{tmp_dir}/js", fmt="json"))
+    assert [(r.entity_name, r.n, str(r.snapshot_date)) for r in js.collect()] == [("A", "2", "2026-02-28")]
