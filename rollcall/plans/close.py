@@ -27,10 +27,32 @@ class CloseResult:
     publication: str | None = None
 
 
+def seed_checks(region_lookup: DataFrame | None = None, region_fixes: DataFrame | None = None,
+                name_fixes: DataFrame | None = None) -> list:
+    """Checks on the seed tables: lookup codes unique and present, every
+    correction row complete (a name correction's date may be empty)."""
+    C, out = K.Check, []
+    if region_lookup is not None:
+        out += [C("lookup_code_unique", K.check_unique(region_lookup, "region_code")),
+                C("lookup_code_not_null", K.check_not_null(region_lookup, "region_code")),
+                C("lookup_name_not_null", K.check_not_null(region_lookup, "region_name"))]
+    if region_fixes is not None:
+        out += [C(f"region_fix_{c}_not_null", K.check_not_null(region_fixes, c))
+                for c in ("snapshot_date", "region_code", "entity_no", "region_code_fixed")]
+    if name_fixes is not None:
+        out += [C(f"name_fix_{c}_not_null", K.check_not_null(name_fixes, c))
+                for c in ("entity_type", "region_code", "entity_no", "entity_name_fixed")]
+    return out
+
+
 def registry_checks(staged: DataFrame, clean: DataFrame, hist: DataFrame) -> list:
     """The checks attached to the registry layers (error unless marked warn)."""
     C = K.Check
     return [
+        C("hist_key_not_null", K.check_not_null(hist, "entity_key")),
+        C("hist_from_not_null", K.check_not_null(hist, "valid_from")),
+        C("hist_to_not_null", K.check_not_null(hist, "valid_to")),
+        C("hist_current_not_null", K.check_not_null(hist, "is_current")),
         C("stg_key_not_null", K.check_not_null(staged, "entity_key")),
         C("stg_region_not_null", K.check_not_null(staged, "region_code")),
         C("stg_number_not_null", K.check_not_null(staged, "entity_no")),
@@ -82,7 +104,8 @@ def build_marts(spark: SparkSession, store: str, marts_dir: str,
     staged = S.stage(R.read_raw(spark, store), region_lookup, region_fixes, name_fixes, rules)
     clean = materialize(S.clean(staged, rules), "clean")
     marts = S.marts(clean, geo)
-    report = K.run_checks(registry_checks(staged, clean, marts["history"]))
+    report = K.run_checks(seed_checks(region_lookup, region_fixes, name_fixes)
+                          + registry_checks(staged, clean, marts["history"]))
     res.checks = K.gate(report) if stop_on_error else report.collect()
     for name, df in marts.items():
         path = f"{marts_dir.rstrip('/')}/{name}"

@@ -373,7 +373,8 @@ def check_report(spark, sf):
     st = staged(spark, sf)
     cl = materialize(S.clean(st), "clean")
     hist = materialize(S.history(cl), "history")
-    return K.run_checks(registry_checks(st, cl, hist))
+    seeds = CL.seed_checks(D.region_lookup(spark, sf), D.region_fixes(spark), D.name_fixes(spark))
+    return K.run_checks(seeds + registry_checks(st, cl, hist))
 
 
 REGISTRY.update({
