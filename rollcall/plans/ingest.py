@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.names import has_extension, snapshot_date_of
@@ -17,7 +17,9 @@ def plan_ingest(files: DataFrame, loaded: DataFrame, ext: str | None = ".csv",
     IGNORED: wrong extension or no parseable date in the name. SKIP: the date
     is loaded already, or another file with the same date sorts first by name
     (first file wins). LOAD otherwise. Returns ``file_name, snapshot_date,
-    status``; the window runs per date (files sharing one date), never globally.
+    status``. The first file of each date comes from an aggregate (partial
+    ``min`` per date, one row per date), so neither a date with very many files
+    nor the mass of undated files ever lands in a single task.
     """
     f = files.select(F.col(name_col).alias("file_name")) \
         .withColumn("snapshot_date", snapshot_date_of("file_name"))
@@ -26,12 +28,12 @@ def plan_ingest(files: DataFrame, loaded: DataFrame, ext: str | None = ".csv",
         ok = ok & has_extension("file_name", ext)
     f = f.withColumn("_ok", ok)
     done = loaded.select("snapshot_date").distinct().withColumn("_loaded", F.lit(True))
-    f = f.join(done, "snapshot_date", "left")
-    w = Window.partitionBy("snapshot_date", "_ok").orderBy("file_name")
-    f = f.withColumn("_rn", F.row_number().over(w))
+    first = (f.where("_ok").groupBy("snapshot_date")
+             .agg(F.min("file_name").alias("_first")))
+    f = f.join(done, "snapshot_date", "left").join(first, "snapshot_date", "left")
     status = (F.when(~F.col("_ok"), F.lit(IGNORED))
               .when(F.col("_loaded").isNotNull(), F.lit(SKIP))
-              .when(F.col("_rn") > 1, F.lit(SKIP))
+              .when(F.col("file_name") != F.col("_first"), F.lit(SKIP))
               .otherwise(F.lit(LOAD)))
     return f.select("file_name", "snapshot_date", status.alias("status"))
 

@@ -24,7 +24,7 @@ def main():
     from pyspark.sql import functions as F
     from rollcall.session import get_session, materialize
     from rollcall.plans import derived as D, staging as S
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
     base = materialize(D.registry(spark, sf), "registry")
     span = base.agg(F.datediff(F.max("snapshot_date"), F.min("snapshot_date"))).first()[0] + 1
     out = {}

@@ -20,7 +20,7 @@ def main():
     from rollcall.session import get_session, materialize
     from rollcall.plans import derived as D, staging as S
     from rollcall.operators import canonical as C, gaps as G, history as H
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
     reg = materialize(D.registry(spark, sf), "reg")
     corrected = materialize(S.correct(S.normalise(reg), D.region_fixes(spark), D.name_fixes(spark)), "corr")
     staged = S.stage(reg, D.region_lookup(spark, sf), D.region_fixes(spark), D.name_fixes(spark))
