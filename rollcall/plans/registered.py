@@ -64,18 +64,20 @@ def current_entities(spark, sf):
     return H.current_view(hist, key="user_id", flag_col="has_credit")
 
 
-def movements_daily(spark, sf):
-    daily = D.events_daily(spark, sf)
-    cal = H.calendar(daily)
-    hist = H.scd2_presence(daily, "user_id", "snapshot_date", [], cal=cal)
+def _movements(panel, key):
+    """Calendar and history are each read several times by the movements, so
+    both are written once (both are small next to the panel)."""
+    cal = materialize(H.calendar(panel), "calendar")
+    hist = materialize(H.scd2_presence(panel, key, "snapshot_date", [], cal=cal), "history")
     return H.movements(hist, cal)
 
 
+def movements_daily(spark, sf):
+    return _movements(D.events_daily(spark, sf), "user_id")
+
+
 def movements_monthly(spark, sf):
-    panel = orders_monthly(spark, sf)
-    cal = H.calendar(panel)
-    hist = H.scd2_presence(panel, "o_custkey", "snapshot_date", [], cal=cal)
-    return H.movements(hist, cal)
+    return _movements(orders_monthly(spark, sf), "o_custkey")
 
 
 def typed_daily(spark, sf):
@@ -266,8 +268,8 @@ def registry_current(spark, sf):
 
 def registry_movements(spark, sf):
     c = clean_table(spark, sf)
-    cal = H.calendar(c)
-    return H.movements(S.history(c, cal), cal)
+    cal = materialize(H.calendar(c), "calendar")
+    return H.movements(materialize(S.history(c, cal), "history"), cal)
 
 
 def registry_summary(spark, sf):
