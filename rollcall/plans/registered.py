@@ -342,7 +342,7 @@ def check_interval(spark, sf):
 
 
 def check_history_grain(spark, sf):
-    h = _order_history(spark, sf)
+    h = materialize(_order_history(spark, sf), "history")     # read by both union branches
     return K.check_unique(h.unionByName(h.where("is_current")), ["o_custkey", "valid_from"])
 
 
