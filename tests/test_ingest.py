@@ -134,3 +134,21 @@ def test_na_values_option_and_json_snapshots(spark, tmp_dir):
     write(f"{tmp_dir}/js/Entities Registry at 28_02_2026.json", '{"Entity Name": "A", "N": 2}\n')
     js = R.shape_raw(R.read_snapshots(spark, f"{tmp_dir}/js", fmt="json"))
     assert [(r.entity_name, r.n, str(r.snapshot_date)) for r in js.collect()] == [("A", "2", "2026-02-28")]
+
+
+def test_raw_schema_store_namespace_and_materialise(spark, tmp_dir):
+    from pyspark.sql import types as T
+    sch = R.raw_schema(["entity_name", "snapshot_date", "_source_file", "_ingested_at", "_row_number"])
+    assert [(f.name, f.dataType, f.nullable) for f in sch.fields] == [
+        ("entity_name", T.StringType(), True), ("snapshot_date", T.DateType(), False),
+        ("_source_file", T.StringType(), True), ("_ingested_at", T.TimestampType(), True),
+        ("_row_number", T.LongType(), True)]
+    R.ensure_store(spark, "rollcall_test_store")
+    R.ensure_store(spark, "rollcall_test_store")          # idempotent
+    assert spark.catalog.databaseExists("rollcall_test_store")
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    view = R.materialise(df, "layer_view")
+    assert view is df and spark.table("layer_view").count() == 1
+    table = R.materialise(df, "layer_table", kind="table", path=f"{tmp_dir}/layer_table")
+    assert table.collect()[0].v == "a" and spark.table("layer_table").count() == 1
+    assert R.select_known(df, ["v", "missing"]).columns == ["v", "missing"]
