@@ -8,19 +8,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.operators import history as H
-from rollcall.operators import marts as M
 from rollcall.functions import names as N
-from rollcall.plans import ingest as I
-from rollcall.sources import raw_store as R
-from rollcall.sources import export as EX
 from rollcall.functions import text as X
 from rollcall.operators import canonical as CA
-from rollcall.operators import gaps as G
-from rollcall.plans import staging as S
 from rollcall.operators import checks as K
+from rollcall.operators import gaps as G
+from rollcall.operators import history as H
+from rollcall.operators import marts as M
 from rollcall.plans import close as CL
 from rollcall.plans import derived as D
+from rollcall.plans import ingest as I
+from rollcall.plans import staging as S
+from rollcall.sources import export as EX
+from rollcall.sources import raw_store as R
 from rollcall.session import materialize, scratch_path
 
 
@@ -273,7 +273,7 @@ def registry_movements(spark, sf):
 
 
 def registry_summary(spark, sf):
-    return M.summary(clean_table(spark, sf))
+    return M.summary(clean_registry(spark, sf))          # one read: no need to write it
 
 
 def registry_panel(spark, sf):
