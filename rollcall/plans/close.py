@@ -58,6 +58,9 @@ def registry_checks(staged: DataFrame, clean: DataFrame, hist: DataFrame) -> lis
         C("stg_number_not_null", K.check_not_null(staged, "entity_no")),
         C("stg_type_accepted", K.check_accepted(staged, "entity_type", ["LOCAL", "NATIONAL"])),
         C("stg_key_unique_per_snapshot", K.check_unique(staged, ["entity_key", "snapshot_date"])),
+        # the leader rule joins on (date, number): two leaders there would fan out
+        C("leader_unique_per_snapshot", K.check_unique(
+            staged.where(F.col("entity_type") == "NATIONAL"), ["snapshot_date", "entity_no"])),
         C("hist_grain_unique", K.check_unique(hist, ["entity_key", "valid_from"])),
         C("hist_interval_valid", K.check_interval(hist)),
         C("hist_no_overlap", K.check_no_overlap(hist)),
