@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ERROR, WARN = "error", "warn"
@@ -86,26 +86,60 @@ def warn_names(clean_df: DataFrame) -> DataFrame:
 
 @dataclass
 class Check:
+    """A named check: ``rows`` are the offending rows. ``predicate`` and
+    ``source`` are set for row-level checks (``source`` rows where the
+    predicate holds), which ``run_checks`` counts in one pass per source."""
     name: str
     rows: DataFrame
     severity: str = ERROR
+    predicate: Column | None = None
+    source: DataFrame | None = None
+
+
+def not_null_check(name: str, df: DataFrame, col: str, severity: str = ERROR) -> Check:
+    """K1 as a row-level check."""
+    return Check(name, check_not_null(df, col), severity, F.col(col).isNull(), df)
+
+
+def accepted_check(name: str, df: DataFrame, col: str, values: Sequence[str],
+                   severity: str = ERROR) -> Check:
+    """K3 as a row-level check (NULL passes)."""
+    return Check(name, check_accepted(df, col, values), severity, ~F.col(col).isin(list(values)), df)
+
+
+def interval_check(name: str, df: DataFrame, key: str = "entity_key", start: str = "valid_from",
+                   end: str = "valid_to", severity: str = ERROR) -> Check:
+    """K6 as a row-level check."""
+    return Check(name, check_interval(df, key, start, end), severity, F.col(start) > F.col(end), df)
 
 
 def run_checks(checks: Sequence[Check]) -> DataFrame:
     """One row per check - name, severity, failing-row count, status.
 
-    All counts are aggregates unioned into a single plan, so one action runs
-    every check; an error with failures should stop the caller's run
-    (see ``gate``), a warn only reports.
+    Row-level checks on the same table are counted together in one pass
+    (``count_if`` per predicate, unpivoted with ``stack``); the others are
+    one aggregate each. Everything is unioned into a single plan, so one
+    action runs all checks. An error with failures should stop the caller's
+    run (see ``gate``); a warn only reports.
     """
-    out = None
+    parts, by_source = [], {}
     for c in checks:
-        one = c.rows.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures")
-        out = one if out is None else out.unionByName(one)
+        if c.predicate is not None and c.source is not None:
+            by_source.setdefault(id(c.source), (c.source, []))[1].append(c)
+        else:
+            parts.append(c.rows.agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures"))
+    for source, group in by_source.values():
+        counts = source.agg(*[F.count_if(c.predicate).alias(f"_c{i}") for i, c in enumerate(group)])
+        pairs = ", ".join(f"'{c.name}', '{c.severity}', _c{i}" for i, c in enumerate(group))
+        parts.append(counts.select(F.expr(f"stack({len(group)}, {pairs})")
+                                   .alias("check", "severity", "failures")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     status = (F.when(F.col("failures") == 0, F.lit("PASS"))
               .when(F.col("severity") == ERROR, F.lit("FAIL")).otherwise(F.lit("WARN")))
-    return out.withColumn("status", status)
+    return out.withColumn("failures", F.col("failures").cast("bigint")).withColumn("status", status)
 
 
 def gate(report: DataFrame) -> list:

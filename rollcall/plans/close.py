@@ -34,35 +34,36 @@ def seed_checks(region_lookup: DataFrame | None = None, region_fixes: DataFrame
     C, out = K.Check, []
     if region_lookup is not None:
         out += [C("lookup_code_unique", K.check_unique(region_lookup, "region_code")),
-                C("lookup_code_not_null", K.check_not_null(region_lookup, "region_code")),
-                C("lookup_name_not_null", K.check_not_null(region_lookup, "region_name"))]
+                K.not_null_check("lookup_code_not_null", region_lookup, "region_code"),
+                K.not_null_check("lookup_name_not_null", region_lookup, "region_name")]
     if region_fixes is not None:
-        out += [C(f"region_fix_{c}_not_null", K.check_not_null(region_fixes, c))
+        out += [K.not_null_check(f"region_fix_{c}_not_null", region_fixes, c)
                 for c in ("snapshot_date", "region_code", "entity_no", "region_code_fixed")]
     if name_fixes is not None:
-        out += [C(f"name_fix_{c}_not_null", K.check_not_null(name_fixes, c))
+        out += [K.not_null_check(f"name_fix_{c}_not_null", name_fixes, c)
                 for c in ("entity_type", "region_code", "entity_no", "entity_name_fixed")]
     return out
 
 
 def registry_checks(staged: DataFrame, clean: DataFrame, hist: DataFrame) -> list:
-    """The checks attached to the registry layers (error unless marked warn)."""
+    """The checks attached to the registry layers (error unless marked warn).
+    Row-level checks of one table share one pass over it."""
     C = K.Check
     return [
-        C("hist_key_not_null", K.check_not_null(hist, "entity_key")),
-        C("hist_from_not_null", K.check_not_null(hist, "valid_from")),
-        C("hist_to_not_null", K.check_not_null(hist, "valid_to")),
-        C("hist_current_not_null", K.check_not_null(hist, "is_current")),
-        C("stg_key_not_null", K.check_not_null(staged, "entity_key")),
-        C("stg_region_not_null", K.check_not_null(staged, "region_code")),
-        C("stg_number_not_null", K.check_not_null(staged, "entity_no")),
-        C("stg_type_accepted", K.check_accepted(staged, "entity_type", ["LOCAL", "NATIONAL"])),
+        K.not_null_check("hist_key_not_null", hist, "entity_key"),
+        K.not_null_check("hist_from_not_null", hist, "valid_from"),
+        K.not_null_check("hist_to_not_null", hist, "valid_to"),
+        K.not_null_check("hist_current_not_null", hist, "is_current"),
+        K.not_null_check("stg_key_not_null", staged, "entity_key"),
+        K.not_null_check("stg_region_not_null", staged, "region_code"),
+        K.not_null_check("stg_number_not_null", staged, "entity_no"),
+        K.accepted_check("stg_type_accepted", staged, "entity_type", ["LOCAL", "NATIONAL"]),
         C("stg_key_unique_per_snapshot", K.check_unique(staged, ["entity_key", "snapshot_date"])),
         # the leader rule joins on (date, number): two leaders there would fan out
         C("leader_unique_per_snapshot", K.check_unique(
             staged.where(F.col("entity_type") == "NATIONAL"), ["snapshot_date", "entity_no"])),
         C("hist_grain_unique", K.check_unique(hist, ["entity_key", "valid_from"])),
-        C("hist_interval_valid", K.check_interval(hist)),
+        K.interval_check("hist_interval_valid", hist),
         C("hist_no_overlap", K.check_no_overlap(hist)),
         C("hist_single_current", K.check_single_current(hist)),
         C("warn_regions", K.warn_regions(staged), K.WARN),
