@@ -21,7 +21,7 @@ from rollcall.plans import ingest as I
 from rollcall.plans import staging as S
 from rollcall.sources import export as EX
 from rollcall.sources import raw_store as R
-from rollcall.session import materialize, scratch_path
+from rollcall.session import materialize, scratch_path, small_table
 
 
 def scd2_event_presence(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,9 +65,10 @@ def current_entities(spark, sf):
 
 
 def _movements(panel, key):
-    """Calendar and history are each read several times by the movements, so
-    both are written once (both are small next to the panel)."""
-    cal = materialize(H.calendar(panel), "calendar")
+    """Calendar and history are each read several times by the movements: the
+    calendar (one row per snapshot) is pinned as a local table, the history
+    written once."""
+    cal = small_table(H.calendar(panel), "calendar")
     hist = materialize(H.scd2_presence(panel, key, "snapshot_date", [], cal=cal), "history")
     return H.movements(hist, cal)
 
@@ -268,7 +269,7 @@ def registry_current(spark, sf):
 
 def registry_movements(spark, sf):
     c = clean_table(spark, sf)
-    cal = materialize(H.calendar(c), "calendar")
+    cal = small_table(H.calendar(c), "calendar")
     return H.movements(materialize(S.history(c, cal), "history"), cal)
 
 

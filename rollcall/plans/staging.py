@@ -21,7 +21,7 @@ from rollcall.operators import history as H
 from rollcall.operators import marts as M
 from rollcall.operators.corrections import apply_corrections
 from rollcall.operators.gaps import backfill
-from rollcall.session import materialize
+from rollcall.session import materialize, small_table
 
 # The column layout of the registry at each layer.
 RAW_COLUMNS = ["entity_type", "region_code", "region_name", "entity_no", "entity_name",
@@ -136,7 +136,7 @@ def marts(clean_df: DataFrame, geo: DataFrame | None = None,
     written once too."""
     cal = H.calendar(clean_df)
     if persist:
-        cal = materialize(cal, "calendar")
+        cal = small_table(cal, "calendar")            # one row per loaded snapshot
     hist = history(clean_df, cal)
     if persist:
         hist = materialize(hist, "history")

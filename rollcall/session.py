@@ -95,6 +95,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def small_table(df: DataFrame, name: str = "small", max_rows: int = 100_000) -> DataFrame:
+    """Pin a result that is bounded by metadata (e.g. the snapshot calendar, one
+    row per loaded snapshot) as a local table: exact statistics, broadcast-ready,
+    no write. The bound is checked: beyond ``max_rows`` it is written as a table
+    (``materialize``) instead, so nothing unbounded passes through the driver."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema)
+    return materialize(df, name)
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (no job is run); None if unknown."""
     try:
@@ -125,5 +136,5 @@ def local_path(p: str) -> str:
 
 __all__ = [
     "DEFAULT_CONF", "get_session", "ensure_checkpoint_dir", "scratch_path",
-    "bounded_broadcast", "local_path", "materialize", "estimated_bytes",
+    "bounded_broadcast", "local_path", "materialize", "small_table", "estimated_bytes",
 ]

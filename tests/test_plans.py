@@ -69,3 +69,12 @@ def test_checks_count_with_partial_aggregation(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet").selectExpr("user_id", "to_date(ts) AS d")
     plan = physical(K.check_unique(ev, ["user_id", "d"]), spark)
     assert "partial_count" in plan
+
+
+def test_small_table_is_bounded(spark):
+    from rollcall.session import small_table
+    local = small_table(spark.range(10), max_rows=50)
+    assert local.count() == 10 and "LocalTableScan" in local._jdf.queryExecution().executedPlan().toString()
+    written = small_table(spark.range(10), max_rows=5)      # over the bound: a written table instead
+    plan = written._jdf.queryExecution().executedPlan().toString()
+    assert written.count() == 10 and "FileScan parquet" in plan
