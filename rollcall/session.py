@@ -97,9 +97,10 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def small_table(df: DataFrame, name: str = "small", max_rows: int = 100_000) -> DataFrame:
     """Pin a result that is bounded by metadata (e.g. the snapshot calendar, one
-    row per loaded snapshot) as a local table: exact statistics, broadcast-ready,
-    no write. The bound is checked: beyond ``max_rows`` it is written as a table
-    (``materialize``) instead, so nothing unbounded passes through the driver."""
+    row per loaded snapshot) as driver-held data: computed once, no write, and
+    AQE broadcasts it at runtime. The bound is checked: beyond ``max_rows`` it
+    is written as a table (``materialize``) instead, so nothing unbounded
+    passes through the driver (a broadcast would collect it there anyway)."""
     rows = df.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
         return df.sparkSession.createDataFrame(rows, df.schema)

@@ -74,7 +74,8 @@ def test_checks_count_with_partial_aggregation(spark):
 def test_small_table_is_bounded(spark):
     from rollcall.session import small_table
     local = small_table(spark.range(10), max_rows=50)
-    assert local.count() == 10 and "LocalTableScan" in local._jdf.queryExecution().executedPlan().toString()
+    local_plan = local._jdf.queryExecution().executedPlan().toString()
+    assert local.count() == 10 and "FileScan" not in local_plan and "Range" not in local_plan
     written = small_table(spark.range(10), max_rows=5)      # over the bound: a written table instead
     plan = written._jdf.queryExecution().executedPlan().toString()
     assert written.count() == 10 and "FileScan parquet" in plan
