@@ -12,7 +12,8 @@ unbounded following" frame is re-evaluated per row. Instead:
    non-null value of that date) - at most one row per loaded snapshot per group;
 3. running carries over that summary (previous dates, next dates), again with
    running frames in both directions;
-4. one join back on (group, date), null-safe on the group columns.
+4. one join back on (group, date) keys that carry NULL as a flag, so the
+   rows keep the distribution of step 1 and only the summary side moves.
 
 The input is read twice (rows and the per-date summary); pipelines hand it a
 materialised table (``session.materialize``) when it is expensive to compute.
@@ -30,31 +31,42 @@ def backfill(df: DataFrame, col: str, partition: Sequence[str], order: str = "sn
              tiebreak: Sequence[str] = ()) -> DataFrame:
     """``coalesce(own, last non-null before, first non-null after)`` within
     ``partition``, in (order, tiebreak…) order. Without tie-break columns, rows
-    of one date are ordered by the value itself, which keeps it deterministic."""
-    g = list(partition)
+    of one date are ordered by the value itself, which keeps it deterministic.
+
+    NULL group values form their own group (as a window partition does). The
+    group and date are turned into plain key columns (value or '' plus an
+    is-NULL flag) once, so the same-date windows, the per-date summary and the
+    join back all use one hash distribution: the rows are shuffled once.
+    """
     v = F.col(col)
+    keyed = df
+    keys = []
+    for i, c in enumerate(list(partition) + [order]):
+        keyed = (keyed.withColumn(f"_k{i}", F.coalesce(F.col(c).cast("string"), F.lit("")))
+                      .withColumn(f"_n{i}", F.col(c).isNull()))
+        keys += [f"_k{i}", f"_n{i}"]
+    gkeys = keys[:-2]                       # group only
     tb = [F.col(c) for c in tiebreak] or [v]
     tb_desc = [c.desc() for c in tb]
     before = Window.unboundedPreceding
-    w_same = Window.partitionBy(*g, order).orderBy(*tb).rowsBetween(before, -1)
-    w_same_rev = Window.partitionBy(*g, order).orderBy(*tb_desc).rowsBetween(before, -1)
-    rows = (df.withColumn("_sd_prev", F.last(v, ignorenulls=True).over(w_same))
-              .withColumn("_sd_next", F.last(v, ignorenulls=True).over(w_same_rev)))
-
-    key = F.struct(*tb)
-    nn_key = F.when(v.isNotNull(), key)
-    per_date = df.groupBy(*[F.col(c).alias(f"_g_{i}") for i, c in enumerate(g)],
-                            F.col(order).alias("_d")).agg(
+    w_same = Window.partitionBy(*keys).orderBy(*tb).rowsBetween(before, -1)
+    w_same_rev = Window.partitionBy(*keys).orderBy(*tb_desc).rowsBetween(before, -1)
+    rows = (keyed.withColumn("_sd_prev", F.last(v, ignorenulls=True).over(w_same))
+                 .withColumn("_sd_next", F.last(v, ignorenulls=True).over(w_same_rev)))
+
+    nn_key = F.when(v.isNotNull(), F.struct(*tb))
+    per_date = keyed.groupBy(*keys).agg(
+        F.max(F.col(order)).alias("_d"),
         F.max_by(v, nn_key).alias("_last"), F.min_by(v, nn_key).alias("_first"))
-    gg = [f"_g_{i}" for i in range(len(g))]
-    w_prev = Window.partitionBy(*gg).orderBy("_d").rowsBetween(before, -1)
-    w_next = Window.partitionBy(*gg).orderBy(F.col("_d").desc()).rowsBetween(before, -1)
+    # dates ascending with a NULL date first, as a window orders them
+    asc = [F.col(keys[-1]).desc(), F.col("_d").asc()]
+    desc = [F.col(keys[-1]).asc(), F.col("_d").desc()]
+    w_prev = Window.partitionBy(*gkeys).orderBy(*asc).rowsBetween(before, -1)
+    w_next = Window.partitionBy(*gkeys).orderBy(*desc).rowsBetween(before, -1)
     carries = (per_date
                .withColumn("_prev", F.last("_last", ignorenulls=True).over(w_prev))
                .withColumn("_next", F.last("_first", ignorenulls=True).over(w_next))
-               .select(*gg, "_d", "_prev", "_next"))
-    cond = [rows[c].eqNullSafe(carries[x]) for c, x in zip(g, gg)] + \
-        [rows[order].eqNullSafe(carries["_d"])]
-    j = rows.join(carries, cond, "left")
+               .select(*keys, "_prev", "_next"))
+    j = rows.join(carries, keys, "left")
     filled = F.coalesce(v, F.col("_sd_prev"), F.col("_prev"), F.col("_sd_next"), F.col("_next"))
     return j.select(*[filled.alias(c) if c == col else F.col(c) for c in df.columns])

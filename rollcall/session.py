@@ -100,10 +100,12 @@ def small_table(df: DataFrame, name: str = "small", max_rows: int = 100_000) ->
     row per loaded snapshot) as driver-held data: computed once, no write, and
     AQE broadcasts it at runtime. The bound is checked: beyond ``max_rows`` it
     is written as a table (``materialize``) instead, so nothing unbounded
-    passes through the driver (a broadcast would collect it there anyway)."""
+    passes through the driver (a broadcast would collect it there anyway).
+    The result carries the broadcast hint."""
     rows = df.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
+        # bounded by the check above, so every join may broadcast it
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     return materialize(df, name)
 
 
@@ -115,17 +117,24 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int = 64 << 20, what: str = "") -> DataFrame:
+UNKNOWN_SIZE = (1 << 63) - 1     # Catalyst's default size for plans it cannot estimate
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = 64 << 20, what: str = "",
+                      max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast hint for a side whose size is checked, not assumed.
 
-    Used for seed / lookup tables the user hands in. The check is the
-    optimizer's size estimate of the plan (file sizes for scans, exact for
-    local data), the same statistic ``autoBroadcastJoinThreshold`` uses; beyond
-    ``max_bytes`` no hint is given and the planner keeps a shuffle join (AQE
-    may still convert it once the real size is known).
+    Used for seed / lookup tables the user hands in (leaves of the plan). The
+    check is the optimizer's size estimate (file sizes for scans, the same
+    statistic ``autoBroadcastJoinThreshold`` uses) when it has one; when it has
+    none (rows created in memory), the rows are counted up to ``max_rows`` -
+    cheap for a seed. Beyond either bound no hint is given and the planner keeps
+    a shuffle join (AQE may still convert it once the real size is known).
     """
     n = estimated_bytes(df)
-    if n is not None and n <= max_bytes:
+    if n is not None and n < UNKNOWN_SIZE:
+        return F.broadcast(df) if n <= max_bytes else df
+    if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
 
