@@ -126,9 +126,11 @@ def movements(history: DataFrame, cal: DataFrame) -> DataFrame:
                 .agg(F.sum("n_end").alias("removals")))
     adds = F.coalesce(F.col("additions"), F.lit(0)).cast("bigint")
     rems = F.coalesce(F.col("removals"), F.lit(0)).cast("bigint")
+    # both count tables have at most one row per loaded snapshot (their dates
+    # come from the calendar), so they are the broadcast build sides
     return (c.select("snapshot_date")
-            .join(additions, "snapshot_date", "left")
-            .join(removals, "snapshot_date", "left")
+            .join(F.broadcast(additions), "snapshot_date", "left")
+            .join(F.broadcast(removals), "snapshot_date", "left")
             .select("snapshot_date",
                     year_of("snapshot_date").alias("year"),
                     month_text("snapshot_date").alias("month"),

@@ -121,17 +121,19 @@ UNKNOWN_SIZE = (1 << 63) - 1     # Catalyst's default size for plans it cannot e
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int = 64 << 20, what: str = "",
-                      max_rows: int = 1_000_000) -> DataFrame:
+                      max_rows: int = 1_000_000, count_check: bool = False) -> DataFrame:
     """Broadcast hint for a side whose size is checked, not assumed.
 
     Used for seed / lookup tables the user hands in (leaves of the plan). The
     check is the optimizer's size estimate (file sizes for scans, the same
     statistic ``autoBroadcastJoinThreshold`` uses) when it has one; when it has
     none (rows created in memory), the rows are counted up to ``max_rows`` -
-    cheap for a seed. Beyond either bound no hint is given and the planner keeps
-    a shuffle join (AQE may still convert it once the real size is known).
+    cheap for a seed. ``count_check=True`` always counts: for small results of
+    an aggregate, whose estimate Catalyst inherits from the (large) input.
+    Beyond either bound no hint is given and the planner keeps a shuffle join
+    (AQE may still convert it once the real size is known).
     """
-    n = estimated_bytes(df)
+    n = None if count_check else estimated_bytes(df)
     if n is not None and n < UNKNOWN_SIZE:
         return F.broadcast(df) if n <= max_bytes else df
     if df.limit(max_rows + 1).count() <= max_rows:

@@ -171,8 +171,11 @@ def row_numbers(df: DataFrame) -> DataFrame:
     w = Window.partitionBy("_file_path").orderBy("_block") \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    return (df.join(offsets.select("_file_path", "_block", "_first", "_offset"),
-                    ["_file_path", "_block"])
+    # one row per file split: broadcast after a row-count check, so the data
+    # rows are not shuffled for this join
+    offsets = bounded_broadcast(offsets.select("_file_path", "_block", "_first", "_offset"),
+                                what="split offsets", max_rows=2_000_000, count_check=True)
+    return (df.join(offsets, ["_file_path", "_block"])
             .withColumn("_row_number",
                         (F.col("_offset") + F.col("_mid") - F.col("_first") + 1).cast("bigint"))
             .drop("_first", "_offset"))
