@@ -79,3 +79,24 @@ def test_small_table_is_bounded(spark):
     written = small_table(spark.range(10), max_rows=5)      # over the bound: a written table instead
     plan = written._jdf.queryExecution().executedPlan().toString()
     assert written.count() == 10 and "FileScan parquet" in plan
+
+
+def test_seed_joins_broadcast_and_backfill_rows_shuffled_once(spark):
+    df = E.queries()["backfill_numbers"](spark, SF)
+    plan = re.sub(r"#\d+L?", "", physical(df, spark))
+    # the correction joins broadcast their seeds (no shuffle of the registry); the
+    # backfill reads its input twice, so each appears in both branches
+    assert len(re.findall(r"BroadcastHashJoin \[entity_type, region_code, entity_no", plan)) == 6
+    assert not re.search(r"SortMergeJoin \[entity_type", plan)
+    # the join back reuses the window's distribution: one sort-merge join, and the
+    # rows side has a single hash exchange on the key columns
+    assert plan.count("SortMergeJoin") == 1
+    lines = [ln for ln in plan.split("\n") if ln.strip()]
+    at = next(i for i, ln in enumerate(lines) if "SortMergeJoin" in ln)
+    left_child = next(ln for ln in lines[at + 1:] if "Sort [" not in ln)
+    assert "Window" in left_child                  # no exchange between the window and the join
+
+
+@pytest.mark.parametrize("name", ["movements_monthly", "raw_row_numbers"])
+def test_bounded_sides_are_broadcast(spark, name):
+    assert "SortMergeJoin" not in physical(E.queries()[name](spark, SF), spark)
