@@ -87,7 +87,7 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Official region names by two-digit code (the `distritos` seed role)."""
+    """Official region names by two-digit code (the role of the official-region seed)."""
     r = table(spark, sf_dir, "region")
     return r.select(F.lpad(F.col("r_regionkey").cast("string"), 2, "0").alias("region_code"),
                     F.col("r_name").alias("region_name"))
