@@ -3,18 +3,23 @@
 1. One pass over the texts gives every row its number of shingles, a digest of
    its shingle set, the band keys of its MinHash samples and an odd sketch: a
    bitmap in which every sample flips one bit, so that the population count of
-   two sketches' XOR estimates how many samples differ.
+   two sketches' XOR estimates how many samples differ. A wider parity bitmap
+   of the whole set does the same for the shingles themselves.
 2. Rows with equal sets are one class, kept by its smallest doc_id; only class
    representatives go on, so copies are never compared.
 3. Representatives that share a band key form a bucket. Buckets are cut into
-   chunks of bounded size. In a first round each chunk proposes the edges of a
-   forest, best estimate first, among the pairs whose sketches are close enough
-   (five standard deviations below the threshold) and whose sizes allow a link.
-   The pairs are confirmed on the full sets; connected ones need no more tests.
-   A second round proposes every remaining close pair of a bucket between
-   different components, over the grid of a large bucket's chunks, and confirms
-   them too. So no link between components is left out, and a group of near
-   copies costs about one test a member instead of one a pair.
+   chunks of bounded size. A pair is close if its sizes allow a link, its sketches
+   are near enough and then its sets' bitmaps are (five standard deviations of
+   either granted; no more bits than shingles can differ). Close
+   pairs are proposed in three rounds and confirmed on the full sets; what is
+   connected by then is not proposed again. The first round proposes a forest of
+   stars around each chunk's centre, the member that is closest to the others on
+   average: near copies of one text mostly link to it, and averaging over members
+   finds it where single estimates are too noisy. The second proposes a forest of
+   the closest other pairs, the third every close pair that is left between
+   different components, over the grid of a large bucket's chunks. So no link
+   between components is left out, and a group of near copies costs about one
+   test a member instead of one a pair.
 4. Components come from alternating large-star and small-star steps on tables.
 
 Bands are chosen so that a pair at the threshold shares none of them with a
@@ -42,6 +47,7 @@ from rollcall.llm.store import pick, ship_code, written
 
 SAMPLES = 120
 SKETCH_BITS = 512
+SET_BITS = 2048           # parity bitmap of a whole set
 MISS = 1e-6               # chance that a pair at the threshold shares no band
 CHUNK = 1024              # members of a bucket that are compared in one place
 SLICE_BYTES = 2_000_000   # text that is hashed at a time
@@ -75,6 +81,28 @@ def sketch_limit(threshold: float, samples: int = SAMPLES, bits: int = SKETCH_BI
     return math.ceil(bits / 2 * (1 - (1 - 2 / bits) ** differ))
 
 
+def set_limit(total: np.ndarray, percent: int, bits: int = SET_BITS) -> np.ndarray:
+    """Most differing bits of two set bitmaps whose sets, ``total`` shingles together, may be linked.
+
+    Linked sets differ in (1 - t) / (1 + t) of the total at most. Each such
+    shingle flips one bit, so more bits can't differ; for large sets flips that
+    cancel are allowed for.
+    """
+    t = percent / 100
+    differ = np.floor(total * (1 - t) / (1 + t) + 1e-9)
+    shown = bits / 2 * (1 - np.exp(-2 * differ / bits))
+    spread = np.sqrt(bits / 4 * (1 - np.exp(-4 * differ / bits)))
+    return np.minimum(differ, np.ceil(shown + 5 * spread))
+
+
+def set_bitmaps(sets: list[np.ndarray], bits: int = SET_BITS) -> np.ndarray:
+    """Parity bitmap of each (non-empty) set: every shingle flips one bit."""
+    size = [len(s) for s in sets]
+    bit = (np.concatenate(sets) >> np.uint64(7)) % np.uint64(bits)
+    flips = np.bincount(np.repeat(np.arange(len(sets)), size) * bits + bit.astype(np.int64), minlength=len(sets) * bits)
+    return np.packbits((flips & 1).astype(np.uint8).reshape(len(sets), bits), axis=1)
+
+
 class Powers:
     """Powers of the hash base and of its inverse, as long as the longest slice so far."""
 
@@ -176,12 +204,12 @@ def byte_slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-SKETCHED_DDL = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"
+SKETCHED_DDL = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary, parity binary"
 
 
 def _sketcher(width: int, rows: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
-                        ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
+                        ("bands", pa.list_(pa.int64())), ("sketch", pa.binary()), ("parity", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,15 +217,17 @@ def _sketcher(width: int, rows: int):
             for a, b in byte_slices(texts):
                 sets = shingle_sets(texts[a:b], width)
                 full = [i for i, s in enumerate(sets) if len(s)]
-                digest, bands, sketch = ([None] * len(sets) for _ in range(3))
+                digest, bands, sketch, parity = ([None] * len(sets) for _ in range(4))
                 if full:
                     sampled = samples_of([sets[i] for i in full])
-                    for i, k, s in zip(full, band_keys(sampled, rows), odd_sketches(sampled)):
+                    maps = set_bitmaps([sets[i] for i in full])
+                    for i, k, s, m in zip(full, band_keys(sampled, rows), odd_sketches(sampled), maps):
                         digest[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
-                        bands[i], sketch[i] = k, s.tobytes()
+                        bands[i], sketch[i], parity[i] = k, s.tobytes(), m.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                     pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary()),
+                     pa.array(parity, pa.binary())],
                     schema=schema)
     return run
 
@@ -221,34 +251,51 @@ def _full_sets(width: int):
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def close_pairs(group: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, percent: int,
-                limit: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+STAR, CLOSEST, ALL = "star", "closest", "all"
+
+
+def close_pairs(group: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, parity: np.ndarray,
+                percent: int, limit: int, mode: str) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs within groups (equal neighbours) that may be linked and are in different components.
 
-    With ``forest`` only the edges of a spanning forest are given, closest first.
+    STAR gives the edges of a spanning forest, those of the most central members
+    first; CLOSEST the closest ones of a forest without each group's centre;
+    ALL every pair.
     """
-    left, right, far = [], [], []
+    left, right, near = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
     step = 1
     at = np.arange(len(group) - 1)
     while len(at):
         at = at[at + step < len(group)]
         at = at[group[at] == group[at + step]]
         to = at + step
-        small, large = np.minimum(n[at], n[to]), np.maximum(n[at], n[to])
-        ok = (comp[at] != comp[to]) & (100 * small >= percent * large)
+        ok = 100 * np.minimum(n[at], n[to]) >= percent * np.maximum(n[at], n[to])
+        if mode == ALL:
+            ok &= comp[at] != comp[to]
         i, j = at[ok], to[ok]
-        bits = np.bitwise_count(sketch[i] ^ sketch[j]).sum(1)
-        near = bits <= limit
-        left.append(i[near])
-        right.append(j[near])
-        far.append(bits[near])
+        ok = np.bitwise_count(sketch[i] ^ sketch[j]).sum(1) <= limit
+        i, j = i[ok], j[ok]
+        bits, most = np.bitwise_count(parity[i] ^ parity[j]).sum(1), set_limit(n[i] + n[j], percent)
+        ok = bits <= most
+        left.append(i[ok])
+        right.append(j[ok])
+        near.append((1 + most[ok] - bits[ok]) / (1 + most[ok]))
         step += 1
-    if not left:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    i, j, d = map(np.concatenate, (left, right, far))
-    if not forest:
+    i, j, close = map(np.concatenate, (left, right, near))
+    if mode == ALL or not len(i):
         return i, j
-    order = np.lexsort((j, i, d))
+    # a member's centrality: its summed closeness to the others
+    central = np.bincount(i, close, len(group)) + np.bincount(j, close, len(group))
+    if mode == CLOSEST:
+        best = np.lexsort((-central, group))
+        centre = np.zeros(len(group), bool)
+        centre[best[np.flatnonzero(np.append(True, group[best][1:] != group[best][:-1]))]] = True
+        keep = ~(centre[i] | centre[j])
+        i, j, close = i[keep], j[keep], close[keep]
+        order = np.lexsort((j, i, -close))
+    else:
+        order = np.lexsort((j, i, -close, -np.maximum(central[i], central[j])))
+    order = order[comp[i[order]] != comp[j[order]]]
     root: dict[tuple[int, int], tuple[int, int]] = {}
 
     def find(x):
@@ -259,7 +306,7 @@ def close_pairs(group: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: np.n
 
     keep = []
     gl, cl = group.tolist(), comp.tolist()
-    for e, (x, y) in zip(order.tolist(), zip(i[order].tolist(), j[order].tolist())):
+    for e, x, y in zip(order.tolist(), i[order].tolist(), j[order].tolist()):
         x, y = find((gl[x], cl[x])), find((gl[y], cl[y]))
         if x != y:
             root[x] = y
@@ -267,15 +314,14 @@ def close_pairs(group: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: np.n
     return i[keep], j[keep]
 
 
-def _proposer(percent: int, limit: int, forest: bool):
+def _proposer(percent: int, limit: int, mode: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        schema_names = ["cell", "rep", "comp", "n", "sketch"]
 
         def pairs(t: pa.Table) -> pa.RecordBatch:
-            cols = {c: t.column(c).to_numpy() for c in schema_names[:4]}
-            sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(t), -1)
-            i, j = close_pairs(cols["cell"], cols["comp"], cols["n"], sketch, percent, limit, forest)
+            cols = {c: t.column(c).to_numpy() for c in ("cell", "rep", "comp", "n")}
+            maps = [np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint64).reshape(len(t), -1) for c in ("sketch", "parity")]
+            i, j = close_pairs(cols["cell"], cols["comp"], cols["n"], *maps, percent, limit, mode)
             x, y = cols["rep"][i], cols["rep"][j]
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], schema=PAIR)
 
@@ -348,23 +394,23 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     every = written(base.mapInArrow(_sketcher(width, rows), SKETCHED_DDL), "sketched")
     classes = written(every.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull()).groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch")), "classes")
+        F.first("sketch").alias("sketch"), F.first("parity").alias("parity")), "classes")
     member = classes.select("rep", F.posexplode("bands").alias("band", "key")) \
         .select("rep", F.xxhash64("band", "key").alias("bucket"))
     shared = member.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
-    buckets = written(member.join(shared, "bucket").join(classes.select("rep", "digest", "n", "sketch"), "rep"), "buckets")
+    buckets = written(member.join(shared, "bucket").join(classes.select("rep", "n", "sketch", "parity"), "rep"), "buckets")
     chunks = F.ceil(F.col("m") / CHUNK).cast("int")
     chunk = F.pmod(F.xxhash64("rep"), chunks).cast("int")
 
-    def proposed(members: DataFrame, forest: bool) -> DataFrame:
-        # a large bucket is a grid of chunk pairs; the first round takes its diagonal
-        other = chunk if forest else F.explode(F.sequence(F.lit(0), chunks - 1))
+    def proposed(members: DataFrame, mode: str) -> DataFrame:
+        # a large bucket is a grid of chunk pairs; the forests take its diagonal
+        other = F.explode(F.sequence(F.lit(0), chunks - 1)) if mode == ALL else chunk
         cells = members.withColumn("x", chunk).withColumn("y", other).withColumn(
             "cell", F.xxhash64("bucket", F.least("x", "y"), F.greatest("x", "y")))
-        return cells.select("cell", "rep", "comp", "n", "sketch").repartition("cell").sortWithinPartitions("cell") \
-            .mapInArrow(_proposer(percent, limit, forest), "a long, b long").distinct()
+        return cells.select("cell", "rep", "comp", "n", "sketch", "parity").repartition("cell").sortWithinPartitions("cell") \
+            .mapInArrow(_proposer(percent, limit, mode), "a long, b long").distinct()
 
-    first = written(proposed(buckets.withColumn("comp", F.col("rep")), True), "pairs")
+    first = written(proposed(buckets.withColumn("comp", F.col("rep")), STAR), "pairs")
     ends = first.select(F.explode(F.array("a", "b")).alias("rep")) \
         .unionByName(buckets.filter(F.col("m") > CHUNK).select("rep")).distinct()
     wanted = classes.select("rep", "digest").join(ends, "rep").select(F.col("rep").alias("doc_id"), "digest")
@@ -379,15 +425,15 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
         return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean")
 
     tested = written(confirmed(first), "tested")
-    links = tested.filter("linked").select("a", "b")
-    known = components(links)
-    named = buckets.join(known, buckets["rep"] == known["node"], "left") \
-        .withColumn("comp", F.coalesce("component", "rep")).drop("node", "component")
-    # buckets whose members are all connected need no second look
-    open_ = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
-    second = proposed(named.join(open_, "bucket", "left_semi"), False).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    more = confirmed(second).filter("linked").select("a", "b")
-    parts = components(links.unionByName(more))
+    parts = components(tested.filter("linked").select("a", "b"))
+    for mode in (CLOSEST, ALL):
+        named = buckets.join(parts, buckets["rep"] == parts["node"], "left") \
+            .withColumn("comp", F.coalesce("component", "rep")).drop("node", "component")
+        # buckets whose members are all connected need no second look
+        apart = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
+        pairs = proposed(named.join(apart, "bucket", "left_semi"), mode).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        tested = tested.unionByName(written(confirmed(pairs), "tested"))
+        parts = components(tested.filter("linked").select("a", "b"))
     of_class = classes.join(parts, classes["rep"] == parts["node"], "left") \
         .select("digest", F.coalesce("component", "rep").alias("component"))
     out = every.join(of_class, "digest", "left") \
