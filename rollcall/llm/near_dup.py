@@ -11,15 +11,13 @@
    chunks of bounded size. A pair is close if its sizes allow a link, its sketches
    are near enough and then its sets' bitmaps are (five standard deviations of
    either granted; no more bits than shingles can differ). Close
-   pairs are proposed in three rounds and confirmed on the full sets; what is
+   pairs are proposed in two rounds and confirmed on the full sets; what is
    connected by then is not proposed again. The first round proposes a forest of
    stars around each chunk's centre, the member that is closest to the others on
-   average: near copies of one text mostly link to it, and averaging over members
-   finds it where single estimates are too noisy. The second proposes a forest of
-   the closest other pairs, the third every close pair that is left between
-   different components, over the grid of a large bucket's chunks. So no link
-   between components is left out, and a group of near copies costs about one
-   test a member instead of one a pair.
+   average: near copies of one text mostly link to it. The second proposes every
+   close pair that is left between different components, over the grid of a large
+   bucket's chunks. So no link between components is left out, and a group of
+   near copies costs about one test a member instead of one a pair.
 4. Components come from alternating large-star and small-star steps on tables.
 
 Bands are chosen so that a pair at the threshold shares none of them with a
@@ -251,7 +249,7 @@ def _full_sets(width: int):
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-STAR, CLOSEST, ALL = "star", "closest", "all"
+STAR, ALL = "star", "all"
 
 
 def close_pairs(group: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, parity: np.ndarray,
@@ -259,8 +257,7 @@ def close_pairs(group: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: np.n
     """Index pairs within groups (equal neighbours) that may be linked and are in different components.
 
     STAR gives the edges of a spanning forest, those of the most central members
-    first; CLOSEST the closest ones of a forest without each group's centre;
-    ALL every pair.
+    first; ALL gives every pair.
     """
     left, right, near = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
     step = 1
@@ -286,15 +283,7 @@ def close_pairs(group: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: np.n
         return i, j
     # a member's centrality: its summed closeness to the others
     central = np.bincount(i, close, len(group)) + np.bincount(j, close, len(group))
-    if mode == CLOSEST:
-        best = np.lexsort((-central, group))
-        centre = np.zeros(len(group), bool)
-        centre[best[np.flatnonzero(np.append(True, group[best][1:] != group[best][:-1]))]] = True
-        keep = ~(centre[i] | centre[j])
-        i, j, close = i[keep], j[keep], close[keep]
-        order = np.lexsort((j, i, -close))
-    else:
-        order = np.lexsort((j, i, -close, -np.maximum(central[i], central[j])))
+    order = np.lexsort((j, i, -close, -np.maximum(central[i], central[j])))
     order = order[comp[i[order]] != comp[j[order]]]
     root: dict[tuple[int, int], tuple[int, int]] = {}
 
@@ -356,6 +345,16 @@ def _confirm(percent: int):
     return run
 
 
+def star_labels(edges: DataFrame) -> DataFrame:
+    """(node, label): equal labels are connected; the members of a star all get its smallest node.
+
+    Two steps of taking the smallest neighbour, for what needs no full components.
+    """
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    near = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("m"))
+    return both.join(near, "v").groupBy("u").agg(F.min("m").alias("label")).withColumnRenamed("u", "node")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of ``edges`` (a, b).
 
@@ -425,15 +424,14 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
         return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean")
 
     tested = written(confirmed(first), "tested")
+    stars = star_labels(tested.filter("linked").select("a", "b"))
+    named = buckets.join(stars, buckets["rep"] == stars["node"], "left") \
+        .withColumn("comp", F.coalesce("label", "rep")).drop("node", "label")
+    # buckets whose members are all connected need no second look
+    apart = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
+    pairs = proposed(named.join(apart, "bucket", "left_semi"), ALL).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    tested = tested.unionByName(written(confirmed(pairs), "tested"))
     parts = components(tested.filter("linked").select("a", "b"))
-    for mode in (CLOSEST, ALL):
-        named = buckets.join(parts, buckets["rep"] == parts["node"], "left") \
-            .withColumn("comp", F.coalesce("component", "rep")).drop("node", "component")
-        # buckets whose members are all connected need no second look
-        apart = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
-        pairs = proposed(named.join(apart, "bucket", "left_semi"), mode).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        tested = tested.unionByName(written(confirmed(pairs), "tested"))
-        parts = components(tested.filter("linked").select("a", "b"))
     of_class = classes.join(parts, classes["rep"] == parts["node"], "left") \
         .select("digest", F.coalesce("component", "rep").alias("component"))
     out = every.join(of_class, "digest", "left") \
