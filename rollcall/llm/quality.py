@@ -41,6 +41,7 @@ ORDER = 3
 BLOCK_CHARS = 8_000_000
 SLICE_CHARS = 1_000_000
 START = "\x02"
+LEVEL = 6                 # of the packed texts: they are written once and moved once
 PRIOR = 120.0             # characters' worth of the language's typical log-probability
 QUANTILE = 0.99
 SLACK = 1.2
@@ -111,7 +112,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = [{"gram": key_text(k), "n": c} for k, c in zip(keys.tolist(), n.tolist())]
         sink = pa.BufferOutputStream()
         batch = pa.record_batch([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(DOC)], schema=DOC)
-        with pa.ipc.new_stream(sink, DOC, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        with pa.ipc.new_stream(sink, DOC, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as w:
             w.write_batch(batch)
         kind = pa.list_(pa.struct([("gram", pa.string()), ("n", pa.int64())]))
         return pa.RecordBatch.from_arrays([pa.array([f"{part}-{seq}"]), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
