@@ -53,12 +53,12 @@ def main(argv=None) -> int:
     spark = get_session()
     out: dict = {"command": args.command}
     if args.command == "plan":
-        files = R.list_snapshots(spark, args.landing).select("file_name").distinct()
+        files = R.list_snapshots(spark, args.landing).select("file_name", "snapshot").distinct()
         plan = I.plan_ingest(files, R.loaded_dates(spark, args.store), ext=args.ext)
         out["files"] = {r["status"]: r["files"] for r in I.run_counters(plan).collect()}
     elif args.command == "ingest":
-        new = R.shape_raw(R.read_snapshots(spark, args.landing))
-        out["rows_loaded"] = R.append_new(spark, new, args.store)
+        done = I.load_landing(spark, args.landing, args.store, ext=args.ext)
+        out["files"], out["rows_loaded"] = done.plan, done.rows
     elif args.command in ("build", "close"):
         lookup, rfix, nfix, geo = _seeds(spark, args)
         res = CL.monthly_close(spark, args.landing, args.store, args.marts, lookup, rfix, nfix, geo,

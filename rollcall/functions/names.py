@@ -46,12 +46,12 @@ def has_extension(c, ext: str) -> Column:
 
 
 def normalise_header(name: str) -> str:
-    """I4: strip accents (NFKD), trim, lower case, space -> ``_``, drop
-    non-word characters."""
-    decomposed = unicodedata.normalize("NFKD", str(name))
-    s = "".join(ch for ch in decomposed if not unicodedata.combining(ch))
-    s = s.strip().lower().replace(" ", "_")
-    return re.sub(r"[^\w]", "", s)
+    """I4: a header as a column name: plain lower-case letters, digits and ``_``.
+
+    Decomposed, an accent is a mark of its own and no word character, so it
+    goes with the punctuation; blanks become ``_`` first.
+    """
+    return re.sub(r"\W", "", "_".join(unicodedata.normalize("NFKD", str(name)).strip().lower().split(" ")))
 
 
 def normalise_headers(names: list[str]) -> list[str]:

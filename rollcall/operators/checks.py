@@ -18,14 +18,14 @@ def check_not_null(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNull())
 
 
-def check_unique(df: DataFrame, cols: Sequence[str] | str) -> DataFrame:
+def check_unique(df: DataFrame, cols: Sequence[str] | str, nulls_count: bool = False) -> DataFrame:
     """K2/K4/K5 (A5): key values occurring more than once, with their count.
-    Rows with a NULL key part are ignored, as a uniqueness test does."""
+    Rows with a NULL key part are ignored, as a uniqueness test does (K2);
+    the grain checks K4 and K5 count them as any other value."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    nn = None
-    for c in cols:
-        nn = F.col(c).isNotNull() if nn is None else nn & F.col(c).isNotNull()
-    return (df.where(nn).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    if not nulls_count:
+        df = df.dropna(subset=cols)
+    return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > 1))
 
 

@@ -58,11 +58,11 @@ def registry_checks(staged: DataFrame, clean: DataFrame, hist: DataFrame) -> lis
         K.not_null_check("stg_region_not_null", staged, "region_code"),
         K.not_null_check("stg_number_not_null", staged, "entity_no"),
         K.accepted_check("stg_type_accepted", staged, "entity_type", ["LOCAL", "NATIONAL"]),
-        C("stg_key_unique_per_snapshot", K.check_unique(staged, ["entity_key", "snapshot_date"])),
+        C("stg_key_unique_per_snapshot", K.check_unique(staged, ["entity_key", "snapshot_date"], nulls_count=True)),
         # the leader rule joins on (date, number): two leaders there would fan out
         C("leader_unique_per_snapshot", K.check_unique(
             staged.where(F.col("entity_type") == "NATIONAL"), ["snapshot_date", "entity_no"])),
-        C("hist_grain_unique", K.check_unique(hist, ["entity_key", "valid_from"])),
+        C("hist_grain_unique", K.check_unique(hist, ["entity_key", "valid_from"], nulls_count=True)),
         K.interval_check("hist_interval_valid", hist),
         C("hist_no_overlap", K.check_no_overlap(hist)),
         C("hist_single_current", K.check_single_current(hist)),
@@ -82,14 +82,8 @@ def monthly_close(spark: SparkSession, landing: str, store: str, marts_dir: str,
     reports them); the raw load itself is kept, as it is immutable and a rerun
     skips it."""
     res = CloseResult()
-    files = R.list_snapshots(spark, landing, ext=None)
-    plan = I.plan_ingest(files.select("file_name").distinct(), R.loaded_dates(spark, store), ext=ext)
-    res.plan = {r["status"]: r["files"] for r in I.run_counters(plan).collect()}
-    to_load = plan.where(F.col("status") == I.LOAD).join(files.select("path", "file_name"), "file_name")
-    paths = [R.reader_path(r["path"]) for r in to_load.select("path").collect()]   # one row per file
-    if paths:
-        fmt = ext.lstrip(".").lower() or "csv"
-        res.rows_loaded = R.append_new(spark, R.shape_raw(R.read_snapshots(spark, paths, fmt)), store)
+    done = I.load_landing(spark, landing, store, ext=ext)
+    res.plan, res.rows_loaded = done.plan, done.rows
     build_marts(spark, store, marts_dir, region_lookup, region_fixes, name_fixes, geo, rules,
                 stop_on_error, res)
     if publish_dir:

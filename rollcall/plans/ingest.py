@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions.names import has_extension, snapshot_date_of
+from rollcall.sources import raw_store as R
 
 LOAD, SKIP, IGNORED = "LOAD", "SKIP", "IGNORED"
 
@@ -16,12 +19,14 @@ def plan_ingest(files: DataFrame, loaded: DataFrame, ext: str | None = ".csv",
 
     IGNORED: wrong extension or no parseable date in the name. SKIP: the date
     is loaded already, or another file with the same date sorts first by name
-    (first file wins). LOAD otherwise. Returns ``file_name, snapshot_date,
+    (first file wins; of equal names the first ``snapshot`` path, where the files
+    come with one). LOAD otherwise. Returns ``file_name, snapshot_date,
     status``. The first file of each date comes from an aggregate (partial
     ``min`` per date, one row per date), so neither a date with very many files
     nor the mass of undated files ever lands in a single task.
     """
-    f = files.select(F.col(name_col).alias("file_name")) \
+    keys = ["file_name"] + ["snapshot"] * ("snapshot" in files.columns)
+    f = files.select(F.col(name_col).alias("file_name"), *keys[1:]) \
         .withColumn("snapshot_date", snapshot_date_of("file_name"))
     ok = F.col("snapshot_date").isNotNull()
     if ext:
@@ -29,15 +34,41 @@ def plan_ingest(files: DataFrame, loaded: DataFrame, ext: str | None = ".csv",
     f = f.withColumn("_ok", ok)
     done = loaded.select("snapshot_date").distinct().withColumn("_loaded", F.lit(True))
     first = (f.where("_ok").groupBy("snapshot_date")
-             .agg(F.min("file_name").alias("_first")))
+             .agg(F.min(F.struct(*keys)).alias("_first")))
     f = f.join(done, "snapshot_date", "left").join(first, "snapshot_date", "left")
     status = (F.when(~F.col("_ok"), F.lit(IGNORED))
               .when(F.col("_loaded").isNotNull(), F.lit(SKIP))
-              .when(F.col("file_name") != F.col("_first"), F.lit(SKIP))
+              .when(F.struct(*keys) != F.col("_first"), F.lit(SKIP))
               .otherwise(F.lit(LOAD)))
-    return f.select("file_name", "snapshot_date", status.alias("status"))
+    return f.select(*keys, "snapshot_date", status.alias("status"))
 
 
 def run_counters(plan: DataFrame) -> DataFrame:
     """How many files load / skip / are ignored."""
     return plan.groupBy("status").agg(F.count(F.lit(1)).alias("files"))
+
+
+@dataclass
+class Loaded:
+    plan: dict = field(default_factory=dict)
+    rows: int = 0
+
+
+def load_landing(spark: SparkSession, landing: str, store: str, ext: str = ".csv", fmt: str | None = None,
+                 cluster_by: str | None = "region_name") -> Loaded:
+    """The one way from a landing folder to the raw store: command line, close and stream.
+
+    Plans on whole snapshots (a file, or a folder of part files), reads only
+    the LOAD ones, numbers and shapes their rows and commits each date whole.
+    Only paths reach the driver, one row a file.
+    """
+    files = R.list_snapshots(spark, landing).select("path", "file_name", "snapshot")
+    plan = plan_ingest(files.select("file_name", "snapshot").distinct(), R.loaded_dates(spark, store), ext=ext)
+    plan = spark.createDataFrame(plan.collect(), plan.schema)      # one row a snapshot: fixed before anything is written
+    out = Loaded({r["status"]: r["files"] for r in run_counters(plan).collect()})
+    to_load = files.join(plan.where(F.col("status") == LOAD).select("snapshot"), "snapshot").select("path")
+    paths = sorted(R.reader_path(r["path"]) for r in to_load.collect())
+    if paths:
+        rows = R.read_snapshots(spark, paths, fmt or ext.lstrip(".").lower() or "csv")
+        out.rows = R.append_new(spark, R.shape_raw(rows), store, cluster_by=cluster_by)
+    return out

@@ -324,8 +324,10 @@ def check_accepted_values(spark, sf):
 
 
 def check_snapshot_key(spark, sf):
-    ev = D.table(spark, sf, "events").select("user_id", F.to_date("ts").alias("snapshot_date"))
-    return K.check_unique(ev, ["user_id", "snapshot_date"])
+    # error events carry no key here, so NULL keys repeat and must be reported
+    ev = D.table(spark, sf, "events").select(F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id"),
+                                             F.to_date("ts").alias("snapshot_date"))
+    return K.check_unique(ev, ["user_id", "snapshot_date"], nulls_count=True)
 
 
 def _order_history(spark, sf):
@@ -344,7 +346,7 @@ def check_interval(spark, sf):
 
 def check_history_grain(spark, sf):
     h = materialize(_order_history(spark, sf), "history")     # read by both union branches
-    return K.check_unique(h.unionByName(h.where("is_current")), ["o_custkey", "valid_from"])
+    return K.check_unique(h.unionByName(h.where("is_current")), ["o_custkey", "valid_from"], nulls_count=True)
 
 
 def check_single_current(spark, sf):

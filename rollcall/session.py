@@ -59,15 +59,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no SparkContext handle (Spark Connect)
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rollcall-ckpt-")
+    except Exception as e:  # noqa: BLE001 - no SparkContext handle (Spark Connect)
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share") from e
+        return named
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # local runs only: a cluster names its shared folder in spark.checkpoint.dir
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="rollcall-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

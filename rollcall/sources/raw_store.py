@@ -2,8 +2,10 @@
 
 A snapshot is one file (or one directory of part files) whose name carries the
 cut-off date. The raw store is Parquet partitioned by ``snapshot_date`` and is
-only ever appended to; a date already present is skipped, so a rerun loads
-nothing (idempotent by date, not by file name).
+only ever appended to; a committed date is skipped, so a rerun loads nothing
+(idempotent by date, not by file name). A date counts as loaded once it is in
+the small table of committed dates, which is written after its data: what an
+interrupted load left behind is overwritten by the next one.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import io
 import re
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +23,11 @@ from pyspark.sql import types as T
 from rollcall.functions.names import (canonical_label, has_extension, is_valid_name,
                                       normalise_headers, snapshot_date_of)
 from rollcall.functions.text import utrim
-from rollcall.session import bounded_broadcast
+from rollcall.session import bounded_broadcast, ensure_checkpoint_dir
+
+# Header and data, reading and writing follow one rule: a cell may be quoted, a
+# quote in it is doubled, and a quoted cell may hold separators and line breaks.
+CSV_CELLS = {"quote": '"', "escape": '"', "multiLine": True}
 
 # Metadata columns added at ingest and their types; everything
 # else in the raw store is text. ``snapshot_date`` is required.
@@ -53,11 +60,14 @@ def list_snapshots(spark: SparkSession, path: str, pattern: str | None = None,
     """Candidate snapshot files with their date and validity, in date
     order then name order. Only the path is read (file content is pruned).
     ``file_name`` is the name that carries the date: the file's own name, or
-    the directory name for a snapshot stored as part files."""
+    the directory name for a snapshot stored as part files; ``snapshot`` is the
+    path of that file or directory."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
              .load(path).select("path"))
     # a snapshot written as a directory of part files is named by its directory
     out = with_source_name(files, "path", "file_name").select("path", "file_name")
+    own = _uri_decode(F.regexp_extract("path", r"([^/]+)$", 1)) == F.col("file_name")
+    out = out.withColumn("snapshot", F.when(own, F.col("path")).otherwise(F.regexp_replace("path", r"/[^/]+$", "")))
     if ext:
         out = out.where(has_extension("file_name", ext))
     out = out.withColumn("snapshot_date", snapshot_date_of("file_name"))
@@ -119,7 +129,9 @@ def read_snapshots(spark: SparkSession, paths, fmt: str = "csv", sep: str = ",",
     with ``unionByName(allowMissingColumns=True)`` (extra columns are kept,
     absent ones are NULL). Only the header lines - one per file, the same
     order of size as the file index Spark keeps on the driver for any file
-    read - reach the driver; no data row does. Adds ``_file_path``, ``_block`` and ``_mid`` for row numbering and
+    read - reach the driver; no data row does. Cells come back as typed, with
+    quotes, separators and line breaks; a row of another width than its header
+    fails the read. Adds ``_file_path``, ``_block`` and ``_mid`` for row numbering and
     the per-file ``_source_file`` / ``_snapshot_date``.
     """
     if isinstance(paths, str):
@@ -140,7 +152,7 @@ def read_snapshots(spark: SparkSession, paths, fmt: str = "csv", sep: str = ",",
     for cols, files in sorted(groups.items()):
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
         part = (spark.read.schema(schema).option("header", True).option("sep", sep)
-                .option("nullValue", null_value).option("mode", "PERMISSIVE").csv(files))
+                .option("nullValue", null_value).options(**CSV_CELLS).option("mode", "FAILFAST").csv(files))
         part = _with_file_meta(part)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
@@ -157,7 +169,8 @@ def _attach_source(spark: SparkSession, df: DataFrame, files: list[str]) -> Data
 
 
 def row_numbers(df: DataFrame) -> DataFrame:
-    """``_row_number`` 1..n in file order, without grouping a whole file.
+    """``_row_number`` 1..n per snapshot in file order, part files by name,
+    without grouping a whole file.
 
     Within one split the ids of ``monotonically_increasing_id`` follow the file
     order; per-split row counts (one row per split) give each split's offset by
@@ -165,10 +178,12 @@ def row_numbers(df: DataFrame) -> DataFrame:
     huge file is numbered by many tasks. The scanned rows are checkpointed once
     so both branches see the same ids.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
+    source = F.first("_source_file") if "_source_file" in df.columns else F.col("_file_path")
     splits = df.groupBy("_file_path", "_block").agg(
-        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("_file_path").orderBy("_block") \
+        source.alias("_of"), F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("_of").orderBy("_file_path", "_block") \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     # one row per file split: broadcast after a row-count check, so the data
@@ -222,10 +237,10 @@ def select_known(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def loaded_dates(spark: SparkSession, path: str) -> DataFrame:
-    """Dates already in the raw store; empty when the store is missing.
-    Reads only the partition directory names."""
+    """Dates committed to the raw store; empty when the store is missing.
+    Reads the table of committed dates, one row a date, and no data."""
     try:
-        return read_raw(spark, path).select("snapshot_date").distinct()
+        return spark.read.schema("snapshot_date date").parquet(committed_path(path)).distinct()
     except Exception as e:  # noqa: BLE001 - a missing store is the empty set
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or \
                 "UNABLE_TO_INFER_SCHEMA" in str(e):
@@ -233,6 +248,11 @@ def loaded_dates(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
+def committed_path(path: str) -> str:
+    """The table of committed dates: inside the store, under a name its readers pass over."""
+    return f"{path.rstrip('/')}/_committed"
+
+
 def loaded_dates_of(raw: DataFrame) -> DataFrame:
     """S7 for a DataFrame already in hand."""
     return raw.select("snapshot_date").distinct()
@@ -245,9 +265,11 @@ def load_new(incoming: DataFrame, loaded: DataFrame, date_col: str = "snapshot_d
 
 
 def write_raw(df: DataFrame, path: str, cluster_by: str | None = "region_name",
-              mode: str = "append") -> int:
-    """Append to the date-partitioned raw store, rows clustered by region
-    name inside each date (Parquet min/max skipping). Range partitioning spreads
+              mode: str = "overwrite") -> int:
+    """Add whole dates to the date-partitioned raw store, rows clustered by region
+    name inside each date (Parquet min/max skipping). Partitions are overwritten
+    date by date and the dates committed afterwards, so a date is loaded whole
+    or not at all, and a repeated load replaces what an interrupted one left. Range partitioning spreads
     a large date over many writer tasks instead of one. Returns the number of
     rows written (observed during the write, no second pass)."""
     keys = ["snapshot_date"] + ([cluster_by] if cluster_by and cluster_by in df.columns else [])
@@ -258,8 +280,12 @@ def write_raw(df: DataFrame, path: str, cluster_by: str | None = "region_name",
     seen = Observation("raw_load")
     # (observed after the range exchange: the bounds-sampling job must not count)
     (df.repartitionByRange(*keys, spread).sortWithinPartitions(*keys)
-     .observe(seen, F.count(F.lit(1)).alias("rows"))
-     .write.mode(mode).partitionBy("snapshot_date").parquet(path))
+     .observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("snapshot_date").alias("dates"))
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path))
+    dates = [(d,) for d in sorted(seen.get.get("dates") or [])]      # one a snapshot
+    if dates:
+        df.sparkSession.createDataFrame(dates, "snapshot_date date").coalesce(1) \
+            .write.mode("append").parquet(committed_path(path))
     return int(seen.get.get("rows", 0))
 
 
@@ -273,9 +299,7 @@ def append_new(spark: SparkSession, incoming: DataFrame, path: str, **kw) -> int
 def replace_snapshot(df: DataFrame, path: str, **kw) -> int:
     """Rewrite the given dates only (dynamic partition overwrite); the manual
     "drop the partition, load again" step as one call."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    return write_raw(df, path, mode="overwrite", **kw)
+    return write_raw(df, path, **kw)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -291,7 +315,8 @@ def ensure_store(spark: SparkSession, name: str) -> None:
 def read_seed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Seed CSV with declared types; an empty cell is NULL; declared text
     keeps leading zeros."""
-    return spark.read.schema(schema).option("header", True).option("nullValue", "").csv(path)
+    return spark.read.schema(schema).option("header", True).option("nullValue", "") \
+        .options(**CSV_CELLS).csv(path)
 
 
 def materialise(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:
@@ -311,9 +336,19 @@ def land_snapshots(df: DataFrame, landing_dir: str, prefix: str, suffix: str = "
     """Store each snapshot under a standard name derived from its date.
 
     One directory per snapshot named ``<prefix>DD_MM_YYYY<suffix>`` holding CSV
-    part files with a header; the name alone carries the date.
+    part files with a header; the name alone carries the date. A date whose
+    directory is there already is landed and is not written again.
     """
     cols = data_cols or [c for c in df.columns if c not in META]
     label = canonical_label("snapshot_date", prefix, suffix)
-    (df.select(*cols, label.alias("snapshot"))
-     .write.mode("append").option("header", True).partitionBy("snapshot").csv(landing_dir))
+    rows = df.select(*cols, label.alias("snapshot"))
+    try:
+        landed = with_source_name(df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true")
+                                  .load(landing_dir).select("path"), "path", "snapshot").select("snapshot").distinct()
+        rows = rows.join(landed, "snapshot", "left_anti").select(*cols, "snapshot")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    (rows.write.mode("append").option("header", True).options(**CSV_CELLS)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .partitionBy("snapshot").csv(landing_dir))

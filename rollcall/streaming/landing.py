@@ -1,44 +1,29 @@
 """Incremental ingest of newly landed snapshot files with Structured Streaming.
 
 The file stream (``binaryFile`` with only the path selected, so contents are
-not read by the stream itself) discovers files not seen before and records
-progress in its checkpoint; each micro-batch hands the new paths - file
-metadata, one row per file - to the batch reader, which reads them header-safe,
-shapes the rows and appends only snapshot dates the raw store does not hold
-yet. So a rerun, a retried batch or a second file for a loaded date loads
-nothing: idempotent by snapshot date, as the batch path is.
+not read by the stream itself) notices files not seen before and records
+progress in its checkpoint. A micro-batch says that something new is there; what
+is loaded is planned on the landing folder by the same rule as everywhere else,
+in whole snapshots, whatever files the trigger's limit put into the batch. So a
+rerun, a retried batch, a folder whose part files fall into several batches or a
+second file for a loaded date loads nothing twice and loses nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from rollcall.functions.names import snapshot_date_of
-from rollcall.sources import raw_store as R
+from rollcall.plans.ingest import load_landing
 
 
 # The schema of Spark's binaryFile source.
 BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, content binary")
 
 
-def _ingest_batch(spark: SparkSession, store: str, ext: str, cluster_by: str | None,
-                  fmt: str = "csv"):
+def _ingest_batch(spark: SparkSession, landing: str, store: str, ext: str, cluster_by: str | None, fmt: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        files = (batch.select("path").withColumn("_name", F.regexp_extract("path", r"([^/]+)$", 1))
-                 .where(F.lower("_name").endswith(ext.lower()) | F.lit(ext == ""))
-                 .where(snapshot_date_of(F.col("path")).isNotNull())
-                 .select("path").distinct().orderBy("path"))
-        paths = [R.reader_path(r["path"]) for r in files.collect()]
-        if not paths:
-            return
-        shaped = R.shape_raw(R.read_snapshots(spark, paths, fmt))
-        # first file (by name) wins when two new files share one date
-        first = (shaped.groupBy("snapshot_date")
-                 .agg(F.min("_source_file").alias("_first")))
-        shaped = shaped.join(first, "snapshot_date").where(F.col("_source_file") == F.col("_first")) \
-            .drop("_first")
-        R.append_new(spark, shaped, store, cluster_by=cluster_by)
+        if not batch.isEmpty():
+            load_landing(spark, landing, store, ext, fmt, cluster_by)
     return run
 
 
@@ -53,6 +38,6 @@ def stream_new_snapshots(spark: SparkSession, landing_dir: str, store: str, chec
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(landing_dir).select("path")
-    return (stream.writeStream.foreachBatch(_ingest_batch(spark, store, ext, cluster_by, fmt))
+    return (stream.writeStream.foreachBatch(_ingest_batch(spark, landing_dir, store, ext, cluster_by, fmt))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
