@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from rollcall.llm.store import pick, ship_code
 
 WORD_END = "</w>"
-KNOWN_WORDS = 2_000_000       # word types that a worker remembers before it starts anew
+KNOWN_WORDS = 300_000         # word types that a worker remembers before it starts anew
 SLICE_CHARS = 4_000_000       # texts are taken in slices of about this many code points
 
 
