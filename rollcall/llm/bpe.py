@@ -37,7 +37,7 @@ from rollcall.llm.store import pick, ship_code
 
 WORD_END = "</w>"
 KNOWN_WORDS = 300_000         # word types that a worker remembers before it starts anew
-SLICE_CHARS = 4_000_000       # texts are taken in slices of about this many code points
+SLICE_CHARS = 1_000_000       # texts are taken in slices of about this many code points
 
 
 def byte_symbols() -> list[str]:
@@ -90,10 +90,9 @@ class WordBPE:
                     nxt = step[at][b] = len(step) - 1
                 at = nxt
             tok[at] = i
-        self.trie = np.full((len(step), 257), -1, np.int32)
-        for at, edges in enumerate(step):
-            for b, nxt in edges.items():
-                self.trie[at, b] = nxt
+        # edges as sorted codes (node, symbol) and the nodes they lead to
+        edges = np.array(sorted((at * 257 + b, nxt) for at, e in enumerate(step) for b, nxt in e.items()), np.int64)
+        self.edge, self.edge_to = edges[:, 0].copy(), edges[:, 1].copy()
         self.trie_token = np.array(tok, np.int64)
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
         self.made = np.full(self.size, -1, np.int64)     # merge that makes a token; -1: a single unit
@@ -123,13 +122,14 @@ class WordBPE:
         words, tokens, turns = [], [], []
         at, who, turn = starts.copy(), np.arange(len(starts)), 0
         while len(who):
-            node = np.zeros(len(who), np.int32)
+            node = np.zeros(len(who), np.int64)
             pos, best, best_end = at.copy(), np.full(len(who), -1, np.int64), at.copy()
             live = np.arange(len(who))
             while len(live):
-                node_live = self.trie[node[live], symbols[pos[live]]]
-                ok = node_live >= 0
-                live, node_live = live[ok], node_live[ok]
+                code = node[live] * 257 + symbols[pos[live]]
+                i = np.minimum(np.searchsorted(self.edge, code), len(self.edge) - 1)
+                ok = self.edge[i] == code
+                live, node_live = live[ok], self.edge_to[i[ok]]
                 node[live] = node_live
                 pos[live] += 1
                 hit = self.trie_token[node_live]

@@ -48,7 +48,7 @@ SKETCH_BITS = 512
 SET_BITS = 2048           # parity bitmap of a whole set
 MISS = 1e-6               # chance that a pair at the threshold shares no band
 CHUNK = 1024              # members of a bucket that are compared in one place
-SLICE_BYTES = 2_000_000   # text that is hashed at a time
+SLICE_BYTES = 1_000_000   # text that is hashed at a time
 
 _R = np.random.RandomState(20240611)
 BYTE = _R.randint(1, 2 ** 63 - 1, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)

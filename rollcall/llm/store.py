@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ARROW_ROWS = 1000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
@@ -48,8 +51,12 @@ def ship_code(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per Spark context.
 
     Workers import the operators by name, so their tables and caches live as
-    long as a worker does, wherever the driver was started from.
+    long as a worker does, wherever the driver was started from. Texts can be
+    long, so batches to the workers are kept at ARROW_ROWS rows where the
+    session leaves Spark's default.
     """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_rollcall_llm_shipped", False):
         return
