@@ -50,6 +50,7 @@ def main(argv=None) -> int:
     from rollcall.plans import close as CL
     from rollcall.sources import raw_store as R
     from rollcall.sources import export as EX
+    from rollcall.plans.staging import PUBLICATION_ORDER
     spark = get_session()
     out: dict = {"command": args.command}
     if args.command == "plan":
@@ -72,7 +73,7 @@ def main(argv=None) -> int:
                            for c in res.checks])
     elif args.command == "export":
         out["publication"] = EX.export_current(spark.read.parquet(f"{args.marts.rstrip('/')}/current"),
-                                               args.publish)
+                                               args.publish, order=PUBLICATION_ORDER)
     print(json.dumps(out, default=str))
     return 0
 

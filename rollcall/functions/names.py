@@ -21,6 +21,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def name_pattern(words: list[str], optional: list[str] = (), extension: str = ".csv") -> str:
+    """Pattern of a naming convention for F1: the words, any of the optional
+    words in their order, the date and the extension, parted by blanks."""
+    must = "".join(re.escape(w) + " " for w in words)
+    may = "".join(f"(?:{re.escape(w)} )?" for w in optional)
+    return "^" + must + may + DATE_IN_NAME + re.escape(extension) + "$"
+
+
 def is_valid_name(c, pattern: str) -> Column:
     """whole-name match, case-insensitive including accented capitals."""
     return _c(c).rlike("(?iu)" + pattern)

@@ -49,15 +49,16 @@ def canonicalise_to_leader(df: DataFrame, type_col: str = "entity_type",
     ``leader_value``) with the same date and number, when close enough.
 
     The member condition sits in the join condition, so non-members are kept
-    unmatched (never filtered). The leader side is itself data, so the join is
+    unmatched (never filtered). Of several leaders with one (date, number) the
+    smallest name counts, so no row is doubled; ``checks.check_unique`` on the
+    leaders reports the surplus. The leader side is itself data, so the join is
     left to the planner (AQE broadcasts it when small, splits skewed keys
-    otherwise); leaders should be unique per (date, number) - see
-    ``checks.check_unique``. The input is read twice (rows and leaders), so
-    pipelines pass a materialised table.
+    otherwise). The input is read twice (rows and leaders), so pipelines pass a
+    materialised table.
     """
-    leaders = df.where(F.col(type_col) == leader_value).select(
-        F.col(date_col).alias("_l_date"), F.col(no_col).alias("_l_no"),
-        F.col(name_col).alias("_leader"))
+    leaders = (df.where((F.col(type_col) == leader_value) & F.col(date_col).isNotNull() & F.col(no_col).isNotNull())
+               .groupBy(F.col(date_col).alias("_l_date"), F.col(no_col).alias("_l_no"))
+               .agg(F.min(name_col).alias("_leader")))
     cond = (df[date_col] == leaders["_l_date"]) & (df[no_col] == leaders["_l_no"]) & \
         (df[member_col] == F.lit(True))
     j = df.join(leaders, cond, "left").drop("_l_date", "_l_no")

@@ -6,8 +6,8 @@ Plan shape of ``scd2_presence`` (checked with ``explain``):
    snapshot with a map-side partial aggregate, so a hot key (even one holding a
    third of all rows, e.g. a NULL key) is combined before the shuffle and each
    key keeps at most one row per loaded snapshot afterwards.
-2. The calendar (distinct dates, one row per loaded snapshot) is joined on the
-   date; AQE broadcasts it at runtime once its real size is known.
+2. The calendar (distinct dates, one row per loaded snapshot, so bounded by the
+   days there are) is broadcast: no exchange on the date.
 3. One hash exchange on the key: ``period - row_number()`` is constant inside
    an unbroken run of periods (gaps-and-islands), then ``groupBy(key, island)``
    reuses that distribution, so no second shuffle.
@@ -69,7 +69,7 @@ def scd2_presence(df: DataFrame, key, date_col: str, attrs: Sequence[str],
     if cal is None:
         cal = calendar(per_snapshot, "snapshot_date")
     cal = cal.select("snapshot_date", PERIOD, "is_last")
-    with_period = per_snapshot.join(cal, "snapshot_date")
+    with_period = per_snapshot.join(F.broadcast(cal), "snapshot_date")
     w = Window.partitionBy(*keys).orderBy(PERIOD)
     runs = with_period.withColumn(
         "_island", F.col(PERIOD) - F.row_number().over(w))
@@ -109,45 +109,36 @@ def movements(history: DataFrame, cal: DataFrame) -> DataFrame:
     snapshot excluded), removals (closed runs, booked on the next loaded
     snapshot) and net; zero-filled over the calendar.
 
-    Both sides are counted with partial aggregation first, so only one row per
-    date reaches the joins with the calendar.
+    The history is read once: a version counts on its first date and, when
+    closed, on the loaded date after its last. Counts are pre-aggregated, so one
+    row per date and task is shuffled; calendar and counts have one row per
+    loaded snapshot and are broadcast.
     """
-    c = cal.select("snapshot_date", PERIOD, "next_date")
-    starts = (history.groupBy(F.col("valid_from").alias("snapshot_date"))
-              .agg(F.count(F.lit(1)).alias("n_start")))
-    additions = (starts.join(c, "snapshot_date")
-                 .where(F.col(PERIOD) > 1)
-                 .select("snapshot_date", F.col("n_start").alias("additions")))
-    ends = (history.where(~F.col("is_current"))
-            .groupBy(F.col("valid_to").alias("end_date"))
-            .agg(F.count(F.lit(1)).alias("n_end")))
-    removals = (ends.join(c.withColumnRenamed("snapshot_date", "end_date"), "end_date")
-                .groupBy(F.col("next_date").alias("snapshot_date"))
-                .agg(F.sum("n_end").alias("removals")))
-    adds = F.coalesce(F.col("additions"), F.lit(0)).cast("bigint")
-    rems = F.coalesce(F.col("removals"), F.lit(0)).cast("bigint")
-    # both count tables have at most one row per loaded snapshot (their dates
-    # come from the calendar), so they are the broadcast build sides
-    return (c.select("snapshot_date")
-            .join(F.broadcast(additions), "snapshot_date", "left")
-            .join(F.broadcast(removals), "snapshot_date", "left")
+    after = cal.select(F.col("snapshot_date").alias("valid_to"), "next_date")
+    moves = history.select("valid_from", "valid_to").join(F.broadcast(after), "valid_to") \
+        .select(F.explode(F.array(
+            F.struct(F.col("valid_from").alias("snapshot_date"), F.lit(1).alias("came"), F.lit(0).alias("went")),
+            F.struct(F.col("next_date").alias("snapshot_date"), F.lit(0).alias("came"), F.lit(1).alias("went")),
+        )).alias("m")).select("m.*").where("snapshot_date is not null")      # the last snapshot has no next one
+    counts = moves.groupBy("snapshot_date").agg(F.sum("came").alias("came"), F.sum("went").alias("went"))
+    came = F.when(F.col(PERIOD) > 1, F.coalesce("came", F.lit(0))).otherwise(0).cast("bigint")
+    went = F.coalesce("went", F.lit(0)).cast("bigint")
+    return (cal.select("snapshot_date", PERIOD)
+            .join(F.broadcast(counts), "snapshot_date", "left")
             .select("snapshot_date",
                     year_of("snapshot_date").alias("year"),
                     month_text("snapshot_date").alias("month"),
-                    adds.alias("additions"), rems.alias("removals"),
-                    (adds - rems).alias("net")))
+                    came.alias("additions"), went.alias("removals"),
+                    (came - went).alias("net")))
 
 
 def expand_versions(history: DataFrame, cal: DataFrame, key) -> DataFrame:
     """Inverse of ``scd2_presence`` used by the property test: every version
     expanded over the loaded snapshots it covers, as ``(key…, snapshot_date)``.
-
-    A range join on the small calendar; each version emits only the snapshots
-    inside its own interval.
+    Versions are joined with the calendar by period numbers, never by a range.
     """
     keys = _cols(key)
-    c = cal.select("snapshot_date")
-    return history.join(
-        c, (c.snapshot_date >= history.valid_from) & (c.snapshot_date <= history.valid_to)
-    ).select(*keys, "snapshot_date")
-
+    c = F.broadcast(cal.select("snapshot_date", PERIOD))
+    span = history.join(c.toDF("valid_from", "_first"), "valid_from").join(c.toDF("valid_to", "_last"), "valid_to")
+    return span.select(*keys, F.explode(F.sequence("_first", "_last")).alias(PERIOD)) \
+        .join(c, PERIOD).select(*keys, "snapshot_date")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.text import lat_long_text, month_text, year_of
 from rollcall.operators.history import calendar
+from rollcall.session import bounded_broadcast
 
 
 def panel(df: DataFrame, geo: DataFrame | None = None, on: str = "region_code",
@@ -14,9 +15,10 @@ def panel(df: DataFrame, geo: DataFrame | None = None, on: str = "region_code",
     """Every row of every snapshot, with coordinates, year / month text and
     ``is_current`` (row belongs to the latest loaded snapshot).
 
-    The latest-snapshot flag comes from the calendar (one row per snapshot)
-    joined on the date, instead of pairing every row with a global maximum.
-    ``geo`` is a lookup ``(on, latitude, longitude)``, unique on ``on``.
+    The latest-snapshot flag comes from the calendar, one row per snapshot date
+    and so bounded by the days there are: it is broadcast, the panel isn't
+    shuffled. ``geo`` is a lookup ``(on, latitude, longitude)``, unique on
+    ``on`` and broadcast behind its size check.
     """
     if cal is None:
         cal = calendar(df, date_col)
@@ -24,10 +26,10 @@ def panel(df: DataFrame, geo: DataFrame | None = None, on: str = "region_code",
                        F.col("is_last").alias("is_current"))
     out = df
     if geo is not None:
-        g = geo.select(on, "latitude", "longitude")
+        g = bounded_broadcast(geo.select(on, "latitude", "longitude"), what="coordinates")
         out = out.join(g, on, "left") \
             .withColumn("location", lat_long_text("latitude", "longitude"))
-    return (out.join(flags, date_col)
+    return (out.join(F.broadcast(flags), date_col)
             .withColumn("year", year_of(date_col))
             .withColumn("month", month_text(date_col)))
 

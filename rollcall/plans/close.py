@@ -87,7 +87,8 @@ def monthly_close(spark: SparkSession, landing: str, store: str, marts_dir: str,
     build_marts(spark, store, marts_dir, region_lookup, region_fixes, name_fixes, geo, rules,
                 stop_on_error, res)
     if publish_dir:
-        res.publication = EX.export_current(spark.read.parquet(res.marts["current"]), publish_dir)
+        res.publication = EX.export_current(spark.read.parquet(res.marts["current"]), publish_dir,
+                                            order=S.PUBLICATION_ORDER)
     return res
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.functions.names import name_pattern
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events")
 
@@ -102,29 +104,27 @@ def geo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(-70.5) + F.col("n_regionkey").cast("double") * 2.75).alias("longitude"))
 
 
-# The file-name convention of the derived listing. The default
-# validity pattern (optional words, `_`/`-` date separators) and the words used
-# to build names.
-NAME_PATTERN = r"^Entities (Off[ií]cial )?Registry (at )?\d{2}[_-]\d{2}[_-]\d{4}\.csv$"
+# The file-name convention of the derived listing: a word, up to two optional
+# words, the date.
+WORD, EXTRA_WORDS = "Roster", ["Révisé", "final"]
+NAME_PATTERN = name_pattern([WORD], EXTRA_WORDS, ".csv")
 LABEL_PREFIX = "entities_registry_"
 
 
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One candidate file name per order (distinct), variant by o_orderkey % 6:
-    0 plain with `_`; 1 optional word and `-`; 2 all capitals; 3 ISO date;
-    4 impossible date; 5 wrong extension."""
+    0 plain with `_`; 1 one optional word and `-`; 2 both, all capitals; 3 ISO
+    date; 4 impossible date; 5 wrong extension."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
-    v = F.col("o_orderkey") % 6
-    ddmmyyyy = F.date_format("d", "dd_MM_yyyy")
-    name = (
-        F.when(v == 0, F.concat(F.lit("Entities Registry at "), ddmmyyyy, F.lit(".csv")))
-        .when(v == 1, F.concat(F.lit("Entities Offícial Registry "),
-                               F.date_format("d", "dd-MM-yyyy"), F.lit(".csv")))
-        .when(v == 2, F.upper(F.concat(F.lit("Entities Offícial Registry at "), ddmmyyyy, F.lit(".csv"))))
-        .when(v == 3, F.concat(F.lit("Entities Registry at "), F.date_format("d", "yyyy-MM-dd"), F.lit(".csv")))
-        .when(v == 4, F.concat(F.lit("Entities Registry at 31_02_"), F.date_format("d", "yyyy"), F.lit(".csv")))
-        .otherwise(F.concat(F.lit("Entities Registry at "), ddmmyyyy, F.lit(".txt"))))
-    return o.select(name.alias("file_name")).distinct()
+
+    def named(words: list[str], date_format: str, ext: str = ".csv"):
+        return F.concat(F.lit(" ".join(words) + " "), F.date_format("d", date_format), F.lit(ext))
+
+    variants = [named([WORD], "dd_MM_yyyy"), named([WORD, EXTRA_WORDS[0]], "dd-MM-yyyy"),
+                F.upper(named([WORD, *EXTRA_WORDS], "dd_MM_yyyy")), named([WORD], "yyyy-MM-dd"),
+                named([WORD], "'31_02_'yyyy"), named([WORD], "dd_MM_yyyy", ".txt")]
+    v = F.col("o_orderkey") % len(variants)
+    return o.select(F.coalesce(*[F.when(v == k, x) for k, x in enumerate(variants)]).alias("file_name")).distinct()
 
 
 # The inline correction seeds of the derived registry. User 7's

@@ -32,6 +32,8 @@ STAGED_COLUMNS = ["entity_key", "entity_type", "region_code", "region_name",
 CLEAN_COLUMNS = ["entity_key", "entity_type", "region_code", "region_name", "entity_no",
                  "entity_name", "needs_name_review", "suggested_name", "acronym",
                  "recognised_on", "is_member", "snapshot_date"]
+PANEL_COLUMNS = [c for c in CLEAN_COLUMNS if c not in ("needs_name_review", "suggested_name")]
+PUBLICATION_ORDER = ["region_code", "entity_type", "entity_no"]
 HISTORY_ATTRS = ["entity_type", "region_code", "region_name", "entity_no", "entity_name",
                  "acronym", "recognised_on", "is_member"]
 
@@ -144,6 +146,6 @@ def marts(clean_df: DataFrame, geo: DataFrame | None = None,
         "history": hist,
         "current": H.current_view(hist, key="entity_key", flag_col="is_member"),
         "movements": H.movements(hist, cal),
-        "panel": M.panel(clean_df, geo, cal=cal),
+        "panel": M.panel(clean_df.select(*PANEL_COLUMNS), geo, cal=cal),
         "summary": M.summary(clean_df),
     }

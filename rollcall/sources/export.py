@@ -1,41 +1,35 @@
-"""Publication of the current picture (S12): fixed columns with presentable
-headers, dates as dd-MM-yyyy text (NULL -> ''), sorted, written as CSV under a
-name taken from the latest cut-off date; nothing is written when empty."""
+"""Publication of the current picture (S12): the caller's columns under
+presentable headers, dates as dd-MM-yyyy text (NULL -> ''), sorted, written as
+CSV under a name taken from the latest cut-off date; nothing is written when
+empty."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rollcall.functions.names import canonical_label
 from rollcall.functions.text import date_text_or_empty
 
-# Published columns (technical name -> header), in order, and
-# the publication sort order.
-HEADERS = {
-    "entity_id": "ENTITY ID",
-    "entity_type": "TYPE",
-    "region_code": "REGION NO",
-    "region_name": "REGION",
-    "entity_no": "ENTITY NO",
-    "entity_name": "ENTITY NAME",
-    "acronym": "ACRONYM",
-    "recognised_on": "RECOGNISED ON",
-    "is_member": "MEMBER OF NATIONAL",
-}
-SORT = ["region_code", "entity_type", "entity_no"]
-
 
-def publication_frame(current: DataFrame) -> DataFrame:
-    cols = [date_text_or_empty(F.col(c)).alias(h) if c == "recognised_on" else F.col(c).alias(h)
-            for c, h in HEADERS.items()]
-    return current.select(*cols)
+def publication_frame(current: DataFrame, columns: Mapping[str, str] | Sequence[str] | None = None) -> DataFrame:
+    """``columns`` maps columns to headers, or lists columns (default: all),
+    whose headers are then their names in capitals with blanks."""
+    if not isinstance(columns, Mapping):
+        columns = {c: c.upper().replace("_", " ") for c in columns or current.columns}
+    dates = {c for c, kind in current.dtypes if kind == "date"}
+    return current.select(*[(date_text_or_empty(F.col(c)) if c in dates else F.col(c)).alias(h)
+                            for c, h in columns.items()])
 
 
 def export_current(current: DataFrame, out_dir: str, prefix: str = "entities_current_",
-                   single_file: bool = False) -> str | None:
-    """Write the sorted publication under a folder named after
-    ``max(updated)``; nothing is written when the current picture is empty.
+                   single_file: bool = False, columns: Mapping[str, str] | Sequence[str] | None = None,
+                   order: Sequence[str] | None = None) -> str | None:
+    """Write the publication, sorted by ``order`` (default: all columns), under
+    a folder named after ``max(updated)``; nothing is written when the current
+    picture is empty.
 
     The sort is a range partitioning, so the part files read in name order are
     the sorted publication and many tasks write it. ``single_file=True``
@@ -47,7 +41,7 @@ def export_current(current: DataFrame, out_dir: str, prefix: str = "entities_cur
         return None
     target = f"{out_dir.rstrip('/')}/{latest['label']}"
     seen = Observation("export")
-    pub = publication_frame(current.orderBy(*SORT)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    pub = publication_frame(current.orderBy(*(order or current.columns)), columns).observe(seen, F.count(F.lit(1)).alias("rows"))
     if single_file:
         pub = pub.coalesce(1)
     pub.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(target)

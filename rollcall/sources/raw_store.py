@@ -332,12 +332,13 @@ def materialise(df: DataFrame, name: str, kind: str = "view", path: str | None =
 
 
 def land_snapshots(df: DataFrame, landing_dir: str, prefix: str, suffix: str = ".csv",
-                   data_cols: list[str] | None = None) -> None:
+                   data_cols: list[str] | None = None, order_by: list[str] | None = None) -> None:
     """Store each snapshot under a standard name derived from its date.
 
     One directory per snapshot named ``<prefix>DD_MM_YYYY<suffix>`` holding CSV
     part files with a header; the name alone carries the date. A date whose
-    directory is there already is landed and is not written again.
+    directory is there already is landed and is not written again. With
+    ``order_by`` the rows of a snapshot lie in that order over its part files.
     """
     cols = data_cols or [c for c in df.columns if c not in META]
     label = canonical_label("snapshot_date", prefix, suffix)
@@ -349,6 +350,9 @@ def land_snapshots(df: DataFrame, landing_dir: str, prefix: str, suffix: str = "
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
+    if order_by:
+        # neighbouring ranges go to neighbouring part files, so a large date is still written by many tasks
+        rows = rows.repartitionByRange("snapshot", *order_by).sortWithinPartitions("snapshot", *order_by)
     (rows.write.mode("append").option("header", True).options(**CSV_CELLS)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .partitionBy("snapshot").csv(landing_dir))

@@ -15,7 +15,7 @@ def test_entry_runs(spark):
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"raw_row_numbers", "schema_evolution"}
+    assert not [q for q in missing if q != "pipeline" and not q.startswith("op")]
 
 
 def test_sample_queries_match_oracle_at_smallest_scale(spark):

@@ -72,13 +72,13 @@ def test_date_text_and_location(spark):
     assert tuple(got[1]) == ("", None, None, None)
 
 
-PATTERN = r"^Entities (Off[ií]cial )?Registry (at )?\d{2}[_-]\d{2}[_-]\d{4}\.csv$"
+PATTERN = N.name_pattern(["Roster"], ["Révisé", "final"], ".csv")
 
 
 def test_file_names(spark):
-    names = ["Entities Registry at 31_01_2026.csv", "Entities Offícial Registry 30-11-2025.csv",
-             "ENTITIES OFFÍCIAL REGISTRY AT 31_10_2025.CSV", "Entities Registry at 2025-10-31.csv",
-             "Entities Registry at 31_02_2025.csv", "Entities Registry at 31_01_2026.txt",
+    names = ["Roster 31_01_2026.csv", "Roster Révisé 30-11-2025.csv",
+             "ROSTER RÉVISÉ FINAL 31_10_2025.CSV", "Roster 2025-10-31.csv",
+             "Roster 31_02_2025.csv", "Roster 31_01_2026.txt",
              "notes 01_02_2024 and 03_04_2025.csv"]
     df = spark.createDataFrame([(n,) for n in names], "f string")
     got = df.select(N.is_valid_name("f", PATTERN).alias("v"), N.snapshot_date_of("f").alias("d"),
@@ -100,3 +100,18 @@ def test_header_normalisation():
         raise AssertionError("collision not detected")
     except ValueError:
         pass
+
+
+def test_leaders_with_one_number_double_no_row(spark):
+    from rollcall.operators.canonical import canonicalise_to_leader
+    day = dt.date(2024, 1, 31)
+    rows = [("NATIONAL", f"{i % 7:03d}", f"PARTY {i}", None, day) for i in range(40)] + \
+        [("LOCAL", f"{i % 7:03d}", f"PARTY {i % 7}", True, day) for i in range(1200)] + \
+        [("LOCAL", None, "NO NUMBER", True, day)] * 30
+    df = spark.createDataFrame(rows, "entity_type string, entity_no string, entity_name string, is_member boolean, "
+                                     "snapshot_date date")
+    out = canonicalise_to_leader(df)
+    assert out.count() == len(rows)
+    leader = min(f"PARTY {i}" for i in range(40) if i % 7 == 3)
+    got = {r.entity_name for r in out.where("entity_type = 'LOCAL' and entity_no = '003'").collect()}
+    assert got == {leader}

@@ -97,6 +97,22 @@ def test_seed_joins_broadcast_and_backfill_rows_shuffled_once(spark):
     assert "Window" in left_child                  # no exchange between the window and the join
 
 
+def test_panel_is_not_shuffled_on_the_date(spark):
+    from rollcall.operators import marts as M
+    p = spark.read.parquet(f"{SF}/events.parquet").selectExpr("user_id", "to_date(ts) AS snapshot_date",
+                                                              "'01' AS region_code")
+    geo = spark.createDataFrame([("01", 1.5, 2.5)], "region_code string, latitude double, longitude double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(M.panel(p, geo), spark)
+        # the one exchange on the date is that of the calendar, below its partial aggregate
+        assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+        assert "SortMergeJoin" not in physical(H.scd2_presence(p, "user_id", "snapshot_date", ["region_code"]), spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 @pytest.mark.parametrize("name", ["movements_monthly", "raw_row_numbers"])
 def test_bounded_sides_are_broadcast(spark, name):
     assert "SortMergeJoin" not in physical(E.queries()[name](spark, SF), spark)
