@@ -1,22 +1,21 @@
 """Identity gap fill (C7): a missing value is taken from the entity's own
 history - the most recent earlier non-null value, else the nearest later one.
 
-Skew-safe plan. A window over a whole (region, name) group would put a hot
-group (e.g. all rows with an empty name) into one task, and a "1 following ..
-unbounded following" frame is re-evaluated per row. Instead:
+Skew-safe plan. A window over a whole (region, name) group, or over one date of
+it, would put a hot group (e.g. all rows with an empty name) into one task.
+Instead:
 
-1. same-date neighbours: windows partitioned by (group, date) only, ordered by
-   the tie-break columns; the "after" side uses the reversed order so both
-   frames are running (unbounded preceding .. 1 preceding) frames;
-2. per (group, date) summary with map-side partial aggregation (last and first
-   non-null value of that date) - at most one row per loaded snapshot per group;
-3. running carries over that summary (previous dates, next dates), again with
-   running frames in both directions;
-4. one join back on (group, date) keys that carry NULL as a flag, so the
-   rows keep the distribution of step 1 and only the summary side moves.
+1. rows that have a value pass straight through: no shuffle, no window;
+2. per (group, date, tie-break) one summary row, with map-side partial
+   aggregation, so a hot group is combined before its shuffle: the least and
+   greatest value there, and whether a value is missing there;
+3. running carries over that summary in both directions;
+4. the rows without a value look their place up in it; one join on the summary's
+   keys, which carry NULL as a flag (AQE splits a hot key on the rows' side).
 
-The input is read twice (rows and the per-date summary); pipelines hand it a
-materialised table (``session.materialize``) when it is expensive to compute.
+The input is read per branch (rows with a value, rows without, the summary's
+few columns); pipelines hand it a materialised table (``session.materialize``)
+when it is expensive to compute.
 """
 
 from __future__ import annotations
@@ -31,42 +30,36 @@ def backfill(df: DataFrame, col: str, partition: Sequence[str], order: str = "sn
              tiebreak: Sequence[str] = ()) -> DataFrame:
     """``coalesce(own, last non-null before, first non-null after)`` within
     ``partition``, in (order, tiebreak…) order. Without tie-break columns, rows
-    of one date are ordered by the value itself, which keeps it deterministic.
+    of one date are ordered by the value itself, a missing one first. Of rows
+    with equal order and tie-break those without a value come first, then by
+    value, which keeps it deterministic.
 
-    NULL group values form their own group (as a window partition does). The
-    group and date are turned into plain key columns (value or '' plus an
-    is-NULL flag) once, so the same-date windows, the per-date summary and the
-    join back all use one hash distribution: the rows are shuffled once.
+    NULL group values form their own group (as a window partition does).
     """
     v = F.col(col)
+    places = list(partition) + [order] + (list(tiebreak) or [col])
     keyed = df
     keys = []
-    for i, c in enumerate(list(partition) + [order]):
+    for i, c in enumerate(places):
         keyed = (keyed.withColumn(f"_k{i}", F.coalesce(F.col(c).cast("string"), F.lit("")))
                       .withColumn(f"_n{i}", F.col(c).isNull()))
         keys += [f"_k{i}", f"_n{i}"]
-    gkeys = keys[:-2]                       # group only
-    tb = [F.col(c) for c in tiebreak] or [v]
-    tb_desc = [c.desc() for c in tb]
-    before = Window.unboundedPreceding
-    w_same = Window.partitionBy(*keys).orderBy(*tb).rowsBetween(before, -1)
-    w_same_rev = Window.partitionBy(*keys).orderBy(*tb_desc).rowsBetween(before, -1)
-    rows = (keyed.withColumn("_sd_prev", F.last(v, ignorenulls=True).over(w_same))
-                 .withColumn("_sd_next", F.last(v, ignorenulls=True).over(w_same_rev)))
+    group = keys[:2 * len(partition)]
+    inner = places[len(partition):]         # the order within a group: date, then the tie-break
+    summary = keyed.groupBy(*keys).agg(
+        *[F.max(c).alias(f"_o{i}") for i, c in enumerate(inner)],
+        F.max(v).alias("_last"), F.min(v).alias("_first"), F.max(v.isNull()).alias("_asked"))
 
-    nn_key = F.when(v.isNotNull(), F.struct(*tb))
-    per_date = keyed.groupBy(*keys).agg(
-        F.max(F.col(order)).alias("_d"),
-        F.max_by(v, nn_key).alias("_last"), F.min_by(v, nn_key).alias("_first"))
-    # dates ascending with a NULL date first, as a window orders them
-    asc = [F.col(keys[-1]).desc(), F.col("_d").asc()]
-    desc = [F.col(keys[-1]).asc(), F.col("_d").desc()]
-    w_prev = Window.partitionBy(*gkeys).orderBy(*asc).rowsBetween(before, -1)
-    w_next = Window.partitionBy(*gkeys).orderBy(*desc).rowsBetween(before, -1)
-    carries = (per_date
+    # ascending with NULL first, as a window orders them, and the exact reverse
+    asc = [F.col(f"_o{i}").asc_nulls_first() for i in range(len(inner))]
+    desc = [F.col(f"_o{i}").desc_nulls_last() for i in range(len(inner))]
+    before = Window.unboundedPreceding
+    w_prev = Window.partitionBy(*group).orderBy(*asc).rowsBetween(before, -1)
+    w_next = Window.partitionBy(*group).orderBy(*desc).rowsBetween(before, -1)
+    carries = (summary
                .withColumn("_prev", F.last("_last", ignorenulls=True).over(w_prev))
                .withColumn("_next", F.last("_first", ignorenulls=True).over(w_next))
-               .select(*keys, "_prev", "_next"))
-    j = rows.join(carries, keys, "left")
-    filled = F.coalesce(v, F.col("_sd_prev"), F.col("_prev"), F.col("_sd_next"), F.col("_next"))
-    return j.select(*[filled.alias(c) if c == col else F.col(c) for c in df.columns])
+               .where("_asked").select(*keys, F.coalesce("_prev", "_first", "_next").alias("_found")))
+    filled = keyed.where(v.isNull()).join(carries, keys, "left") \
+        .select(*[F.col("_found").alias(c) if c == col else F.col(c) for c in df.columns])
+    return df.where(v.isNotNull()).unionByName(filled)

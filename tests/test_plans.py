@@ -81,20 +81,24 @@ def test_small_table_is_bounded(spark):
     assert written.count() == 10 and "FileScan parquet" in plan
 
 
-def test_seed_joins_broadcast_and_backfill_rows_shuffled_once(spark):
+def test_seed_joins_broadcast_and_numbered_rows_not_shuffled(spark):
     df = E.queries()["backfill_numbers"](spark, SF)
     plan = re.sub(r"#\d+L?", "", physical(df, spark))
-    # the correction joins broadcast their seeds (no shuffle of the registry); the
-    # backfill reads its input twice, so each appears in both branches
-    assert len(re.findall(r"BroadcastHashJoin \[entity_type, region_code, entity_no", plan)) == 6
+    # the correction joins broadcast their seeds (no shuffle of the registry); the backfill
+    # reads its input for the rows with a number, those without and the summary
+    assert len(re.findall(r"BroadcastHashJoin \[entity_type, region_code, entity_no", plan)) == 9
     assert not re.search(r"SortMergeJoin \[entity_type", plan)
-    # the join back reuses the window's distribution: one sort-merge join, and the
-    # rows side has a single hash exchange on the key columns
-    assert plan.count("SortMergeJoin") == 1
-    lines = [ln for ln in plan.split("\n") if ln.strip()]
-    at = next(i for i, ln in enumerate(lines) if "SortMergeJoin" in ln)
-    left_child = next(ln for ln in lines[at + 1:] if "Sort [" not in ln)
-    assert "Window" in left_child                  # no exchange between the window and the join
+    tree = [ln for ln in plan.split("\n") if ln.strip()]
+    depth = [len(re.match(r"[ :+\-]*", ln)[0]) for ln in tree]
+    union = next(i for i, ln in enumerate(tree) if re.match(r"[ :+\-]*(\(\d+\) )?\*?(\(\d+\) )?Union", ln))
+    children = [i for i in range(union + 1, len(tree)) if depth[i] == depth[union + 1]]
+    numbered, looked_up = "\n".join(tree[children[0]:children[1]]), "\n".join(tree[children[1]:])
+    source = re.escape("Exchange hashpartitioning(_k")
+    assert "Window" not in numbered and not re.search(source, numbered)
+    # windows run over the summary alone, which is aggregated before its shuffle
+    under = [next(ln for ln in tree[i + 1:] if not re.search(r"Window|Sort \[|Exchange|Project|ShuffleQueryStage|AQEShuffleRead", ln))
+             for i, ln in enumerate(tree) if re.search(r"\bWindow \[", ln)]
+    assert "Window" in looked_up and under and all("Aggregate" in ln for ln in under)
 
 
 def test_panel_is_not_shuffled_on_the_date(spark):
