@@ -14,7 +14,7 @@ One model serves all languages, so that text which switches languages isn't
 taken for junk; thresholds are by language. A document's perplexity is shrunk
 towards the typical trusted one of its language by ``PRIOR`` characters, as a
 few words say little. It is rejected above a quantile of the held-out trusted
-documents of its language, times ``SLACK``.
+documents of its language.
 
 Defined cases: a null or empty text has no perplexity and is rejected; a null
 language is a language of its own (''); a language without held-out trusted
@@ -37,14 +37,13 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.store import pick, ship_code, written
 
-ORDER = 3
+ORDER = 5                 # spans words, so that repeated ordinary words don't look like text
 BLOCK_CHARS = 8_000_000
 SLICE_CHARS = 1_000_000
 START = "\x02"
 LEVEL = 6                 # of the packed texts: they are written once and moved once
 PRIOR = 120.0             # characters' worth of the language's typical log-probability
 QUANTILE = 0.99
-SLACK = 1.2
 TRUSTED_BROADCAST = 4_000_000   # ids; beyond it the flag is joined by a shuffle
 
 DOC = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("text", pa.string())])
@@ -55,21 +54,31 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def gram_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """A key for each character's n-gram, texts after each other, and where each text starts.
+def gram_types(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct n-grams of some texts, which of them ends at each character, and where each text starts.
 
-    A key is ORDER code points of 21 bits; START stands before a text.
+    START stands before a text. Keys count in the alphabet of these texts; before
+    they would outgrow 63 bits, their ranks take their place.
     """
-    points = code_points("".join(START * (ORDER - 1) + t for t in texts)).astype(np.uint64)
-    size = np.array([len(t) for t in texts])
-    n = len(points) - ORDER + 1
-    keys = np.zeros(max(n, 0), np.uint64)
-    for i in range(ORDER):
-        keys = (keys << np.uint64(21)) | points[i:i + len(keys)]
+    joined = "".join(START * (ORDER - 1) + t for t in texts)
+    points = code_points(joined)
+    seen = np.zeros(0x110000, bool)
+    seen[points] = True
+    letters, base = (np.cumsum(seen) - 1)[points], int(seen.sum())
+    n = max(len(points) - ORDER + 1, 0)
+    keys, kinds = letters[:n], base
+    for i in range(1, ORDER):
+        if kinds * base >= 1 << 63:
+            some, keys = np.unique(keys, return_inverse=True)
+            kinds = len(some)
+        keys = keys * base + letters[i:i + n]
+        kinds *= base
     # drop the keys that end in a START
+    size = np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(size) - size
     at = np.repeat(np.arange(len(size)) * (ORDER - 1), size) + np.arange(int(size.sum()))
-    return keys[at], starts
+    _, first, of = np.unique(keys[at], return_index=True, return_inverse=True)
+    return [joined[i:i + ORDER] for i in at[first].tolist()], of, starts
 
 
 def text_slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -83,40 +92,28 @@ def text_slices(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def key_text(key: int) -> str:
-    return "".join(chr(key >> 21 * (ORDER - 1 - i) & 0x1FFFFF) for i in range(ORDER))
-
-
-def text_key(gram: str) -> int:
-    key = 0
-    for c in gram:
-        key = key << 21 | ord(c)
-    return key
-
-
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, seq = TaskContext.get().partitionId(), 0
 
     def block(rows: list[tuple]) -> pa.RecordBatch:
         nonlocal seq
         seq += 1
-        every, counted = [np.empty(0, np.uint64)], [np.empty(0)]
+        slices = [pa.table([pa.array([], pa.string()), pa.array([], pa.int64())], names=["gram", "n"])]
         for flag in (False, True):
             some = [text for _, _, text, train in rows if text and train == flag]
             for a, b in text_slices(some):
-                keys, n = np.unique(gram_keys(some[a:b])[0], return_counts=True)
-                every.append(keys)
-                counted.append(n if flag else np.zeros(len(n)))
-        keys, inverse = np.unique(np.concatenate(every), return_inverse=True)
-        n = np.bincount(inverse, np.concatenate(counted), len(keys)).astype(np.int64)
-        grams = [{"gram": key_text(k), "n": c} for k, c in zip(keys.tolist(), n.tolist())]
+                types, of, _ = gram_types(some[a:b])
+                n = np.bincount(of, minlength=len(types)) if flag else np.zeros(len(types), np.int64)
+                slices.append(pa.table([pa.array(types, pa.string()), pa.array(n, pa.int64())], names=["gram", "n"]))
+        counted = pa.concat_tables(slices).group_by("gram").aggregate([("n", "sum")]).combine_chunks()
+        grams = pa.StructArray.from_arrays([pa.array(counted.column(c).to_pylist(), t) for c, t in
+                                            (("gram", pa.string()), ("n_sum", pa.int64()))], names=["gram", "n"])
         sink = pa.BufferOutputStream()
         batch = pa.record_batch([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(DOC)], schema=DOC)
         with pa.ipc.new_stream(sink, DOC, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as w:
             w.write_batch(batch)
-        kind = pa.list_(pa.struct([("gram", pa.string()), ("n", pa.int64())]))
         return pa.RecordBatch.from_arrays([pa.array([f"{part}-{seq}"]), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
-                                           pa.array([grams], kind)], names=["block", "docs", "grams"])
+                                           pa.ListArray.from_arrays([0, len(grams)], grams)], names=["block", "docs", "grams"])
 
     rows, chars = [], 0
     for batch in batches:
@@ -135,21 +132,22 @@ SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", p
 
 def _score(packed: pa.Table, answers: pa.Table) -> pa.Table:
     """Summed log-probability of each document of one block; null without a model."""
-    known = np.array([text_key(g) for g in answers.column("gram").to_pylist()], np.uint64)
-    order = np.argsort(known)
-    known, logs = known[order], answers.column("log_p").to_numpy()[order]
+    place = {g: i for i, g in enumerate(answers.column("gram").to_pylist())}
+    logs = answers.column("log_p").to_numpy()
     parts = []
     for raw in packed.column("docs"):
         docs = pa.ipc.open_stream(raw.as_buffer()).read_all()
         texts = [t or "" for t in docs.column("text").to_pylist()]
         total = np.zeros(len(texts))
         for a, b in text_slices(texts):
-            keys, starts = gram_keys(texts[a:b])
-            if len(keys) and len(known):
-                p = np.concatenate([[0.0], np.cumsum(logs[np.searchsorted(known, keys)])])
-                total[a:b] = p[np.append(starts[1:], len(keys))] - p[starts]
+            if not place:
+                break
+            types, of, starts = gram_types(texts[a:b])
+            each = logs[np.array([place[g] for g in types], np.int64)][of]
+            p = np.concatenate([[0.0], np.cumsum(each)])
+            total[a:b] = p[np.append(starts[1:], len(each))] - p[starts]
         parts.append(pa.table([docs.column("doc_id"), docs.column("lang"), pa.array([len(t) for t in texts], pa.int64()),
-                               pa.array(total, pa.float64(), mask=np.full(len(texts), not len(known)))], schema=SCORED))
+                               pa.array(total, pa.float64(), mask=np.full(len(texts), not place))], schema=SCORED))
     return pa.concat_tables(parts) if parts else SCORED.empty_table()
 
 
@@ -173,15 +171,15 @@ def level(counts: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
     return c.select("gram", "mass"), ctx.select("ctx", F.col("total").cast("double"), (F.col("off") / F.col("total")).alias("weight"))
 
 
-def log_probabilities(wanted: DataFrame, counts: DataFrame) -> DataFrame:
+def log_probabilities(wanted: DataFrame, counts: DataFrame, longest: int = 3) -> DataFrame:
     """(gram, log_p): of each wanted n-gram, its last character after the others.
 
-    ``counts`` (gram, n) are the n-grams of the training text. Lower orders
+    ``counts`` (gram, n) are the n-grams of ``longest`` characters of the training text. Lower orders
     count the distinct n-grams that a shorter one ends. Without counts there
     are no rows.
     """
     levels, own = [], counts
-    for order in range(ORDER, 0, -1):
+    for order in range(longest, 0, -1):
         levels.append((order, *level(own, order)))
         if order > 1:
             own = written(own.groupBy(F.substring("gram", 2, order - 1).alias("gram")).agg(F.count("*").alias("n")),
@@ -191,15 +189,15 @@ def log_probabilities(wanted: DataFrame, counts: DataFrame) -> DataFrame:
         return wanted.limit(0).select("gram", F.lit(0.0).alias("log_p"))
     out = wanted.withColumn("p", F.lit(1.0 / (letters + 1)))
     for order, mass, ctx in reversed(levels):
-        out = out.withColumn("own", F.substring("gram", ORDER - order + 1, order)) \
-            .withColumn("ctx", F.substring("gram", ORDER - order + 1, order - 1))
+        out = out.withColumn("own", F.substring("gram", longest - order + 1, order)) \
+            .withColumn("ctx", F.substring("gram", longest - order + 1, order - 1))
         out = out.join(mass.withColumnRenamed("gram", "own"), "own", "left").join(ctx, "ctx", "left")
         out = out.withColumn("p", F.when(F.col("total").isNull(), F.col("p")).otherwise(
             F.coalesce("mass", F.lit(0.0)) / F.col("total") + F.col("weight") * F.col("p"))).select("gram", "p")
     return out.select("gram", F.log("p").alias("log_p"))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, n_chars, perplexity, threshold, kept of every row.
 
     ``labels`` (doc_id, quality): documents of quality 1 are trusted. One in
@@ -221,7 +219,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTIL
                      .mapInArrow(_pack, BLOCK_DDL), "blocks")
     grams = packed.select("block", F.explode("grams").alias("g")).select("block", "g.gram", "g.n")
     types = written(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    logs = written(log_probabilities(types.select("gram"), types.filter("n > 0")), "log-probabilities")
+    logs = written(log_probabilities(types.select("gram"), types.filter("n > 0"), ORDER), "log-probabilities")
     answers = grams.select(F.col("block").alias("of_block"), "gram").join(logs, "gram")
     scored = written(packed.select("block", "docs").groupBy("block").cogroup(answers.groupBy("of_block"))
                      .applyInArrow(_score, "doc_id long, lang string, n_chars long, log_p double"), "scores")
@@ -234,7 +232,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTIL
             F.col("n_chars") > 0, F.exp(-(F.col("log_p") + PRIOR * mean) / (F.col("n_chars") + PRIOR)))).drop("mean")
 
     thresholds = F.broadcast(perplexity(held).groupBy("lang").agg(
-        (F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * slack).alias("threshold")))
+        F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)).alias("threshold")))
     return perplexity(scored).join(thresholds, "lang", "left").select(
         "doc_id", "lang", "n_chars", "perplexity", "threshold",
         ((F.col("n_chars") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("kept"))

@@ -136,6 +136,24 @@ def test_quality_keeps_trusted_text(spark):
     assert share[1] > 0.97 and share[0] < 0.5
 
 
+def test_quality_rejects_junk(spark):
+    docs, marks = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    got = quality_scores(docs, marks).join(marks, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k"))
+    share = {r.quality: r.k for r in got.collect()}
+    assert share[1] > 0.97 and share[0] < 0.05
+
+
+def test_gram_types_of_many_letters():
+    from rollcall.llm.quality import ORDER, START, gram_types
+    rng = random.Random(8)
+    some = ["".join(chr(rng.randrange(0x4E00, 0x1F000)) for _ in range(9000)), "", "abcabcabcab", "ab"]
+    types, of, starts = gram_types(some)
+    for t, at in zip(some, starts):
+        padded = START * (ORDER - 1) + t
+        assert [types[i] for i in of[at:at + len(t)]] == [padded[i:i + ORDER] for i in range(len(t))]
+    assert len(set(types)) == len(types)
+
+
 def test_kneser_ney_sums_to_one(spark):
     from rollcall.llm.quality import log_probabilities
     counts = {"abc": 3, "abd": 1, "bcd": 2, "cda": 1, "dab": 4, "bca": 1}
