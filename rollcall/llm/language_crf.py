@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import pick, ship_code
+from rollcall.llm.store import pick, ship_code, written
 
 BUCKETS = 1 << 17
 CHAIN = 64
@@ -263,18 +263,21 @@ def fit(samples: list[tuple[str, str]]) -> Model:
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
-    """(lang, text) of at most TRAIN_DOCS documents a language, the smallest hashes of the text.
+    """(lang, text) of at most TRAIN_DOCS distinct texts with a letter a language, the smallest hashes.
 
-    A language's rows are thinned by hash to about twice that number before they are ranked.
+    Copies count once, so that every language with a text is learned. A language's
+    hashes are thinned to about twice that number before they are ranked.
     """
-    some = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+    some = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "lang", "text", F.xxhash64("text").alias("h"))
-    per = docs.filter(F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n"))
+    distinct = written(some.select("lang", "h").distinct(), "training-hashes")
+    per = distinct.groupBy("lang").agg(F.count("*").alias("n"))
     scale = 1 << 30
-    thin = some.join(F.broadcast(per), "lang").filter(
+    thin = distinct.join(F.broadcast(per), "lang").filter(
         F.pmod("h", F.lit(scale)) * F.col("n") <= F.lit(2.0 * TRAIN_DOCS * scale))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    return thin.withColumn("r", rank).filter(F.col("r") <= TRAIN_DOCS).select("lang", "text")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = thin.withColumn("r", rank).filter(F.col("r") <= TRAIN_DOCS).select("lang", "h")     # TRAIN_DOCS a language
+    return some.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "text")
 
 
 def identify_language(docs: DataFrame, learn_from: DataFrame) -> DataFrame:

@@ -241,6 +241,14 @@ def test_language_held_out(spark):
     assert sum(held) >= 0.98 * len(held)
 
 
+def test_language_learns_from_copies(spark):
+    from rollcall.llm.language_crf import training_rows
+    rows = [(f"l{k}", f"word{'abcdefghij'[k % 10] * (k + 1)} text {'vwxyz'[i]}") for k in range(20) for i in range(5)]
+    many = spark.createDataFrame(rows, "lang string, text string").crossJoin(spark.range(400)).select("lang", "text")
+    digits = spark.range(3000).select(F.lit("l0").alias("lang"), F.col("id").cast("string").alias("text"))
+    assert sorted(map(tuple, training_rows(many.unionByName(digits)).collect())) == sorted(rows)
+
+
 def test_language_without_letters(spark):
     docs = spark.createDataFrame([(1, "123 !!"), (2, None)], "doc_id long, text string")
     learn = spark.createDataFrame([("en", "the of and with"), ("de", "der und mit von")] * 3, "lang string, text string")
