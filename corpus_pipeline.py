@@ -52,9 +52,12 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that domain tokens meet the target shares; clean text sets the size, none is repeated."""
+    """Documents repeated or dropped so that domain tokens meet the target shares; those judged clean stay once."""
     drawn = mix(docs, label_domains(table(spark, sf_dir, "labels")), TARGETS, anchor="clean")
-    return without(docs, drawn.select("doc_id", (F.col("copies") > 0).alias("kept")))
+    times = drawn.filter("copies != 1").select(F.col("doc_id").alias("id"), "text_hash", "copies").dropDuplicates(["id", "text_hash"])
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("text_hash"))
+    rows = docs.join(times, same, "left").withColumn("copies", F.coalesce("copies", F.lit(1))).filter("copies > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

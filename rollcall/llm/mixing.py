@@ -40,13 +40,13 @@ def words(text: Column) -> Column:
 
 
 def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, n_tokens, p) of every row of ``docs`` (doc_id, text); ``labelled`` is (doc_id, domain)."""
+    """(doc_id, text_hash, n_tokens, p) of every row of ``docs`` (doc_id, text); ``labelled`` is (doc_id, domain)."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF
     from pyspark.ml.functions import vector_to_array
 
     tokens = F.when(F.btrim(F.coalesce("text", F.lit(""))) == "", F.lit(0)).otherwise(F.size("words")).cast("long")
-    split = docs.withColumn("words", words(F.col("text")))
+    split = docs.withColumn("words", words(F.col("text"))).withColumn("text_hash", F.xxhash64("text"))
     hashed = HashingTF(inputCol="words", outputCol="features", numFeatures=BUCKETS, binary=True)
     code = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")) - 1
     # of every labelled id one domain; those with two teach nothing
@@ -57,13 +57,13 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], sample:
                     .select("text", code.cast("double").alias("label")), "labelled")
     classes = train.select("label").distinct().count()
     if classes < 2:
-        return split.select("doc_id", tokens.alias("n_tokens"), F.array(*[F.lit(1.0 / len(domains))] * len(domains)).alias("p"))
+        return split.select("doc_id", "text_hash", tokens.alias("n_tokens"), F.array(*[F.lit(1.0 / len(domains))] * len(domains)).alias("p"))
     model = LogisticRegression(maxIter=25, regParam=0.01, family="multinomial").fit(
         hashed.transform(train.withColumn("words", words(F.col("text")))).select("features", "label"))
     p = vector_to_array("probability")
     # the model knows classes up to the last one labelled
     padded = F.concat(p, F.array(*[F.lit(0.0)] * (len(domains) - model.numClasses)).cast("array<double>"))
-    return model.transform(hashed.transform(split)).select("doc_id", tokens.alias("n_tokens"), padded.alias("p"))
+    return model.transform(hashed.transform(split)).select("doc_id", "text_hash", tokens.alias("n_tokens"), padded.alias("p"))
 
 
 def target_total(have: list[float], weights: list[float], anchor: int | None) -> float:
@@ -72,36 +72,50 @@ def target_total(have: list[float], weights: list[float], anchor: int | None) ->
 
 
 def rates(rated: DataFrame, weights: list[float], anchor: int | None = None) -> tuple[Column, list[float]]:
-    """(rate as an expression over n_tokens and p, achieved shares), by projected gradient steps."""
+    """(rate as an expression over n_tokens and p, achieved shares), by projected gradient steps.
+
+    Documents judged to be of the anchor domain keep rate 1; the mixture's size
+    follows the anchor's tokens as the other rates change.
+    """
     k = range(len(weights))
     have = list(rated.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[d]), F.lit(0.0)) for d in k]).first())
     total = target_total(have, weights, anchor)
     if not sum(have) or not total:
         return F.lit(1.0), [0.0] * len(weights)
+    held = F.lit(False) if anchor is None else F.array_position("p", F.array_max("p")) == anchor + 1
     share = [max(h / total, 1e-12) for h in have]
-    gram = rated.agg(*[F.sum(F.col("n_tokens") * F.col("p")[a] * F.col("p")[b]) for a in k for b in k]).first()
+    free = rated.filter(~held)
+    gram = free.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[a] * F.col("p")[b]), F.lit(0.0)) for a in k for b in k]).first()
     rows = [[gram[a * len(weights) + b] / total / (share[a] * share[b]) ** 0.5 for b in k] for a in k]
     step = 1 / (float(np.linalg.eigvalsh(np.array(rows)).max()) + MU)
-    r = F.lit(1.0)
+    first = list(free.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[d]), F.lit(0.0)) for d in k]).first())
+    pulls: list[list[float]] = []              # of each step, a factor for each posterior
+
+    def rate() -> Column:
+        # one loop over the steps, so the expression doesn't grow with them
+        if not pulls:
+            return F.lit(1.0)
+        return F.aggregate(F.array(*[F.array(*map(F.lit, c)) for c in pulls]), F.lit(1.0), lambda r, c: F.greatest(
+            F.lit(0.0), F.lit(1 - step * MU) * r + sum((c[d] * F.col("p")[d] for d in k), F.lit(step * MU))))
+
     for _ in range(STEPS):
-        got = list(rated.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[d] * r), F.lit(0.0)) for d in k]).first())
+        sums = free.withColumn("r", rate()).agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[d] * F.col("r")), F.lit(0.0)) for d in k])
+        got = [h - f + g for h, f, g in zip(have, first, sums.first())]
+        total = target_total(have if anchor is None else got, weights, anchor)
         miss = [g / total - w for g, w in zip(got, weights)]
         if all(abs(m) <= CLOSE * w or h <= 0 for m, w, h in zip(miss, weights, have)):
             break
-        pull = F.lit(step * MU)
-        for d in k:
-            if have[d] > 0:
-                pull = pull - F.lit(step * miss[d] / share[d]) * F.col("p")[d]
-        r = F.greatest(F.lit(0.0), F.lit(1 - step * MU) * r + pull)
-    return r, [g / total for g in got]
+        pulls.append([-step * miss[d] / share[d] if have[d] > 0 else 0.0 for d in k])
+    return F.when(held, 1.0).otherwise(rate()), [g / total for g in got]
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, domain, p_<domain>..., rate, copies of every row.
+    """doc_id, n_tokens, domain, p_<domain>..., rate, copies, text_hash of every row.
 
     ``targets`` gives each domain's share of the mixture's tokens; ``anchor``
-    names the domain whose present tokens fix the mixture's size. ``copies``
-    rounds the rate by a hash of the id, so its mean is the rate.
+    names the domain whose documents all stay once and whose tokens fix the
+    mixture's size. ``copies`` rounds the rate by a hash of id and text, so its
+    mean is the rate.
     """
     domains = sorted(targets)
     weights = [targets[d] / sum(targets.values()) for d in domains]
@@ -109,10 +123,10 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor:
     rated = written(posteriors(base, pick(labelled, "doc_id", "domain"), domains), "posteriors")
     r, _ = rates(rated, weights, domains.index(anchor) if anchor else None)
     out = rated.withColumn("rate", r)
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
+    chance = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1 << 20)) / float(1 << 20)
     best = F.element_at(F.array(*map(F.lit, domains)), F.array_position("p", F.array_max("p")).cast("int"))
     return out.select("doc_id", "n_tokens", best.alias("domain"), *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(domains)],
-                      "rate", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int").alias("copies"))
+                      "rate", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int").alias("copies"), "text_hash")
 
 
 def label_domains(labels: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ def op7_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"), label_domains(table(spark, sf_dir, "labels")), TARGETS)
+    return mix(table(spark, sf_dir, "documents"), label_domains(table(spark, sf_dir, "labels")), TARGETS).drop("text_hash")
 
 
 def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:

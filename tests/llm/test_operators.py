@@ -345,3 +345,26 @@ def test_pipeline(spark):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert last.count() == docs.count() > 0
     assert "pipeline" in entry.queries()
+
+
+def saved(df, tmp_dir, name):
+    df.write.parquet(f"{tmp_dir}/{name}.parquet")
+    return table(df.sparkSession, tmp_dir, name)
+
+
+def test_mixing_stage_reaches_the_targets(spark, tmp_dir):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    word = {d: [f"{d}{i}" for i in range(40)] for d in ("clean", "toxic", "junk")}
+    kind = ["toxic"] * 20 + ["junk"] * 10 + ["clean"] * 1970                  # 1 % and 0.5 % against 5 % and 3 %
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(word[k], k=30)), "en", "s", 0) for i, k in enumerate(kind)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    saved(spark.createDataFrame([(i, int(k != "junk"), int(k == "toxic")) for i, k in enumerate(kind)],
+                                "doc_id long, quality int, toxic int"), tmp_dir, "labels")
+    n = {k: 0 for k in word}
+    for r in corpus_pipeline.mixture(spark, docs, tmp_dir).collect():
+        n[kind[r.doc_id]] += 1
+    assert n["clean"] == 1970
+    for d, w in queries.TARGETS.items():
+        assert abs(n[d] / sum(n.values()) - w) < 0.01, n
