@@ -4,10 +4,10 @@
 returns a DataFrame, which is written and read again as the next one's docs.
 All but the last return the columns of documents.
 
-Defined cases: doc_id is the key. A document goes at a stage if none of its
-rows is kept there; rows with a null doc_id can't be named by a decision and
-stay. Redaction goes by id and text. Null and empty texts are rejected by the
-first stage.
+Defined cases: doc_id and text are the key, and a null doc_id is an id like any
+other; so each row goes or stays by its own text. The near-duplicate stage
+leaves one row of each key; mixing may repeat a row. Redaction goes by text.
+Null and empty texts are rejected by the first stage.
 """
 
 from __future__ import annotations
@@ -24,28 +24,33 @@ from rollcall.llm.secret_scan import redacted, secret_scan
 from rollcall.llm.store import table, written
 
 
-def without(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """``docs`` without the ids that no row of ``decisions`` (doc_id, kept) keeps."""
-    gone = decisions.filter(F.col("doc_id").isNotNull()).groupBy("doc_id") \
-        .agg(F.max("kept").alias("any")).filter(~F.col("any")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is within the threshold of their language."""
-    return without(docs, quality_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "kept"))
+    gone = quality_scores(docs, table(spark, sf_dir, "labels")).filter(~F.col("kept")).select(
+        F.col("doc_id").alias("id"), F.col("lang").alias("of"), "text_hash").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.coalesce("lang", F.lit("")) == F.col("of")) \
+        & (F.xxhash64("text") == F.col("text_hash"))
+    return docs.join(gone, same, "left_anti")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: five-word shingles, similarity 0.8."""
-    return without(docs, near_duplicates(docs, width=5, percent=80).select("doc_id", "kept"))
+    """One row of each near-duplicate group, of its smallest id: five-word shingles, similarity 0.8."""
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", F.xxhash64("text")))
+    ids = keyed.groupBy("_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("_rows"))
+    found = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), width=5, percent=80) \
+        .select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    best = found.join(ids, "_key").groupBy("component_id").agg(
+        F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "_key", "_rows")).alias("best"))
+    best = written(best.select("best._key", "best._rows"), "kept")
+    once = keyed.join(best.filter("_rows = 1"), "_key", "left_semi")
+    more = keyed.join(best.filter("_rows > 1"), "_key", "left_semi").dropDuplicates(["_key"])
+    return once.unionByName(more).select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets replaced, and n_chars of what is left."""
-    found = secret_scan(docs).filter("spans != '' and doc_id is not null").select(
-        F.col("doc_id").alias("id"), "text_hash", "spans").dropDuplicates(["id", "text_hash"])
-    joined = docs.join(found, (F.col("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("text_hash")), "left")
+    found = secret_scan(docs).filter("spans != ''").select("text_hash", "spans").dropDuplicates(["text_hash"])
+    joined = docs.join(found, F.xxhash64("text") == F.col("text_hash"), "left")
     clean = {"text": redacted(F.col("text"), F.col("spans"))}
     clean["n_chars"] = F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length(clean["text"]).cast("long"))
     return joined.select(*[(clean[c].alias(c) if c in clean else F.col(c)) for c in docs.columns])

@@ -46,7 +46,7 @@ PRIOR = 120.0             # characters' worth of the language's typical log-prob
 QUANTILE = 0.99
 TRUSTED_BROADCAST = 4_000_000   # ids; beyond it the flag is joined by a shuffle
 
-DOC = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("text", pa.string())])
+DOC = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("text", pa.string()), ("text_hash", pa.int64())])
 BLOCK_DDL = "block string, docs binary, grams array<struct<gram:string,n:long>>"
 
 
@@ -100,7 +100,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seq += 1
         slices = [pa.table([pa.array([], pa.string()), pa.array([], pa.int64())], names=["gram", "n"])]
         for flag in (False, True):
-            some = [text for _, _, text, train in rows if text and train == flag]
+            some = [text for _, _, text, _, train in rows if text and train == flag]
             for a, b in text_slices(some):
                 types, of, _ = gram_types(some[a:b])
                 n = np.bincount(of, minlength=len(types)) if flag else np.zeros(len(types), np.int64)
@@ -117,7 +117,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     rows, chars = [], 0
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
             rows.append(row)
             chars += len(row[2] or "") + 1
             if chars >= BLOCK_CHARS:
@@ -127,7 +127,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block(rows)
 
 
-SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("log_p", pa.float64())])
+SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("log_p", pa.float64()),
+                    ("text_hash", pa.int64())])
 
 
 def _score(packed: pa.Table, answers: pa.Table) -> pa.Table:
@@ -147,7 +148,8 @@ def _score(packed: pa.Table, answers: pa.Table) -> pa.Table:
             p = np.concatenate([[0.0], np.cumsum(each)])
             total[a:b] = p[np.append(starts[1:], len(each))] - p[starts]
         parts.append(pa.table([docs.column("doc_id"), docs.column("lang"), pa.array([len(t) for t in texts], pa.int64()),
-                               pa.array(total, pa.float64(), mask=np.full(len(texts), not place))], schema=SCORED))
+                               pa.array(total, pa.float64(), mask=np.full(len(texts), not place)),
+                               docs.column("text_hash")], schema=SCORED))
     return pa.concat_tables(parts) if parts else SCORED.empty_table()
 
 
@@ -198,7 +200,7 @@ def log_probabilities(wanted: DataFrame, counts: DataFrame, longest: int = 3) ->
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """doc_id, lang, n_chars, perplexity, threshold, kept of every row.
+    """doc_id, lang, n_chars, perplexity, threshold, kept, text_hash of every row.
 
     ``labels`` (doc_id, quality): documents of quality 1 are trusted. One in
     five of them, by hash of the id, is held out for the thresholds. Only
@@ -213,16 +215,17 @@ def quality_scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTIL
                       "trusted")
     few = F.broadcast(trusted) if trusted.count() <= TRUSTED_BROADCAST else trusted
     base = pick(docs, "doc_id", "lang", "text").select(
-        F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string"))
+        F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string"),
+        F.xxhash64("text").alias("text_hash"))
     packed = written(base.join(few, F.col("doc_id") == F.col("id"), "left")
-                     .select("doc_id", "lang", "text", F.coalesce("train", F.lit(False)).alias("train"))
+                     .select("doc_id", "lang", "text", "text_hash", F.coalesce("train", F.lit(False)).alias("train"))
                      .mapInArrow(_pack, BLOCK_DDL), "blocks")
     grams = packed.select("block", F.explode("grams").alias("g")).select("block", "g.gram", "g.n")
     types = written(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     logs = written(log_probabilities(types.select("gram"), types.filter("n > 0"), ORDER), "log-probabilities")
     answers = grams.select(F.col("block").alias("of_block"), "gram").join(logs, "gram")
     scored = written(packed.select("block", "docs").groupBy("block").cogroup(answers.groupBy("of_block"))
-                     .applyInArrow(_score, "doc_id long, lang string, n_chars long, log_p double"), "scores")
+                     .applyInArrow(_score, "doc_id long, lang string, n_chars long, log_p double, text_hash long"), "scores")
     held = scored.join(trusted.filter("not train"), F.col("doc_id") == F.col("id"), "left_semi").filter("n_chars > 0")
     typical = F.broadcast(held.groupBy("lang").agg((F.sum("log_p") / F.sum("n_chars")).alias("mean")))   # a row for each language
 
@@ -235,4 +238,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTIL
         F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)).alias("threshold")))
     return perplexity(scored).join(thresholds, "lang", "left").select(
         "doc_id", "lang", "n_chars", "perplexity", "threshold",
-        ((F.col("n_chars") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("kept"))
+        ((F.col("n_chars") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("kept"), "text_hash")

@@ -36,7 +36,7 @@ def op2_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
 
 
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

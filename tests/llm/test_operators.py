@@ -368,3 +368,29 @@ def test_mixing_stage_reaches_the_targets(spark, tmp_dir):
     assert n["clean"] == 1970
     for d, w in queries.TARGETS.items():
         assert abs(n[d] / sum(n.values()) - w) < 0.01, n
+
+
+def test_pipeline_decides_by_row(spark, tmp_dir):
+    import corpus_pipeline
+
+    a = " ".join(f"alpha{i}" for i in range(60))
+    b = " ".join(f"beta{i}" for i in range(60))
+    rows = [(1, a), (1, a), (2, a + " more"), (1, b), (None, b + " more"), (None, "key token=abcdefgh99 end"), (3, "other words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.near_dedup(spark, docs, tmp_dir)
+    assert sorted(r.text for r in left.collect()) == sorted([a, b, "key token=abcdefgh99 end", "other words"])
+    assert all("abcdefgh99" not in r.text for r in corpus_pipeline.secrets(spark, left, tmp_dir).collect())
+
+
+def test_pipeline_rejects_junk_of_any_id(spark, tmp_dir):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.01"
+    marks = saved(table(spark, sf, "labels"), tmp_dir, "labels")
+    docs = table(spark, sf, "documents")
+    junk = docs.join(marks.filter("quality = 0"), "doc_id", "left_semi")
+    other = docs.join(marks, "doc_id", "left_anti").first().doc_id         # an unlabelled one
+    more = docs.unionByName(junk.withColumn("doc_id", F.lit(None).cast("long"))).unionByName(junk.withColumn("doc_id", F.lit(other)))
+    left = corpus_pipeline.quality(spark, more, tmp_dir)
+    assert left.filter(F.col("doc_id").isNull()).count() <= 0.1 * junk.count()
+    assert left.filter(F.col("doc_id") == other).count() <= 1 + 0.1 * junk.count()
