@@ -9,7 +9,8 @@
 Seeds are CSV files with a header: region lookup (region_code, region_name,
 latitude, longitude), region corrections (snapshot_date, entity_type,
 region_code, entity_no, region_code_fixed) and name corrections
-(snapshot_date, entity_type, region_code, entity_no, entity_name_fixed).
+(snapshot_date, entity_type, region_code, entity_no, entity_name_fixed). Their keys
+must be unique; a name correction's date may be empty.
 """
 
 from __future__ import annotations
@@ -24,9 +25,12 @@ from pyspark.sql import functions as F
 def _seeds(spark, args):
     from rollcall.plans import staging as S
     from rollcall.sources import raw_store as R
-    lookup = R.read_seed(spark, args.regions, S.REGION_LOOKUP_SCHEMA) if args.regions else None
-    rfix = R.read_seed(spark, args.region_fixes, S.REGION_CORRECTION_SCHEMA) if args.region_fixes else None
-    nfix = R.read_seed(spark, args.name_fixes, S.NAME_CORRECTION_SCHEMA) if args.name_fixes else None
+    entity = ["entity_type", "region_code", "entity_no"]
+    read = lambda path, schema, keys, nullable=(): R.read_seed(
+        spark, path, schema, keys, set(nullable), args.quarantine) if path else None
+    lookup = read(args.regions, S.REGION_LOOKUP_SCHEMA, ["region_code"])
+    rfix = read(args.region_fixes, S.REGION_CORRECTION_SCHEMA, ["snapshot_date", *entity])
+    nfix = read(args.name_fixes, S.NAME_CORRECTION_SCHEMA, ["snapshot_date", *entity], ["snapshot_date"])
     geo = lookup.where(F.col("latitude").isNotNull()) if lookup is not None else None
     return lookup, rfix, nfix, geo
 
@@ -42,6 +46,7 @@ def main(argv=None) -> int:
     p.add_argument("--regions")
     p.add_argument("--region-fixes")
     p.add_argument("--name-fixes")
+    p.add_argument("--quarantine", help="table for seed rows that can't be used; without it they stop the run")
     p.add_argument("--warn-only", action="store_true", help="report error-level checks, do not stop")
     args = p.parse_args(argv)
 

@@ -21,6 +21,7 @@ from rollcall.plans import ingest as I
 from rollcall.plans import staging as S
 from rollcall.sources import export as EX
 from rollcall.sources import raw_store as R
+from rollcall.sources.commit_log import BASENAME, load_name
 from rollcall.session import materialize, scratch_path, small_table
 
 
@@ -427,7 +428,44 @@ def schema_evolution(spark, sf):
     return R.read_raw(spark, store)
 
 
+def ingest_round_trip(spark, sf):
+    """Two landings and loads of the registry with what broken-off runs leave behind in
+    between: part files of a snapshot that was not landed to the end, and a date
+    folder in the store that no load committed. Neither is read; the next run lands
+    and loads the snapshot whole."""
+    r = reg(spark, sf)
+    landing, store = scratch_path(spark, "landing"), scratch_path(spark, "raw")
+    cut = F.lit(CUT_DATE).cast("date")
+    later = r.where(F.col("snapshot_date") >= cut)
+
+    def land(rows):
+        R.land_snapshots(rows, landing, D.LABEL_PREFIX, ".csv", data_cols=S.RAW_COLUMNS, order_by=S.RAW_COLUMNS)
+
+    land(r.where(F.col("snapshot_date") < cut))
+    I.load_landing(spark, landing, store)
+    half = later.where("event_id % 2 = 0")
+    half.select(*S.RAW_COLUMNS, N.canonical_label("snapshot_date", D.LABEL_PREFIX, ".csv").alias("snapshot")) \
+        .write.mode("append").option("header", True).option(BASENAME, load_name()).partitionBy("snapshot").csv(landing)
+    R.conform(half.select(*S.RAW_COLUMNS, "snapshot_date")) \
+        .write.mode("append").option(BASENAME, load_name()).partitionBy("snapshot_date").parquet(store)
+    I.load_landing(spark, landing, store)             # nothing is landed to the end that is not loaded
+    land(r)
+    I.load_landing(spark, landing, store)
+    return R.read_raw(spark, store).select(*S.RAW_COLUMNS, "snapshot_date", "_source_file", "_row_number")
+
+
+def backfill_scan(spark, sf):
+    """The backfill as a segmented scan over order lines: of each part of the year (four
+    groups, none smaller than a fifth of all rows), in order of ship date, order and line."""
+    li = D.table(spark, sf, "lineitem").select(
+        (F.month(F.to_date("l_shipdate")) % 4).alias("season"), F.to_date("l_shipdate").alias("shipped"), "l_orderkey",
+        "l_linenumber", F.when(F.col("l_partkey") % 5 != 0, F.col("l_suppkey")).alias("supplier"))
+    return G.backfill(li, "supplier", ["season"], "shipped", ["l_orderkey", "l_linenumber"], scan=True)
+
+
 REGISTRY.update({
+    "backfill_scan": backfill_scan,
+    "ingest_round_trip": ingest_round_trip,
     "raw_row_numbers": raw_row_numbers,
     "schema_evolution": schema_evolution,
 })

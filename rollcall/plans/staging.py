@@ -94,12 +94,11 @@ def stage(raw: DataFrame, region_lookup: DataFrame | None = None,
           rules: Rules = Rules(), persist: bool = True) -> DataFrame:
     """The staged registry with ``STAGED_COLUMNS``.
 
-    ``raw`` should be a stored table (the raw store): the backfill reads its
-    input twice, and up to there every step is narrow (projections and
-    size-checked broadcast joins with the seeds), so a second scan is cheaper
-    than writing a copy. With ``persist`` (default) the staged table - read
-    twice by the leader rule, after windows and joins - is written once to the
-    checkpoint folder; ``persist=False`` keeps everything one lazy plan.
+    The backfill reads its input three times (rows with a number, rows without,
+    the places that its carries run over). With ``persist`` (default) that input
+    is written once, the carries are a segmented scan, and the staged table - read
+    twice by the leader rule - is written once too; ``persist=False`` keeps
+    everything one lazy plan, with one window a group.
     """
     df = correct(normalise(raw, rules), region_fixes, name_fixes)
     if region_lookup is not None:
@@ -110,7 +109,9 @@ def stage(raw: DataFrame, region_lookup: DataFrame | None = None,
         df = df.withColumn("needs_region_review", F.lit(False)) \
             .withColumn("suggested_region", F.lit(None).cast("string"))
     tiebreak = ["entity_type"] + (["_row_number"] if "_row_number" in df.columns else [])
-    df = backfill(df, "entity_no", ["region_code", "entity_name"], "snapshot_date", tiebreak)
+    if persist:
+        df = materialize(df, "corrected")
+    df = backfill(df, "entity_no", ["region_code", "entity_name"], "snapshot_date", tiebreak, scan=persist)
     df = df.withColumn("entity_key", X.entity_key("entity_type", "region_code", "entity_no",
                                                   national_value=rules.national))
     df = df.select(*STAGED_COLUMNS)

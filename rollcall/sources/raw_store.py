@@ -3,27 +3,24 @@
 A snapshot is one file (or one directory of part files) whose name carries the
 cut-off date. The raw store is Parquet partitioned by ``snapshot_date`` and is
 only ever appended to; a committed date is skipped, so a rerun loads nothing
-(idempotent by date, not by file name). A date counts as loaded once it is in
-the small table of committed dates, which is written after its data: what an
-interrupted load left behind is overwritten by the next one.
+(idempotent by date, not by file name). A date counts as loaded, and its files
+are read, once the commit log names the load that wrote them
+(``commit_log``): what an interrupted load left behind is never seen.
 """
 
 from __future__ import annotations
 
-import csv
-import io
 import re
-from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions.names import (canonical_label, has_extension, is_valid_name,
-                                      normalise_headers, snapshot_date_of)
+                                      normalise_headers, reader_path, snapshot_date_of)
 from rollcall.functions.text import utrim
-from rollcall.session import bounded_broadcast, ensure_checkpoint_dir
+from rollcall.session import bounded_broadcast, materialize
+from rollcall.sources import commit_log, split_csv
 
 # Header and data, reading and writing follow one rule: a cell may be quoted, a
 # quote in it is doubled, and a quoted cell may hold separators and line breaks.
@@ -64,6 +61,7 @@ def list_snapshots(spark: SparkSession, path: str, pattern: str | None = None,
     path of that file or directory."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
              .load(path).select("path"))
+    files = only_landed(spark, files, path)
     # a snapshot written as a directory of part files is named by its directory
     out = with_source_name(files, "path", "file_name").select("path", "file_name")
     own = _uri_decode(F.regexp_extract("path", r"([^/]+)$", 1)) == F.col("file_name")
@@ -76,6 +74,21 @@ def list_snapshots(spark: SparkSession, path: str, pattern: str | None = None,
         .orderBy(F.col("snapshot_date").asc_nulls_last(), "file_name")
 
 
+def landed_log(landing_dir: str) -> str:
+    """The log of landed snapshots: inside the landing folder, under a name that listings pass over."""
+    return f"{landing_dir.rstrip('/')}/_landed"
+
+
+def only_landed(spark: SparkSession, files: DataFrame, landing_dir: str) -> DataFrame:
+    """Without the files of ``land_snapshots`` runs that did not get to the end; other writers' files stay."""
+    landed = commit_log.newest(spark, landed_log(landing_dir)).select("folder", "load")
+    own = files.withColumn("load", commit_log.file_load("path")) \
+        .withColumn("folder", _uri_decode(F.regexp_extract("path", r"/snapshot=([^/]+)/[^/]+$", 1)))
+    # one row per landed snapshot; a file of a load counts if its folder's newest entry names the load
+    return own.where("load = ''").select("path").unionByName(
+        own.where("load != ''").join(landed, ["folder", "load"], "left_semi").select("path"))
+
+
 def _uri_decode(c: Column) -> Column:
     """``_metadata.file_path`` is a URI; decode it without turning ``+`` into
     a space."""
@@ -99,12 +112,6 @@ def with_source_name(df: DataFrame, path_col: str = "_file_path", out: str = "_s
     return df.drop("_fname", "_dname", "_fdate")
 
 
-def reader_path(uri: str) -> str:
-    """A ``_metadata.file_path`` URI as a literal path for the reader: decoded
-    and with glob characters escaped."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
-
-
 def _with_file_meta(df: DataFrame) -> DataFrame:
     return df.select(
         "*",
@@ -113,51 +120,46 @@ def _with_file_meta(df: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("_mid"))
 
 
-def csv_headers(spark: SparkSession, paths) -> DataFrame:
-    """First line of every file: one row per file (metadata, not data)."""
-    lines = _with_file_meta(spark.read.text(paths))
-    return (lines.where(F.col("_block") == 0)
-            .groupBy("_file_path").agg(F.min_by("value", "_mid").alias("header")))
+def landed_files(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the snapshot files under a landing folder: what a landing left half done is not among them."""
+    return sorted(reader_path(r["path"]) for r in list_snapshots(spark, folder).select("path").collect())
 
 
 def read_snapshots(spark: SparkSession, paths, fmt: str = "csv", sep: str = ",",
                    null_value: str = "") -> DataFrame:
     """S3: read snapshot files with every column as text, no inference.
 
-    CSV is positional in Spark, so files are grouped by their (normalised)
-    header and each group is read with its own schema; groups are combined
-    with ``unionByName(allowMissingColumns=True)`` (extra columns are kept,
-    absent ones are NULL). Only the header lines - one per file, the same
+    CSV is positional in Spark, so each row is parsed by its own file's (normalised)
+    header, into the columns of all headers (extra columns are kept,
+    absent ones are NULL). Only the headers - one per file, the same
     order of size as the file index Spark keeps on the driver for any file
     read - reach the driver; no data row does. Cells come back as typed, with
-    quotes, separators and line breaks; a row of another width than its header
-    fails the read. Adds ``_file_path``, ``_block`` and ``_mid`` for row numbering and
-    the per-file ``_source_file`` / ``_snapshot_date``.
+    quotes, separators and line breaks, in the header too; a row of another width
+    than its header fails the read. A large file is read by many tasks
+    (``split_csv``). Adds ``_file_path``, ``_row_number`` (I11), and the per-file
+    ``_source_file`` / ``_snapshot_date``. ``paths`` is a landing folder, or a list of
+    files, which are read as they are.
     """
-    if isinstance(paths, str):
-        paths = [paths]
+    files = landed_files(spark, paths) if isinstance(paths, str) else sorted(paths)
+    if not files:
+        raise ValueError("no snapshot files found")
     if fmt != "csv":
-        df = spark.read.format(fmt).load(paths)
+        df = spark.read.format(fmt).load(files)
         df = df.toDF(*normalise_headers(df.columns))
         df = df.select([F.col(c).cast("string").alias(c) for c in df.columns])
         # inputFiles() writes local files as file:///…, _metadata as file:/…
-        files = [re.sub(r"^file:///", "file:/", f) for f in df.inputFiles()]
-        return _attach_source(spark, _with_file_meta(df), files)
-    heads = csv_headers(spark, paths).collect()
-    groups: dict[tuple, list[str]] = {}
-    for r in heads:
-        names = next(csv.reader(io.StringIO(r["header"] or ""), delimiter=sep))
-        groups.setdefault(tuple(normalise_headers(names)), []).append(reader_path(r["_file_path"]))
-    out = None
-    for cols, files in sorted(groups.items()):
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-        part = (spark.read.schema(schema).option("header", True).option("sep", sep)
-                .option("nullValue", null_value).options(**CSV_CELLS).option("mode", "FAILFAST").csv(files))
-        part = _with_file_meta(part)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+        read = [re.sub(r"^file:///", "file:/", f) for f in df.inputFiles()]
+        return _attach_source(spark, _with_file_meta(df), read)
+    out, per_file = split_csv.read_csv(spark, files, sep, CSV_CELLS["quote"], null_value, normalise_headers)
     if out is None:
         raise ValueError("no snapshot files found")
-    return _attach_source(spark, out, [r["_file_path"] for r in heads])
+    # one row a file: the rows of a snapshot's earlier part files come first
+    earlier = Window.partitionBy("_source_file").orderBy("_file_path").rowsBetween(Window.unboundedPreceding, -1)
+    meta = with_source_name(per_file).withColumn("_snapshot_date", snapshot_date_of("_source_file")) \
+        .withColumn("_before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+    meta = materialize(meta.drop("rows"), "file-metadata")
+    return out.join(meta, "_file_path").withColumn("_row_number", F.col("_before") + F.col("_record")) \
+        .drop("_before", "_record")
 
 
 def _attach_source(spark: SparkSession, df: DataFrame, files: list[str]) -> DataFrame:
@@ -169,27 +171,22 @@ def _attach_source(spark: SparkSession, df: DataFrame, files: list[str]) -> Data
 
 
 def row_numbers(df: DataFrame) -> DataFrame:
-    """``_row_number`` 1..n per snapshot in file order, part files by name,
-    without grouping a whole file.
+    """I11 for formats other than CSV (whose reader numbers rows by position):
+    ``_row_number`` 1..n per snapshot in file order, part files by name.
 
     Within one split the ids of ``monotonically_increasing_id`` follow the file
-    order; per-split row counts (one row per split) give each split's offset by
-    a running sum in block order. No task ever holds more than one split, so a
-    huge file is numbered by many tasks. The scanned rows are checkpointed once
-    so both branches see the same ids.
+    order, and scans of the same files cut them alike; so a first scan counts
+    the rows of each split and a second one adds the split's offset, a running
+    sum in block order over one row per split. No task holds more than one
+    split, and no row is copied in between.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
     source = F.first("_source_file") if "_source_file" in df.columns else F.col("_file_path")
     splits = df.groupBy("_file_path", "_block").agg(
         source.alias("_of"), F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("_of").orderBy("_file_path", "_block") \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    # one row per file split: broadcast after a row-count check, so the data
-    # rows are not shuffled for this join
-    offsets = bounded_broadcast(offsets.select("_file_path", "_block", "_first", "_offset"),
-                                what="split offsets", max_rows=2_000_000, count_check=True)
+    offsets = materialize(offsets.select("_file_path", "_block", "_first", "_offset"), "split-offsets")
     return (df.join(offsets, ["_file_path", "_block"])
             .withColumn("_row_number",
                         (F.col("_offset") + F.col("_mid") - F.col("_first") + 1).cast("bigint"))
@@ -203,7 +200,7 @@ def shape_raw(df: DataFrame, number_rows: bool = True,
     (UTC) and ``_row_number``. Rows without a date in their name are dropped.
     ``na_values`` (e.g. ``PANDAS_NA_VALUES``) lists cell texts read as missing."""
     data_cols = [c for c in df.columns if not c.startswith("_") and c not in METADATA_TYPES]
-    if number_rows:
+    if number_rows and "_row_number" not in df.columns:
         df = row_numbers(df)
     if "_source_file" not in df.columns:
         df = with_source_name(df)
@@ -236,23 +233,18 @@ def select_known(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select([F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in cols])
 
 
-def loaded_dates(spark: SparkSession, path: str) -> DataFrame:
-    """Dates committed to the raw store; empty when the store is missing.
-    Reads the table of committed dates, one row a date, and no data."""
-    try:
-        return spark.read.schema("snapshot_date date").parquet(committed_path(path)).distinct()
-    except Exception as e:  # noqa: BLE001 - a missing store is the empty set
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or \
-                "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], "snapshot_date date")
-        raise
-
-
 def committed_path(path: str) -> str:
-    """The table of committed dates: inside the store, under a name its readers pass over."""
+    """The store's commit log: inside the store, under a name its readers pass over."""
     return f"{path.rstrip('/')}/_committed"
 
 
+def loaded_dates(spark: SparkSession, path: str) -> DataFrame:
+    """Dates committed to the raw store; empty when the store is missing.
+    Reads the commit log, and no data."""
+    log = commit_log.entries(spark, committed_path(path))
+    return log.select(F.to_date("folder").alias("snapshot_date")).distinct()
+
+
 def loaded_dates_of(raw: DataFrame) -> DataFrame:
     """S7 for a DataFrame already in hand."""
     return raw.select("snapshot_date").distinct()
@@ -264,28 +256,44 @@ def load_new(incoming: DataFrame, loaded: DataFrame, date_col: str = "snapshot_d
                          date_col, "left_anti")
 
 
-def write_raw(df: DataFrame, path: str, cluster_by: str | None = "region_name",
-              mode: str = "overwrite") -> int:
+def conform(df: DataFrame) -> DataFrame:
+    """The columns with their types in the store (``raw_schema``), enforced where rows are
+    written: a cell that has no such type, or a required value that is missing, fails the load."""
+    def cell(field: T.StructField):
+        value = F.col(f"`{field.name}`").cast(field.dataType)
+        if not field.nullable:
+            value = F.when(value.isNull(), F.raise_error(F.lit(f"{field.name} is required"))).otherwise(value)
+        return value.alias(field.name)
+
+    return df.select(*[cell(f) for f in raw_schema(df.columns)])
+
+
+def write_raw(df: DataFrame, path: str, cluster_by: str | None = "region_name") -> int:
     """Add whole dates to the date-partitioned raw store, rows clustered by region
-    name inside each date (Parquet min/max skipping). Partitions are overwritten
-    date by date and the dates committed afterwards, so a date is loaded whole
-    or not at all, and a repeated load replaces what an interrupted one left. Range partitioning spreads
+    name inside each date (Parquet min/max skipping). The files of a load count once
+    its entry is in the commit log, written after them: readers see a date whole
+    or not at all, and a repeated or replacing load takes the place of the earlier one
+    in that step. Range partitioning spreads
     a large date over many writer tasks instead of one. Returns the number of
     rows written (observed during the write, no second pass)."""
+    spark, df = df.sparkSession, conform(df)
+    columns = T.StructType([f for f in df.schema if f.name != "snapshot_date"])
+    log = committed_path(path)
+    # Added columns only; a column that changes its type is refused before anything is written
+    commit_log.merged([*commit_log.newest(spark, log).collect(),
+                       {"version": 1 << 62, "load": "", "columns": columns.json()}])
     keys = ["snapshot_date"] + ([cluster_by] if cluster_by and cluster_by in df.columns else [])
     # the row hash as last range key spreads one hot (date, region) over many
     # writer tasks; it is deterministic, so a retried task writes the same rows
     spread = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_spread")
     # The written row count is a metric of the write job itself
-    seen = Observation("raw_load")
+    seen, load = Observation("raw_load"), commit_log.load_name()
     # (observed after the range exchange: the bounds-sampling job must not count)
     (df.repartitionByRange(*keys, spread).sortWithinPartitions(*keys)
      .observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("snapshot_date").alias("dates"))
-     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path))
-    dates = [(d,) for d in sorted(seen.get.get("dates") or [])]      # one a snapshot
-    if dates:
-        df.sparkSession.createDataFrame(dates, "snapshot_date date").coalesce(1) \
-            .write.mode("append").parquet(committed_path(path))
+     .write.mode("append").option(commit_log.BASENAME, load).partitionBy("snapshot_date").parquet(path))
+    dates = [str(d) for d in seen.get.get("dates") or []]      # one a snapshot
+    commit_log.commit(spark, log, load, dates, columns)
     return int(seen.get.get("rows", 0))
 
 
@@ -297,14 +305,27 @@ def append_new(spark: SparkSession, incoming: DataFrame, path: str, **kw) -> int
 
 
 def replace_snapshot(df: DataFrame, path: str, **kw) -> int:
-    """Rewrite the given dates only (dynamic partition overwrite); the manual
+    """Write the given dates anew: the new load's entry takes their place, the manual
     "drop the partition, load again" step as one call."""
     return write_raw(df, path, **kw)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The raw store with additive schema evolution (mergeSchema)."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """The raw store as the commit log has it, with additive schema evolution.
+
+    Of each committed date the files of its newest load are read, nothing else
+    that lies in the store. The columns are those of all these loads together, from
+    the log: no footer is opened to plan, and a column that a date lacks is NULL.
+    A store without a commit is empty.
+    """
+    found = commit_log.newest(spark, committed_path(path)).collect()       # one row a date
+    columns = commit_log.merged(found, partition=("snapshot_date",))
+    schema = T.StructType([*columns, T.StructField("snapshot_date", T.DateType())])
+    if not found:
+        return spark.createDataFrame([], schema)
+    root = path.rstrip("/")
+    files = [f"{root}/snapshot_date={r['folder']}/{r['load']}-*" for r in found]
+    return spark.read.schema(schema).option("basePath", root).parquet(*files)
 
 
 def ensure_store(spark: SparkSession, name: str) -> None:
@@ -312,11 +333,56 @@ def ensure_store(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def read_seed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+class SeedError(ValueError):
+    """A seed has rows that can't be used as they are."""
+
+
+def check_seed(rows: DataFrame, keys: list[str] | None = None, nullable: set[str] = frozenset()) -> DataFrame:
+    """Rows of ``read_seed(..., checked=False)`` with ``_reason``: why a row can't be used, NULL where it can.
+
+    ``malformed``: more or fewer cells than columns, or a cell that has not its
+    column's type. ``key missing``: a key column, other than the ``nullable`` ones, is empty.
+    ``key doubled``: several different rows have one key; the same row
+    written twice counts once.
+    """
+    cols = [c for c in rows.columns if c != "_line"]
+    bad = F.col("_line").isNotNull()
+    missing = F.lit(False)
+    for c in keys or []:
+        if c not in nullable:
+            missing = missing | F.col(c).isNull()
+    once = rows.where(~bad).select(*cols).distinct().withColumn("_line", F.lit(None).cast("string"))
+    out = rows.where(bad).unionByName(once)
+    n = F.lit(0)
+    if keys:
+        n = F.count(F.when(~bad & ~missing, 1)).over(Window.partitionBy(*keys, bad))
+    return out.withColumn("_reason", F.when(bad, F.lit("malformed")).when(missing, F.lit("key missing"))
+                          .when(n > 1, F.lit("key doubled")))
+
+
+def read_seed(spark: SparkSession, path: str, schema: T.StructType | str, keys: list[str] | None = None,
+              nullable: set[str] = frozenset(), quarantine: str | None = None) -> DataFrame:
     """Seed CSV with declared types; an empty cell is NULL; declared text
-    keeps leading zeros."""
-    return spark.read.schema(schema).option("header", True).option("nullValue", "") \
-        .options(**CSV_CELLS).csv(path)
+    keeps leading zeros.
+
+    Every row must have as many cells as columns, of their types, and with
+    ``keys`` be the only one of its key (``check_seed``): joins with the seed
+    then neither lose a correction nor double a row. Otherwise reading fails with
+    the first bad rows, or, with ``quarantine``, they are appended to the table
+    there, with their reason, and the others are returned.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    flagged = T.StructType([*declared.fields, T.StructField("_line", T.StringType())])
+    rows = spark.read.schema(flagged).option("header", True).option("nullValue", "").option("mode", "PERMISSIVE") \
+        .option("columnNameOfCorruptRecord", "_line").options(**CSV_CELLS).csv(path)
+    checked = materialize(check_seed(rows, keys, nullable), "seed")      # a seed is read by several joins anyway
+    bad = checked.where("_reason IS NOT NULL")
+    if quarantine:
+        bad.withColumn("_seed", F.lit(path)).withColumn("_read_at", F.current_timestamp()) \
+            .write.mode("append").option("mergeSchema", "true").parquet(quarantine)
+    elif first := bad.limit(5).collect():
+        raise SeedError(f"{path}: " + "; ".join(f"{r['_reason']}: {r['_line'] or tuple(r)[:-2]}" for r in first))
+    return checked.where("_reason IS NULL").select(*declared.fieldNames())
 
 
 def materialise(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:
@@ -336,23 +402,25 @@ def land_snapshots(df: DataFrame, landing_dir: str, prefix: str, suffix: str = "
     """Store each snapshot under a standard name derived from its date.
 
     One directory per snapshot named ``<prefix>DD_MM_YYYY<suffix>`` holding CSV
-    part files with a header; the name alone carries the date. A date whose
-    directory is there already is landed and is not written again. With
-    ``order_by`` the rows of a snapshot lie in that order over its part files.
+    part files with a header; the name alone carries the date. Snapshots count as
+    landed once the log of landed snapshots names the run that wrote them, after
+    all of their files: a run that breaks off leaves nothing that listings show,
+    and its snapshots are written whole by the next. A landed one is not written
+    again. With ``order_by`` the rows of a snapshot lie in that order over its part files.
     """
+    spark = df.sparkSession
     cols = data_cols or [c for c in df.columns if c not in META]
     label = canonical_label("snapshot_date", prefix, suffix)
     rows = df.select(*cols, label.alias("snapshot"))
-    try:
-        landed = with_source_name(df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true")
-                                  .load(landing_dir).select("path"), "path", "snapshot").select("snapshot").distinct()
-        rows = rows.join(landed, "snapshot", "left_anti").select(*cols, "snapshot")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    log, load = landed_log(landing_dir), commit_log.load_name()
+    landed = commit_log.entries(spark, log).select(F.col("folder").alias("snapshot")).distinct()
+    rows = rows.join(landed, "snapshot", "left_anti").select(*cols, "snapshot")
     if order_by:
         # neighbouring ranges go to neighbouring part files, so a large date is still written by many tasks
         rows = rows.repartitionByRange("snapshot", *order_by).sortWithinPartitions("snapshot", *order_by)
-    (rows.write.mode("append").option("header", True).options(**CSV_CELLS)
+    seen = Observation("landed")
+    (rows.observe(seen, F.collect_set("snapshot").alias("names"))
+     .write.mode("append").option("header", True).options(**CSV_CELLS)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .partitionBy("snapshot").csv(landing_dir))
+     .option(commit_log.BASENAME, load).partitionBy("snapshot").csv(landing_dir))
+    commit_log.commit(spark, log, load, seen.get.get("names") or [])         # one a snapshot
