@@ -17,8 +17,8 @@ languages bound.
 Defined cases: a text that is null or has no letter is `und` with score 0; a
 null language teaches nothing; without any training document every prediction
 is `und`; rows with equal ids are predicted one by one; an empty table gives an
-empty result; extra columns are ignored. Long chains are cut every ``CHAIN``
-words.
+empty result; extra columns are ignored. Texts are worked on in chains of
+``CHAIN`` words, which hand their messages over: no transition is cut.
 """
 
 from __future__ import annotations
@@ -143,16 +143,26 @@ class Model:
         return out
 
 
-def forward_backward(em: np.ndarray, live: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words_in(text: str) -> list[str]:
+    """The words of a text, as ``Words`` finds them."""
+    return "".join(c if c.isalpha() else " " for c in text).split()
+
+
+def forward_backward(em: np.ndarray, live: np.ndarray, trans: np.ndarray, enter: np.ndarray | None = None,
+                     leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Posteriors (chain, place, label) and summed pair posteriors (label, next label).
 
-    ``em`` (chain, place, label) are emission scores, ``live`` the places that hold a word.
+    ``em`` (chain, place, label) are emission scores, ``live`` the places that hold a word; ``enter`` and
+    ``leave`` (chain, label) what the words before and after a chain say about its first and its last word.
     """
     phi = np.exp(em - em.max(2, keepdims=True))
     step = np.exp(trans)
     places = em.shape[1]
     alpha, beta = np.empty_like(phi), np.ones_like(phi)
-    alpha[:, 0] = phi[:, 0] / phi[:, 0].sum(1, keepdims=True)
+    if leave is not None:
+        beta[:] = leave[:, None]
+    alpha[:, 0] = phi[:, 0] if enter is None else phi[:, 0] * enter
+    alpha[:, 0] /= alpha[:, 0].sum(1, keepdims=True)
     for t in range(1, places):
         a = (alpha[:, t - 1] @ step) * phi[:, t]
         alpha[:, t] = a / a.sum(1, keepdims=True)
@@ -163,21 +173,53 @@ def forward_backward(em: np.ndarray, live: np.ndarray, trans: np.ndarray) -> tup
         total = np.einsum("ij,ij->i", alpha[:, t], b)
         on = live[:, t + 1]
         pairs += step * (alpha[on, t] / total[on, None]).T.dot(ahead[on])
-        beta[:, t] = np.where(on[:, None], b / b.sum(1, keepdims=True), 1.0)
+        beta[:, t] = np.where(on[:, None], b / b.sum(1, keepdims=True), beta[:, t])
     post = alpha * beta
     return post / post.sum(2, keepdims=True), pairs
 
 
 def chains(first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """(chain, place) of each of ``n`` words: texts begin at ``first`` and are cut every CHAIN words."""
+    """(chain, place) of each of ``n`` words: texts begin at ``first``, and every CHAIN words a chain does."""
     count = np.diff(np.append(first, n))
     per = -(-count // CHAIN)
     inside = np.arange(n) - np.repeat(first, count)
     return np.repeat(np.cumsum(per) - per, count) + inside // CHAIN, inside % CHAIN, int(per.sum())
 
 
+def messages(em: np.ndarray, live: np.ndarray, trans: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(enter, leave) of each chain: what the chains of the same text before and after it hand over.
+
+    ``inside`` is a chain's number in its text, chains of a text being neighbours. A
+    chain's paths from its first to its last word sum up to a matrix; with these, a text
+    is walked chain by chain, all texts at once, and no transition is cut.
+    """
+    n, places, labels = em.shape
+    enter, leave = np.ones((n, labels), em.dtype), np.ones((n, labels), em.dtype)
+    part = np.flatnonzero((inside > 0) | np.append(inside[1:] > 0, False))       # chains of texts that have several
+    if not len(part):
+        return enter, leave
+    step = np.exp(trans).astype(em.dtype)
+    phi = np.exp(em[part] - em[part].max(2, keepdims=True))
+    paths = np.eye(labels, dtype=em.dtype) * phi[:, 0][:, None, :]
+    for t in range(1, places):
+        on = live[part, t][:, None, None]
+        ahead = (paths @ step) * phi[:, t][:, None, :]
+        paths = np.where(on, ahead / ahead.sum((1, 2), keepdims=True), paths)
+    place = np.full(n, -1)
+    place[part] = np.arange(len(part))
+    order = np.argsort(inside[part], kind="stable")
+    rounds = np.split(part[order], np.cumsum(np.bincount(inside[part]))[:-1])
+    for later in rounds[1:]:
+        out = np.einsum("ci,cij->cj", enter[later - 1], paths[place[later - 1]]) @ step
+        enter[later] = out / out.sum(1, keepdims=True)
+    for later in reversed(rounds[1:]):
+        back = np.einsum("cij,cj->ci", paths[place[later]], leave[later]) @ step.T
+        leave[later - 1] = back / back.sum(1, keepdims=True)
+    return enter, leave
+
+
 def posteriors(words: Words, model: Model) -> np.ndarray:
-    """Label posteriors of each word."""
+    """Label posteriors of each word, over its whole text."""
     em = words.emissions(model)
     chain, place, n = chains(words.first, len(words))
     if not n:
@@ -185,18 +227,17 @@ def posteriors(words: Words, model: Model) -> np.ndarray:
     grid = np.zeros((n, int(place.max()) + 1, em.shape[1]), np.float32)
     live = np.zeros(grid.shape[:2], bool)
     grid[chain, place], live[chain, place] = em, True
-    return forward_backward(grid, live, model.trans)[0][chain, place]
+    per = -(-np.diff(np.append(words.first, len(words))) // CHAIN)
+    inside = np.arange(n) - np.repeat(np.cumsum(per) - per, per)
+    return forward_backward(grid, live, model.trans, *messages(grid, live, model.trans, inside))[0][chain, place]
 
 
 def spliced(samples: list[tuple[str, str]], seed: int = 5) -> list[list[tuple[str, str]]]:
     """Training sequences of (language, word): stretches of random documents, one after the other."""
-    import re
-
     rng = np.random.RandomState(seed)
-    letters = re.compile(r"[^\W\d_]+")
     left = []
     for lang, text in samples:
-        w = letters.findall(text)
+        w = words_in(text)
         a = rng.randint(0, max(1, len(w) - TRAIN_WORDS + 1))
         if w:
             left.append((lang, w[a:a + TRAIN_WORDS]))
