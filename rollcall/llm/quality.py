@@ -7,8 +7,13 @@ Kneser-Ney's continuation counts, discounts and interpolation are grouped
 counts and joins on n-grams. Every n-gram type that occurs gets its
 log-probability there, and a sharded join hands each block the
 log-probabilities of its own types: that is what a block needs to score its
-documents. What is gathered grows with the input (types per block), and the
-texts are packed once and moved once, compressed.
+documents. What is gathered grows with the input (types per block). The
+texts are packed once, compressed, into a table bucketed by block, and so stay
+where they are when the blocks' types come to them.
+
+In a task n-grams are numbered by 64-bit keys of their characters in an open
+hash table of arrays; two different ones of a block share a key with a chance of
+about 1e-8 for a million types.
 
 One model serves all languages, so that text which switches languages isn't
 taken for junk; thresholds are by language. A document's perplexity is shrunk
@@ -35,10 +40,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import pick, ship_code, written
+from rollcall.llm.store import fresh_path, pick, ship_code, written
 
 ORDER = 5                 # spans words, so that repeated ordinary words don't look like text
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 32_000_000  # the larger the blocks, the fewer types they have together
 SLICE_CHARS = 1_000_000
 START = "\x02"
 LEVEL = 6                 # of the packed texts: they are written once and moved once
@@ -54,31 +59,82 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+GOLD = np.uint64(0x9E3779B97F4A7C15)
+_R = np.random.RandomState(31)
+PLACE = _R.randint(0, 2 ** 63 - 1, ORDER).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def keys_of(points: np.ndarray) -> np.ndarray:
+    """A 64-bit key of the n-gram at each place."""
+    n = max(len(points) - ORDER + 1, 0)
+    out = np.zeros(n, np.uint64)
+    for i, m in enumerate(PLACE):
+        out += points[i:i + n] * m
+    return out
+
+
+class Types:
+    """Distinct n-grams, numbered as they come: their keys in an open hash table, at most a quarter full."""
+
+    def __init__(self):
+        self.keys, self.strings = np.empty(0, np.uint64), []
+        self.bits, self.slots = 12, np.full(1 << 12, -1, np.int32)
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * GOLD >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 of those not seen yet."""
+        at = self.slot(keys)
+        got = self.slots[at]
+        if len(self.keys):
+            wrong = np.flatnonzero((got >= 0) & (self.keys[got] != keys))
+            while len(wrong):
+                at[wrong] = at[wrong] + 1 & len(self.slots) - 1
+                got[wrong] = self.slots[at[wrong]]
+                wrong = wrong[(got[wrong] >= 0) & (self.keys[got[wrong]] != keys[wrong])]
+        return got
+
+    def add(self, keys: np.ndarray) -> None:
+        """Number keys that are distinct and not seen yet."""
+        first = len(self.keys)
+        self.keys = np.concatenate([self.keys, keys])
+        if 4 * len(self.keys) > len(self.slots):
+            self.bits = int(8 * len(self.keys)).bit_length() - 1
+            self.slots, first = np.full(1 << self.bits, -1, np.int32), 0
+        left = np.arange(first, len(self.keys), dtype=np.int32)
+        at = self.slot(self.keys[first:])
+        while len(left):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]
+            lost = self.slots[at] != left
+            left, at = left[lost], at[lost] + 1 & len(self.slots) - 1
+
+    def read(self, texts: list[str], learn: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the n-gram that ends at each character, where each text starts); new ones are added where ``learn``."""
+        joined = "".join(START * (ORDER - 1) + t for t in texts)
+        size = np.array([len(t) for t in texts], np.int64)
+        starts = np.cumsum(size) - size
+        # a text's n-grams; those that end in a START are none
+        at = np.repeat(np.arange(len(size)) * (ORDER - 1), size) + np.arange(int(size.sum()))
+        keys = keys_of(code_points(joined).astype(np.uint64))[at]
+        got = self.find(keys)
+        if learn and len(new := np.flatnonzero(got < 0)):
+            some, first = np.unique(keys[new], return_index=True)
+            self.add(some)
+            self.strings += [joined[i:i + ORDER] for i in at[new[first]].tolist()]
+            got[new] = self.find(keys[new])
+        return got, starts
+
+
 def gram_types(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The distinct n-grams of some texts, which of them ends at each character, and where each text starts.
 
-    START stands before a text. Keys count in the alphabet of these texts; before
-    they would outgrow 63 bits, their ranks take their place.
+    START stands before a text.
     """
-    joined = "".join(START * (ORDER - 1) + t for t in texts)
-    points = code_points(joined)
-    seen = np.zeros(0x110000, bool)
-    seen[points] = True
-    letters, base = (np.cumsum(seen) - 1)[points], int(seen.sum())
-    n = max(len(points) - ORDER + 1, 0)
-    keys, kinds = letters[:n], base
-    for i in range(1, ORDER):
-        if kinds * base >= 1 << 63:
-            some, keys = np.unique(keys, return_inverse=True)
-            kinds = len(some)
-        keys = keys * base + letters[i:i + n]
-        kinds *= base
-    # drop the keys that end in a START
-    size = np.array([len(t) for t in texts], np.int64)
-    starts = np.cumsum(size) - size
-    at = np.repeat(np.arange(len(size)) * (ORDER - 1), size) + np.arange(int(size.sum()))
-    _, first, of = np.unique(keys[at], return_index=True, return_inverse=True)
-    return [joined[i:i + ORDER] for i in at[first].tolist()], of, starts
+    types = Types()
+    of, starts = types.read(texts, True)
+    return types.strings, of, starts
 
 
 def text_slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -98,16 +154,16 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def block(rows: list[tuple]) -> pa.RecordBatch:
         nonlocal seq
         seq += 1
-        slices = [pa.table([pa.array([], pa.string()), pa.array([], pa.int64())], names=["gram", "n"])]
+        types, counts = Types(), np.zeros(0, np.int64)
         for flag in (False, True):
             some = [text for _, _, text, _, train in rows if text and train == flag]
             for a, b in text_slices(some):
-                types, of, _ = gram_types(some[a:b])
-                n = np.bincount(of, minlength=len(types)) if flag else np.zeros(len(types), np.int64)
-                slices.append(pa.table([pa.array(types, pa.string()), pa.array(n, pa.int64())], names=["gram", "n"]))
-        counted = pa.concat_tables(slices).group_by("gram").aggregate([("n", "sum")]).combine_chunks()
-        grams = pa.StructArray.from_arrays([pa.array(counted.column(c).to_pylist(), t) for c, t in
-                                            (("gram", pa.string()), ("n_sum", pa.int64()))], names=["gram", "n"])
+                of, _ = types.read(some[a:b], True)
+                counts = np.concatenate([counts, np.zeros(len(types.keys) - len(counts), np.int64)])
+                if flag:
+                    counts += np.bincount(of, minlength=len(counts))
+        grams = pa.StructArray.from_arrays([pa.array(types.strings, pa.string()), pa.array(counts, pa.int64())], names=["gram", "n"])
+        del types
         sink = pa.BufferOutputStream()
         batch = pa.record_batch([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(DOC)], schema=DOC)
         with pa.ipc.new_stream(sink, DOC, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as w:
@@ -133,22 +189,24 @@ SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", p
 
 def _score(packed: pa.Table, answers: pa.Table) -> pa.Table:
     """Summed log-probability of each document of one block; null without a model."""
-    place = {g: i for i, g in enumerate(answers.column("gram").to_pylist())}
-    logs = answers.column("log_p").to_numpy()
+    types, logs = Types(), answers.column("log_p").to_numpy()
+    if len(answers):
+        grams = code_points("".join(answers.column("gram").to_pylist())).astype(np.uint64)
+        types.add(keys_of(grams)[::ORDER])          # each has ORDER characters
     parts = []
     for raw in packed.column("docs"):
         docs = pa.ipc.open_stream(raw.as_buffer()).read_all()
         texts = [t or "" for t in docs.column("text").to_pylist()]
         total = np.zeros(len(texts))
         for a, b in text_slices(texts):
-            if not place:
+            if not len(logs):
                 break
-            types, of, starts = gram_types(texts[a:b])
-            each = logs[np.array([place[g] for g in types], np.int64)][of]
+            of, starts = types.read(texts[a:b], False)
+            each = logs[of]
             p = np.concatenate([[0.0], np.cumsum(each)])
             total[a:b] = p[np.append(starts[1:], len(each))] - p[starts]
         parts.append(pa.table([docs.column("doc_id"), docs.column("lang"), pa.array([len(t) for t in texts], pa.int64()),
-                               pa.array(total, pa.float64(), mask=np.full(len(texts), not place)),
+                               pa.array(total, pa.float64(), mask=np.full(len(texts), not len(logs))),
                                docs.column("text_hash")], schema=SCORED))
     return pa.concat_tables(parts) if parts else SCORED.empty_table()
 
@@ -193,12 +251,27 @@ def log_probabilities(wanted: DataFrame, counts: DataFrame, longest: int = 3) ->
     for order, mass, ctx in reversed(levels):
         out = out.withColumn("own", F.substring("gram", longest - order + 1, order)) \
             .withColumn("ctx", F.substring("gram", longest - order + 1, order - 1))
-        out = out.join(mass.withColumnRenamed("gram", "own"), "own", "left").join(ctx, "ctx", "left")
+        # tables by single letters have a row for each letter, 1.1 million at most
+        mass, ctx = (F.broadcast(mass) if order == 1 else mass), (F.broadcast(ctx) if order == 2 else ctx)
+        out = out.join(mass.withColumnRenamed("gram", "own"), "own", "left")
+        if order > 1:
+            out = out.join(ctx, "ctx", "left")
+        else:
+            total, weight = ctx.select("total", "weight").first()          # of the empty context
+            out = out.withColumn("total", F.lit(total)).withColumn("weight", F.lit(weight))
         out = out.withColumn("p", F.when(F.col("total").isNull(), F.col("p")).otherwise(
             F.coalesce("mass", F.lit(0.0)) / F.col("total") + F.col("weight") * F.col("p"))).select("gram", "p")
     return out.select("gram", F.log("p").alias("log_p"))
 
 
+def by_block(packed: DataFrame) -> DataFrame:
+    """``packed`` written into the shared folder, bucketed by block: grouping by block moves no block."""
+    spark, path = packed.sparkSession, fresh_path(packed.sparkSession, "blocks")
+    name = f"rollcall_{path.rsplit('/', 1)[1].replace('-', '_')}"
+    packed.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, n_chars, perplexity, threshold, kept, text_hash of every row.
 
@@ -217,9 +290,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTIL
     base = pick(docs, "doc_id", "lang", "text").select(
         F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string"),
         F.xxhash64("text").alias("text_hash"))
-    packed = written(base.join(few, F.col("doc_id") == F.col("id"), "left")
-                     .select("doc_id", "lang", "text", "text_hash", F.coalesce("train", F.lit(False)).alias("train"))
-                     .mapInArrow(_pack, BLOCK_DDL), "blocks")
+    packed = by_block(base.join(few, F.col("doc_id") == F.col("id"), "left")
+                      .select("doc_id", "lang", "text", "text_hash", F.coalesce("train", F.lit(False)).alias("train"))
+                      .mapInArrow(_pack, BLOCK_DDL))
     grams = packed.select("block", F.explode("grams").alias("g")).select("block", "g.gram", "g.n")
     types = written(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     logs = written(log_probabilities(types.select("gram"), types.filter("n > 0"), ORDER), "log-probabilities")
