@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from rollcall.llm.store import fresh_path, pick, ship_code, written
 
 ORDER = 5                 # spans words, so that repeated ordinary words don't look like text
-BLOCK_CHARS = 32_000_000  # the larger the blocks, the fewer types they have together
+BLOCK_CHARS = 40_000_000  # the larger the blocks, the fewer types they have together
 SLICE_CHARS = 1_000_000
 START = "\x02"
 LEVEL = 6                 # of the packed texts: they are written once and moved once
@@ -189,7 +189,7 @@ SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", p
 
 def _score(packed: pa.Table, answers: pa.Table) -> pa.Table:
     """Summed log-probability of each document of one block; null without a model."""
-    types, logs = Types(), answers.column("log_p").to_numpy()
+    types, logs = Types(), answers.column("log_p").to_numpy().astype(np.float64)
     if len(answers):
         grams = code_points("".join(answers.column("gram").to_pylist())).astype(np.uint64)
         types.add(keys_of(grams)[::ORDER])          # each has ORDER characters
@@ -197,6 +197,7 @@ def _score(packed: pa.Table, answers: pa.Table) -> pa.Table:
     for raw in packed.column("docs"):
         docs = pa.ipc.open_stream(raw.as_buffer()).read_all()
         texts = [t or "" for t in docs.column("text").to_pylist()]
+        docs = docs.drop_columns(["text"])
         total = np.zeros(len(texts))
         for a, b in text_slices(texts):
             if not len(logs):
@@ -296,7 +297,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTIL
     grams = packed.select("block", F.explode("grams").alias("g")).select("block", "g.gram", "g.n")
     types = written(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     logs = written(log_probabilities(types.select("gram"), types.filter("n > 0"), ORDER), "log-probabilities")
-    answers = grams.select(F.col("block").alias("of_block"), "gram").join(logs, "gram")
+    answers = grams.select(F.col("block").alias("of_block"), "gram").join(logs.select("gram", F.col("log_p").cast("float")), "gram")
     scored = written(packed.select("block", "docs").groupBy("block").cogroup(answers.groupBy("of_block"))
                      .applyInArrow(_score, "doc_id long, lang string, n_chars long, log_p double, text_hash long"), "scores")
     held = scored.join(trusted.filter("not train"), F.col("doc_id") == F.col("id"), "left_semi").filter("n_chars > 0")
