@@ -15,6 +15,7 @@ from rollcall.operators import checks as K
 from rollcall.operators import gaps as G
 from rollcall.operators import history as H
 from rollcall.operators import marts as M
+from rollcall.operators.positions import with_positions
 from rollcall.plans import close as CL
 from rollcall.plans import derived as D
 from rollcall.plans import ingest as I
@@ -463,7 +464,20 @@ def backfill_scan(spark, sf):
     return G.backfill(li, "supplier", ["season"], "shipped", ["l_orderkey", "l_linenumber"], scan=True)
 
 
+def publication_order(spark, sf):
+    """Each published row's place in the publication's order: by region, type and number (O2)."""
+    current = with_positions(registry_current(spark, sf), [*S.PUBLICATION_ORDER, "entity_id"])
+    return current.select("position", *S.PUBLICATION_ORDER, "entity_id")
+
+
+def file_order(spark, sf):
+    """Each file's place in loading order: by date, undated ones last, equal dates by name (O3)."""
+    return with_positions(dates_from_names(spark, sf), [F.col("snapshot_date").asc_nulls_last(), "file_name"])
+
+
 REGISTRY.update({
+    "file_order": file_order,
+    "publication_order": publication_order,
     "backfill_scan": backfill_scan,
     "ingest_round_trip": ingest_round_trip,
     "raw_row_numbers": raw_row_numbers,

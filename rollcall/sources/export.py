@@ -12,13 +12,19 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.names import canonical_label
 from rollcall.functions.text import date_text_or_empty
+from rollcall.operators.positions import with_positions
+
+
+def heading(column: str) -> str:
+    """A column's name in capitals with blanks."""
+    return column.upper().replace("_", " ")
 
 
 def publication_frame(current: DataFrame, columns: Mapping[str, str] | Sequence[str] | None = None) -> DataFrame:
     """``columns`` maps columns to headers, or lists columns (default: all),
     whose headers are then their names in capitals with blanks."""
     if not isinstance(columns, Mapping):
-        columns = {c: c.upper().replace("_", " ") for c in columns or current.columns}
+        columns = {c: heading(c) for c in columns or current.columns}
     dates = {c for c, kind in current.dtypes if kind == "date"}
     return current.select(*[(date_text_or_empty(F.col(c)) if c in dates else F.col(c)).alias(h)
                             for c, h in columns.items()])
@@ -26,14 +32,15 @@ def publication_frame(current: DataFrame, columns: Mapping[str, str] | Sequence[
 
 def export_current(current: DataFrame, out_dir: str, prefix: str = "entities_current_",
                    single_file: bool = False, columns: Mapping[str, str] | Sequence[str] | None = None,
-                   order: Sequence[str] | None = None) -> str | None:
+                   order: Sequence[str] | None = None, position: str | None = None) -> str | None:
     """Write the publication, sorted by ``order`` (default: all columns), under
     a folder named after ``max(updated)``; nothing is written when the current
     picture is empty.
 
     The sort is a range partitioning, so the part files read in name order are
     the sorted publication and many tasks write it. ``single_file=True``
-    funnels it through one task instead (only for small pictures).
+    funnels it through one task instead (only for small pictures). ``position`` names
+    a first column with each row's place in the order, 1 to n.
     """
     latest = current.agg(F.max("updated").alias("d")).select(
         canonical_label("d", prefix).alias("label")).first()
@@ -41,7 +48,12 @@ def export_current(current: DataFrame, out_dir: str, prefix: str = "entities_cur
         return None
     target = f"{out_dir.rstrip('/')}/{latest['label']}"
     seen = Observation("export")
-    pub = publication_frame(current.orderBy(*(order or current.columns)), columns).observe(seen, F.count(F.lit(1)).alias("rows"))
+    columns = columns if isinstance(columns, Mapping) else {c: heading(c) for c in columns or current.columns}
+    if position:
+        current = with_positions(current, [*(order or []), *current.columns], "_position")
+        columns = {"_position": position, **columns}
+    by = ["_position"] if position else order or current.columns
+    pub = publication_frame(current.orderBy(*by), columns).observe(seen, F.count(F.lit(1)).alias("rows"))
     if single_file:
         pub = pub.coalesce(1)
     pub.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(target)
