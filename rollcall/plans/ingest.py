@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions.names import has_extension, snapshot_date_of
+from rollcall.sources import commit_log
 from rollcall.sources import raw_store as R
 
 LOAD, SKIP, IGNORED = "LOAD", "SKIP", "IGNORED"
@@ -55,14 +56,22 @@ class Loaded:
 
 
 def load_landing(spark: SparkSession, landing: str, store: str, ext: str = ".csv", fmt: str | None = None,
-                 cluster_by: str | None = "region_name") -> Loaded:
+                 cluster_by: str | None = "region_name", arrived: DataFrame | None = None) -> Loaded:
     """The one way from a landing folder to the raw store: command line, close and stream.
 
     Plans on whole snapshots (a file, or a folder of part files), reads only
     the LOAD ones, numbers and shapes their rows and commits each date whole.
     Only paths reach the driver, one row a file.
+
+    With ``arrived`` (path) the plan is made on the snapshots of these files alone, and on
+    those that were not landed to the end when their files arrived, which a log in
+    the store names: the landing folder is not listed, so the work doesn't grow with what
+    landed before. Of several files of one date the first to arrive wins then.
     """
-    files = R.list_snapshots(spark, landing).select("path", "file_name", "snapshot")
+    of = _arrived(spark, store, arrived) if arrived is not None else None
+    if of == []:
+        return Loaded()
+    files = R.list_snapshots(spark, landing, of=of).select("path", "file_name", "snapshot")
     plan = plan_ingest(files.select("file_name", "snapshot").distinct(), R.loaded_dates(spark, store), ext=ext)
     plan = spark.createDataFrame(plan.collect(), plan.schema)      # one row a snapshot: fixed before anything is written
     out = Loaded({r["status"]: r["files"] for r in run_counters(plan).collect()})
@@ -71,4 +80,23 @@ def load_landing(spark: SparkSession, landing: str, store: str, ext: str = ".csv
     if paths:
         rows = R.read_snapshots(spark, paths, fmt or ext.lstrip(".").lower() or "csv")
         out.rows = R.append_new(spark, R.shape_raw(rows), store, cluster_by=cluster_by)
+    if of is not None:
+        landed = {r["snapshot"] for r in plan.select("snapshot").collect()}
+        commit_log.commit(spark, _waiting_log(store), WAITING, [s for s in of if s not in landed])
+        commit_log.commit(spark, _waiting_log(store), PLANNED, [s for s in of if s in landed])
     return out
+
+
+WAITING, PLANNED = "waiting", "planned"
+
+
+def _waiting_log(store: str) -> str:
+    """The log of snapshots whose files have arrived: planned, or waiting to be landed to the end."""
+    return f"{store.rstrip('/')}/_arrived"
+
+
+def _arrived(spark: SparkSession, store: str, files: DataFrame) -> list[str]:
+    """The snapshots of files that arrived, and those that are waiting."""
+    waiting = commit_log.newest(spark, _waiting_log(store)).where(F.col("load") == WAITING).select(F.col("folder").alias("snapshot"))
+    names = R.snapshots_of(files.select("path")).select("snapshot").unionByName(waiting).distinct()
+    return sorted(r["snapshot"] for r in names.collect())            # of one batch of files

@@ -53,19 +53,15 @@ def raw_schema(cols: list[str]) -> T.StructType:
 
 
 def list_snapshots(spark: SparkSession, path: str, pattern: str | None = None,
-                   ext: str | None = None, recursive: bool = True) -> DataFrame:
+                   ext: str | None = None, recursive: bool = True, of: list[str] | None = None) -> DataFrame:
     """Candidate snapshot files with their date and validity, in date
     order then name order. Only the path is read (file content is pruned).
     ``file_name`` is the name that carries the date: the file's own name, or
     the directory name for a snapshot stored as part files; ``snapshot`` is the
-    path of that file or directory."""
+    path of that file or directory. With ``of`` only these snapshots are listed."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-             .load(path).select("path"))
-    files = only_landed(spark, files, path)
-    # a snapshot written as a directory of part files is named by its directory
-    out = with_source_name(files, "path", "file_name").select("path", "file_name")
-    own = _uri_decode(F.regexp_extract("path", r"([^/]+)$", 1)) == F.col("file_name")
-    out = out.withColumn("snapshot", F.when(own, F.col("path")).otherwise(F.regexp_replace("path", r"/[^/]+$", "")))
+             .load(path if of is None else [reader_path(p) for p in of]).select("path"))
+    out = snapshots_of(only_landed(spark, files, path))
     if ext:
         out = out.where(has_extension("file_name", ext))
     out = out.withColumn("snapshot_date", snapshot_date_of("file_name"))
@@ -74,6 +70,13 @@ def list_snapshots(spark: SparkSession, path: str, pattern: str | None = None,
         .orderBy(F.col("snapshot_date").asc_nulls_last(), "file_name")
 
 
+def snapshots_of(files: DataFrame) -> DataFrame:
+    """(path, file_name, snapshot) of files: a snapshot written as a directory of part files is named by its directory."""
+    out = with_source_name(files, "path", "file_name").select("path", "file_name")
+    own = _uri_decode(F.regexp_extract("path", r"([^/]+)$", 1)) == F.col("file_name")
+    return out.withColumn("snapshot", F.when(own, F.col("path")).otherwise(F.regexp_replace("path", r"/[^/]+$", "")))
+
+
 def landed_log(landing_dir: str) -> str:
     """The log of landed snapshots: inside the landing folder, under a name that listings pass over."""
     return f"{landing_dir.rstrip('/')}/_landed"
@@ -342,7 +345,7 @@ def check_seed(rows: DataFrame, keys: list[str] | None = None, nullable: set[str
 
     ``malformed``: more or fewer cells than columns, or a cell that has not its
     column's type. ``key missing``: a key column, other than the ``nullable`` ones, is empty.
-    ``key doubled``: several different rows have one key; the same row
+    ``key doubled``: several different rows have one key; with ``keys`` the same row
     written twice counts once.
     """
     cols = [c for c in rows.columns if c != "_line"]
@@ -351,10 +354,10 @@ def check_seed(rows: DataFrame, keys: list[str] | None = None, nullable: set[str
     for c in keys or []:
         if c not in nullable:
             missing = missing | F.col(c).isNull()
-    once = rows.where(~bad).select(*cols).distinct().withColumn("_line", F.lit(None).cast("string"))
-    out = rows.where(bad).unionByName(once)
-    n = F.lit(0)
+    out, n = rows, F.lit(0)
     if keys:
+        once = rows.where(~bad).select(*cols).distinct().withColumn("_line", F.lit(None).cast("string"))
+        out = rows.where(bad).unionByName(once)
         n = F.count(F.when(~bad & ~missing, 1)).over(Window.partitionBy(*keys, bad))
     return out.withColumn("_reason", F.when(bad, F.lit("malformed")).when(missing, F.lit("key missing"))
                           .when(n > 1, F.lit("key doubled")))

@@ -117,3 +117,28 @@ def test_files_of_other_writers_are_listed_beside_landed_ones(spark, tmp_dir):
     got = R.read_snapshots(spark, f"{tmp_dir}/l")
     assert sorted((str(r._snapshot_date), r.entity_name, r._row_number) for r in got.collect()) == \
         [("2026-01-31", "a", 1), ("2026-02-28", "b", 1)]
+
+
+def test_incremental_stream_plans_on_what_arrived(spark, tmp_dir, monkeypatch):
+    from rollcall.streaming.landing import stream_new_snapshots
+    landing, store = f"{tmp_dir}/l", f"{tmp_dir}/s"
+    listed = []
+    monkeypatch.setattr(R, "list_snapshots", lambda *a, f=R.list_snapshots, **k: listed.append(k.get("of")) or f(*a, **k))
+
+    def run():
+        stream_new_snapshots(spark, landing, store, f"{tmp_dir}/c", incremental=True).awaitTermination()
+
+    R.land_snapshots(rows(spark, "ab", JAN), landing, "registry_")
+    run()
+    # the files of a landing that breaks off arrive, and wait
+    rows(spark, "c", FEB).select("entity_name", F.lit("registry_28_02_2026.csv").alias("snapshot")) \
+        .write.mode("append").option("header", True).option(L.BASENAME, L.load_name()).partitionBy("snapshot").csv(landing)
+    run()
+    assert held(spark, store) == [("2026-01-31", "a"), ("2026-01-31", "b")]
+    R.land_snapshots(rows(spark, "cd", FEB), landing, "registry_")
+    R.land_snapshots(rows(spark, "e", MAR), landing, "registry_")
+    run()
+    run()
+    assert held(spark, store) == [("2026-01-31", "a"), ("2026-01-31", "b"), ("2026-02-28", "c"), ("2026-02-28", "d"), ("2026-03-31", "e")]
+    names = [sorted(p.rsplit("_", 3)[1] for p in of) for of in listed]     # the days of month that each plan listed
+    assert names == [["31"], ["28"], ["28", "31"]]
