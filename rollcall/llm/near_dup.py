@@ -24,9 +24,10 @@ Bands are chosen so that a pair at the threshold shares none of them with a
 probability below one in a million.
 
 Defined cases: a null text, or one without words, has an empty set, is linked
-with nothing and is kept; doc_id is the key: where rows repeat one with other
-texts, each row is placed by its own text; a row with a null doc_id is kept and
-gets the component of its text's class, null if it stands alone; an empty table
+with nothing and is kept; doc_id is the key: rows that repeat one with other
+texts are one document as far as links go, and so get one component; a row with a null doc_id is no
+document of its own: it is kept, proposes no links, and gets the component of rows with an equal
+set, null if there are none (give such rows keys, as the pipeline does, to link them); an empty table
 gives an empty result; extra columns are ignored.
 """
 
