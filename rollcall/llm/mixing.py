@@ -116,7 +116,7 @@ def target_total(have: list[float], weights: list[float], anchor: int | None) ->
     return sum(have) if anchor is None or not weights[anchor] else have[anchor] / weights[anchor]
 
 
-def rates(rated: DataFrame, weights: list[float], anchor: int | None = None) -> tuple[Column, list[float]]:
+def rates(rated: DataFrame, weights: list[float], anchor: int | None = None, most: float = float("inf")) -> tuple[Column, list[float]]:
     """(rate as an expression over n_tokens and p, achieved shares), by projected gradient steps.
 
     Documents judged to be of the anchor domain keep rate 1 and count as that domain's; the
@@ -143,8 +143,8 @@ def rates(rated: DataFrame, weights: list[float], anchor: int | None = None) ->
         if not pulls:
             return begin
         return F.aggregate(F.array(*[F.array(*map(F.lit, c)) for c in pulls]), begin, lambda s, c: F.struct(
-            F.greatest(F.lit(0.0), F.lit(1 - step * MU) * (s["r"] + c[len(weights)] * (s["r"] - s["before"]))
-                       + sum((c[d] * F.col("p")[d] for d in k), F.lit(step * MU))).alias("r"), s["r"].alias("before")))
+            F.least(F.lit(most), F.greatest(F.lit(0.0), F.lit(1 - step * MU) * (s["r"] + c[len(weights)] * (s["r"] - s["before"]))
+                    + sum((c[d] * F.col("p")[d] for d in k), F.lit(step * MU)))).alias("r"), s["r"].alias("before")))
 
     def shares(sums: list[float]) -> list[float]:
         got = [h - f + g for h, f, g in zip(have, first, sums)]
@@ -164,20 +164,22 @@ def rates(rated: DataFrame, weights: list[float], anchor: int | None = None) ->
     return F.when(held, 1.0).otherwise(state()["r"]), reached
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor: str | None = None) -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], anchor: str | None = None,
+        most: float = float("inf")) -> DataFrame:
     """doc_id, n_tokens, domain, p_<domain>..., rate, copies, reached, text_hash of every row.
 
     ``targets`` gives each domain's share of the mixture's tokens; ``anchor``
     names the domain whose documents all stay once and whose tokens fix the
     mixture's size. ``copies`` rounds the rate by a hash of id and text, so its
-    mean is the rate. ``reached`` is the share of the mixture's expected tokens that the
+    mean is the rate. No rate is above ``most``, so that a domain of which little is left is not
+    repeated without end. ``reached`` is the share of the mixture's expected tokens that the
     row's domain has under the rates.
     """
     domains = sorted(targets)
     weights = [targets[d] / sum(targets.values()) for d in domains]
     base = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rated = written(posteriors(base, pick(labelled, "doc_id", "domain"), domains), "posteriors")
-    r, shares = rates(rated, weights, domains.index(anchor) if anchor else None)
+    r, shares = rates(rated, weights, domains.index(anchor) if anchor else None, most)
     out = rated.withColumn("rate", r)
     chance = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1 << 20)) / float(1 << 20)
     at = F.array_position("p", F.array_max("p")).cast("int")

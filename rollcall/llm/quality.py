@@ -45,6 +45,7 @@ from rollcall.llm.store import fresh_path, pick, ship_code, written
 ORDER = 5                 # spans words, so that repeated ordinary words don't look like text
 BLOCK_CHARS = 40_000_000  # the larger the blocks, the fewer types they have together
 SLICE_CHARS = 1_000_000
+BATCH_CHARS = 4_000_000   # texts of a block that are compressed together, and unpacked together
 START = "\x02"
 LEVEL = 6                 # of the packed texts: they are written once and moved once
 PRIOR = 120.0             # characters' worth of the language's typical log-probability
@@ -148,39 +149,53 @@ def text_slices(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, seq = TaskContext.get().partitionId(), 0
+class Block:
+    """Texts of a block, compressed batch by batch as they come, and its n-gram types with their counts."""
 
-    def block(rows: list[tuple]) -> pa.RecordBatch:
-        nonlocal seq
-        seq += 1
-        types, counts = Types(), np.zeros(0, np.int64)
+    def __init__(self):
+        self.types, self.counts, self.rows, self.chars, self.held = Types(), np.zeros(0, np.int64), [], 0, 0
+        self.sink = pa.BufferOutputStream()
+        self.out = pa.ipc.new_stream(self.sink, DOC, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL)))
+
+    def add(self, row: tuple) -> None:
+        self.rows.append(row)
+        n = len(row[2] or "") + 1
+        self.chars, self.held = self.chars + n, self.held + n
+        if self.held >= BATCH_CHARS:
+            self.flush()
+
+    def flush(self) -> None:
+        self.out.write_batch(pa.record_batch([pa.array([r[i] for r in self.rows], f.type) for i, f in enumerate(DOC)], schema=DOC))
         for flag in (False, True):
-            some = [text for _, _, text, _, train in rows if text and train == flag]
+            some = [text for _, _, text, _, train in self.rows if text and train == flag]
             for a, b in text_slices(some):
-                of, _ = types.read(some[a:b], True)
-                counts = np.concatenate([counts, np.zeros(len(types.keys) - len(counts), np.int64)])
+                of, _ = self.types.read(some[a:b], True)
+                self.counts = np.concatenate([self.counts, np.zeros(len(self.types.keys) - len(self.counts), np.int64)])
                 if flag:
-                    counts += np.bincount(of, minlength=len(counts))
-        grams = pa.StructArray.from_arrays([pa.array(types.strings, pa.string()), pa.array(counts, pa.int64())], names=["gram", "n"])
-        del types
-        sink = pa.BufferOutputStream()
-        batch = pa.record_batch([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(DOC)], schema=DOC)
-        with pa.ipc.new_stream(sink, DOC, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as w:
-            w.write_batch(batch)
-        return pa.RecordBatch.from_arrays([pa.array([f"{part}-{seq}"]), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
-                                           pa.ListArray.from_arrays([0, len(grams)], grams)], names=["block", "docs", "grams"])
-
-    rows, chars = [], 0
+                    self.counts += np.bincount(of, minlength=len(self.counts))
+        self.rows, self.held = [], 0
+
+    def packed(self, name: str) -> pa.RecordBatch:
+        if self.rows:
+            self.flush()
+        self.out.close()
+        grams = pa.StructArray.from_arrays([pa.array(self.types.strings, pa.string()), pa.array(self.counts, pa.int64())],
+                                           names=["gram", "n"])
+        docs = pa.array([memoryview(self.sink.getvalue())], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([name]), docs, pa.ListArray.from_arrays([0, len(grams)], grams)],
+                                          names=["block", "docs", "grams"])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part, seq, block = TaskContext.get().partitionId(), 0, Block()
     for batch in batches:
         for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            rows.append(row)
-            chars += len(row[2] or "") + 1
-            if chars >= BLOCK_CHARS:
-                yield block(rows)
-                rows, chars = [], 0
-    if rows:
-        yield block(rows)
+            block.add(row)
+            if block.chars >= BLOCK_CHARS:
+                yield block.packed(f"{part}-{seq}")
+                seq, block = seq + 1, Block()
+    if block.chars:
+        yield block.packed(f"{part}-{seq}")
 
 
 SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("log_p", pa.float64()),
@@ -194,10 +209,8 @@ def _score(packed: pa.Table, answers: pa.Table) -> pa.Table:
         grams = code_points("".join(answers.column("gram").to_pylist())).astype(np.uint64)
         types.add(keys_of(grams)[::ORDER])          # each has ORDER characters
     parts = []
-    for raw in packed.column("docs"):
-        docs = pa.ipc.open_stream(raw.as_buffer()).read_all()
+    for docs in (batch for raw in packed.column("docs") for batch in pa.ipc.open_stream(raw.as_buffer())):
         texts = [t or "" for t in docs.column("text").to_pylist()]
-        docs = docs.drop_columns(["text"])
         total = np.zeros(len(texts))
         for a, b in text_slices(texts):
             if not len(logs):
