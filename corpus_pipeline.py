@@ -24,6 +24,9 @@ from rollcall.llm.secret_scan import redacted, secret_scan
 from rollcall.llm.store import table, written
 
 
+REPEATS = 8     # times at most that mixing takes one document: what earlier stages left little of is not repeated further
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is within the threshold of their language."""
     gone = quality_scores(docs, table(spark, sf_dir, "labels")).filter(~F.col("kept")).select(
@@ -57,8 +60,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or dropped so that domain tokens meet the target shares; those judged clean stay once."""
-    drawn = mix(docs, label_domains(table(spark, sf_dir, "labels")), TARGETS, anchor="clean")
+    """Documents repeated or dropped so that domain tokens meet the target shares, as far as REPEATS
+    allows; those judged clean stay once."""
+    drawn = mix(docs, label_domains(table(spark, sf_dir, "labels")), TARGETS, anchor="clean", most=REPEATS)
     times = drawn.filter("copies != 1").select(F.col("doc_id").alias("id"), "text_hash", "copies").dropDuplicates(["id", "text_hash"])
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("text_hash"))
     rows = docs.join(times, same, "left").withColumn("copies", F.coalesce("copies", F.lit(1))).filter("copies > 0")

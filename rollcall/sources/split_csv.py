@@ -227,5 +227,6 @@ def read_csv(spark: SparkSession, files: list[str], sep: str, quote: str, null_v
         if list(names) != columns:
             parsed = widened(parsed, names, columns)
         row = F.when(F.col("header_no") == i, parsed) if row is None else row.when(F.col("header_no") == i, parsed)
-    return found.where("record > 0").join(of_file, "_file_path").select(
+    # the driver holds these rows already, one a file
+    return found.where("record > 0").join(F.broadcast(of_file), "_file_path").select(
         row.alias("row"), "_file_path", F.col("record").alias("_record")).select("row.*", "_file_path", "_record"), counted_rows
