@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.store import pick, written
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
 SPARSE = 0.003            # weight of the penalty that leaves the classifier with the words that tell
 SAMPLE = 2000             # labelled documents of each domain that the classifiers are fitted on, by hash
 HELD_OUT = 4              # one of so many of them calibrates
