@@ -5,8 +5,8 @@
    bitmap in which every sample flips one bit, so that the population count of
    two sketches' XOR estimates how many samples differ. A wider parity bitmap
    of the whole set does the same for the shingles themselves.
-2. Rows with equal sets are one class, kept by its smallest doc_id; only class
-   representatives go on, so copies are never compared.
+2. Rows with equal sets are one class, which gets a number of its own and is shown by the
+   text of one row, that with its smallest doc_id; only classes go on, so copies are never compared.
 3. Representatives that share a band key form a bucket. Buckets are cut into
    chunks of bounded size. A pair is close if its sizes allow a link, its sketches
    are near enough and then its sets' bitmaps are (five standard deviations of
@@ -24,10 +24,11 @@ Bands are chosen so that a pair at the threshold shares none of them with a
 probability below one in a million.
 
 Defined cases: a null text, or one without words, has an empty set, is linked
-with nothing and is kept; doc_id is the key: rows that repeat one with other
-texts are one document as far as links go, and so get one component; a row with a null doc_id is no
-document of its own: it is kept, proposes no links, and gets the component of rows with an equal
-set, null if there are none (give such rows keys, as the pipeline does, to link them); an empty table
+with nothing and is kept. Every row is placed by its own text: rows that repeat a doc_id
+with other texts may be in different components, and a row with a null doc_id links like any
+other. A component is named by the smallest doc_id that is not null; one of null ids alone has a
+null name, and its rows are kept, since there is no id to keep one by (give such rows keys, as the
+pipeline does). Rows that repeat doc_id and text get the same answer. An empty table
 gives an empty result; extra columns are ignored.
 """
 
@@ -203,16 +204,16 @@ def byte_slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-SKETCHED_DDL = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary, parity binary"
+SKETCHED_DDL = "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>, sketch binary, parity binary"
 
 
 def _sketcher(width: int, rows: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
                         ("bands", pa.list_(pa.int64())), ("sketch", pa.binary()), ("parity", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
             for a, b in byte_slices(texts):
                 sets = shingle_sets(texts[a:b], width)
                 full = [i for i, s in enumerate(sets) if len(s)]
@@ -224,15 +225,15 @@ def _sketcher(width: int, rows: int):
                         digest[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                         bands[i], sketch[i], parity[i] = k, s.tobytes(), m.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                    [*(batch.column(c).slice(a, b - a).cast(pa.int64()) for c in (0, 1)), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary()),
                      pa.array(parity, pa.binary())],
                     schema=schema)
     return run
 
 
-SETS_DDL = "doc_id long, digest binary, shingles binary"
-SETS = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("shingles", pa.binary())])
+SETS_DDL = "rep long, shingles binary"
+SETS = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
 
 
 def _full_sets(width: int):
@@ -241,9 +242,8 @@ def _full_sets(width: int):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for a, b in byte_slices(texts):
                 raw = [s.tobytes() for s in shingle_sets(texts[a:b], width)]
-                digest = [hashlib.blake2b(r, digest_size=16).digest() for r in raw]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.int64()),
-                                                  pa.array(digest, pa.binary()), pa.array(raw, pa.binary())], schema=SETS)
+                                                  pa.array(raw, pa.binary())], schema=SETS)
     return run
 
 
@@ -390,11 +390,16 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     """
     ship_code(docs.sparkSession)
     rows, limit = band_rows(percent / 100), sketch_limit(percent / 100)
-    base = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    base = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"),
+                                               F.col("text").cast("string"))
     every = written(base.mapInArrow(_sketcher(width, rows), SKETCHED_DDL), "sketched")
-    classes = written(every.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull()).groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch"), F.first("parity").alias("parity")), "classes")
+    shown = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash"))
+    # the numbers hold because the table is written: what reads it never counts again
+    classes = written(every.filter(F.col("digest").isNotNull()).groupBy("digest").agg(
+        shown.alias("shown"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
+        F.first("sketch").alias("sketch"), F.first("parity").alias("parity"))
+        .select("digest", F.monotonically_increasing_id().alias("rep"), "shown.doc_id", "shown.text_hash",
+                "n", "bands", "sketch", "parity"), "classes")
     member = classes.select("rep", F.posexplode("bands").alias("band", "key")) \
         .select("rep", F.xxhash64("band", "key").alias("bucket"))
     shared = member.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
@@ -413,14 +418,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     first = written(proposed(buckets.withColumn("comp", F.col("rep")), STAR), "pairs")
     ends = first.select(F.explode(F.array("a", "b")).alias("rep")) \
         .unionByName(buckets.filter(F.col("m") > CHUNK).select("rep")).distinct()
-    wanted = classes.select("rep", "digest").join(ends, "rep").select(F.col("rep").alias("doc_id"), "digest")
-    sets = written(base.join(wanted.select("doc_id").distinct(), "doc_id").select("doc_id", "text")
-                   .mapInArrow(_full_sets(width), SETS_DDL).join(wanted, ["doc_id", "digest"], "left_semi")
-                   .dropDuplicates(["doc_id", "digest"]).select("doc_id", "shingles"), "sets")
+    wanted = classes.select("rep", F.col("doc_id").alias("id"), F.col("text_hash").alias("h")).join(ends, "rep")
+    sets = written(base.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("h")))
+                   .select("rep", "text").mapInArrow(_full_sets(width), SETS_DDL).dropDuplicates(["rep"]), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a") \
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b") \
+        both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a") \
+            .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b") \
             .select("a", "b", "sa", "sb")
         return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean")
 
@@ -433,8 +437,10 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     pairs = proposed(named.join(apart, "bucket", "left_semi"), ALL).join(tested.select("a", "b"), ["a", "b"], "left_anti")
     tested = tested.unionByName(written(confirmed(pairs), "tested"))
     parts = components(tested.filter("linked").select("a", "b"))
-    of_class = classes.join(parts, classes["rep"] == parts["node"], "left") \
-        .select("digest", F.coalesce("component", "rep").alias("component"))
+    part = classes.select("digest", "rep", "doc_id").join(parts, F.col("rep") == F.col("node"), "left") \
+        .select("digest", F.coalesce("component", "rep").alias("part"), "doc_id")
+    names = part.groupBy("part").agg(F.min("doc_id").alias("component"))
+    of_class = part.join(names, "part").select("digest", "component")
     out = every.join(of_class, "digest", "left") \
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        .select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

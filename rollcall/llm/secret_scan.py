@@ -1,17 +1,23 @@
 """Secret scan: probabilistic automata inferred from labelled credentials.
 
-One pass over the texts finds, per document, the base matches (fixed patterns)
-and every other candidate token. From a bounded sample of the labelled
+A first pass over the texts finds the base matches (fixed patterns) and one
+ordinary token of each document. From a bounded sample of the labelled
 credentials (the base matches, or a table the caller gives) a prefix tree per
 kind is folded into a probabilistic automaton: states are merged while their
-outgoing frequencies agree within a Hoeffding bound. Every candidate is then
-scored by the automata; one that is as likely as the held-out credentials of a
-kind, and likelier than under the automaton of ordinary long words, is added
-as a span.
+outgoing frequencies agree within a Hoeffding bound. The ordinary tokens give
+one more automaton, for contrast. A second pass scores every other token of
+each whole text that is at least as long as the shortest labelled credential,
+by all of its symbols. It is added as a span if it is as likely as the held-out
+credentials of a kind, and if the odds are for a credential: the ratio of the
+two likelihoods against how rare credentials are among the tokens of all documents.
+
+What an assignment shows to be a credential (the value, without the words
+before it) is thus found where it stands bare. A token that a document repeats is a span
+at each place.
 
 Defined cases: a null text is empty and has no spans; rows with equal ids are
 separate rows; an empty table gives an empty result; without any labelled
-credential nothing is added; extra columns are ignored.
+credential nothing is added; labels that are null or empty teach nothing; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,22 +44,21 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-DIGIT = re.compile(r"[0-9]")
-LETTER = re.compile(r"[A-Za-z]")
-LONG_WORD = re.compile(r"[A-Za-z]{12,}")
+# a token: no mark of punctuation that may end a sentence at its ends
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_.=-]*[A-Za-z0-9+/_=-])?")
 
+SHORTEST = 6          # symbols of a credential; labelled ones that are longer raise it
 SAMPLE = 600          # labelled credentials per kind that an automaton is fitted on
-MAX_VALUE = 96        # symbols of a credential that enter the prefix tree
+CONTRAST = 6000       # ordinary tokens that the contrast automaton is fitted on
+LEARNT = 1024         # labelled values with more symbols don't teach; candidates of any length are scored whole
 ALPHA = 0.05
 FLOOR = 1e-4
 QUANTILE = 0.02       # share of held-out credentials that may fall below a threshold
+ODDS = 99.0           # for a credential, that a span needs
+KNOWN = 200_000       # decisions on tokens that a worker remembers
 
-FOUND = pa.schema([("text_hash", pa.int64()), ("doc_id", pa.int64()),
-                   ("kinds", pa.list_(pa.string())), ("starts", pa.list_(pa.int32())),
-                   ("ends", pa.list_(pa.int32())), ("values", pa.list_(pa.string()))])
-FOUND_DDL = ("text_hash long, doc_id long, kinds array<string>, starts array<int>, ends array<int>, "
-             "values array<string>")
+LABELS_DDL = "kind string, value string, n long, h long"
+LABELS = pa.schema([("kind", pa.string()), ("value", pa.string()), ("n", pa.int64()), ("h", pa.int64())])
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -66,39 +72,37 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return out + [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
 
 
-def candidate_spans(text: str, taken: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
-    """Long tokens with a digit and a letter that no base span covers."""
-    if not DIGIT.search(text):
-        return []
-    ends = [(s, e) for _, s, e, _ in taken]
-    out = []
-    for m in CANDIDATE.finditer(text):
-        v = m[0]
-        if DIGIT.search(v) and LETTER.search(v) and not any(s < m.end() and m.start() < e for s, e in ends):
-            out.append((ADDED, m.start(), m.end(), v))
-    return out
+def apart(spans: Iterator[re.Match], taken: list[tuple[int, int]]) -> Iterator[re.Match]:
+    """Matches, in order, that touch no span of ``taken``; one walk along both."""
+    taken = sorted(taken)
+    i, reach = 0, 0                       # the furthest end of what begins before the match ends
+    for m in spans:
+        while i < len(taken) and taken[i][0] < m.end():
+            reach = max(reach, taken[i][1])
+            i += 1
+        if reach <= m.start():
+            yield m
 
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Credentials of base matches; of each text one ordinary token and, beside it, how many there are."""
     for batch in batches:
-        rows = ([], [], [], [], [], [])
-        for row, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            text = text or ""
-            spans = base_spans(text)
-            spans += candidate_spans(text, spans)
-            word = LONG_WORD.search(text)
-            if word:                      # one ordinary long word a document, for the contrast automaton
-                spans.append((PLAIN, word.start(), word.end(), word[0]))
-            for out, v in zip(rows, (row, doc_id, [s[0] for s in spans], [s[1] for s in spans],
-                                     [s[2] for s in spans], [s[3] for s in spans])):
-                out.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(r, t.type) for r, t in zip(rows, FOUND)], schema=FOUND)
+        rows = []
+        for text in batch.column(0).to_pylist():
+            spans = base_spans(text or "")
+            rows += [(k, v, 1, 0) for k, _, _, v in spans]
+            tokens = [m[0] for m in apart(TOKEN.finditer(text or ""), [s[1:3] for s in spans]) if m.end() - m.start() >= SHORTEST]
+            if tokens:
+                h = zlib.crc32(text.encode("utf-8", "replace"))
+                rows.append((PLAIN, tokens[h % len(tokens)], len(tokens), h))
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows) if rows else ((),) * 4, LABELS)],
+                                         schema=LABELS)
 
 
 def symbols(value: str) -> str:
     """Character classes: hex and other letters apart, by case; digits; the rest as they are."""
     return "".join("9" if c.isdigit() else "f" if "a" <= c <= "f" else "z" if "g" <= c <= "z"
-                   else "F" if "A" <= c <= "F" else "Z" if "G" <= c <= "Z" else c for c in value[:MAX_VALUE])
+                   else "F" if "A" <= c <= "F" else "Z" if "G" <= c <= "Z" else c for c in value)
 
 
 class Automaton:
@@ -176,8 +180,12 @@ class Automaton:
 
     def score(self, value: str) -> float:
         """Mean log-likelihood of a symbol, the end counted as one."""
-        at, total, text = 0, 0.0, symbols(value)
-        for c in text:
+        return self.total(value) / (len(value) + 1)
+
+    def total(self, value: str) -> float:
+        """Log-likelihood of the whole value."""
+        at, total = 0, 0.0
+        for c in symbols(value):
             if at is None:
                 total += math.log(FLOOR)
                 continue
@@ -186,24 +194,24 @@ class Automaton:
             total += math.log(max(FLOOR, n / (visits + 1)))
             at = nxt
         end = FLOOR if at is None else max(FLOOR, self.states[at][1] / (self.states[at][0] + 1))
-        return (total + math.log(end)) / (len(text) + 1)
+        return total + math.log(end)
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
-    """{kind: (automaton states, threshold)} from (kind, value) rows.
+def fit(labelled: DataFrame, sample: int = SAMPLE, contrast: int = CONTRAST) -> dict:
+    """{kind: (automaton states, threshold)} from (kind, value) rows, those of ordinary tokens included.
 
-    At most ``sample`` distinct values a kind take part, the ones with the
-    smallest hash: ``sample`` and ``MAX_VALUE`` bound what one task and the
-    driver hold. Every fourth value calibrates, the others train.
+    At most ``sample`` distinct values a kind take part, the ones with the smallest hash, and
+    ``contrast`` ordinary tokens, as often as they occur: with ``LEARNT`` these bound what one
+    task and the driver hold. Every fourth value calibrates, the others train.
     """
-    kinds = (*BASE_KINDS, PLAIN)
-    few = None
-    for k in kinds:
-        part = (labelled.filter(F.col("kind") == k).dropDuplicates(["kind", "value"])
-                .orderBy(F.xxhash64("value"), "value").limit(sample))
-        few = part if few is None else few.unionByName(part)
+    short = labelled.filter((F.col("value") != "") & (F.length("value") <= LEARNT))
+    few = short.filter(F.col("kind") == PLAIN).orderBy(F.xxhash64("value", "h"), "value").limit(contrast) \
+        .select("kind", "value")
+    for k in BASE_KINDS:
+        few = few.unionByName(short.filter(F.col("kind") == k).select("kind", "value").distinct()
+                              .orderBy(F.xxhash64("value"), "value").limit(sample))
     values: dict[str, list[str]] = {}
-    for r in few.select("kind", F.substring("value", 1, MAX_VALUE).alias("value")).collect():
+    for r in few.collect():
         values.setdefault(r.kind, []).append(r.value)
     out = {}
     for kind, vs in values.items():
@@ -215,27 +223,56 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
     return out
 
 
-def _decide(model: dict):
-    autos = {k: (Automaton(s), t) for k, (s, t) in model.items()}
-    plain = autos.pop(PLAIN, (None, 0.0))[0]
-
-    def added(value: str) -> bool:
-        for a, least in autos.values():
-            s = a.score(value)
-            if s >= least and (plain is None or s > plain.score(value)):
-                return True
+class Judge:
+    """Whether a token is a credential by the automata; decisions are remembered."""
+
+    def __init__(self, model: dict, prior: float):
+        autos = {k: (Automaton(s), t) for k, (s, t) in model.items()}
+        self.plain = autos.pop(PLAIN, (None, 0.0))[0]
+        self.autos = list(autos.values())
+        self.bar = math.log(ODDS) - math.log(prior)
+        self.known: dict[str, bool] = {}
+
+    def __call__(self, value: str) -> bool:
+        got = self.known.get(value)
+        if got is None:
+            if len(self.known) >= KNOWN:
+                self.known.clear()
+            got = self.decide(value)
+            if len(value) <= 64:
+                self.known[value] = got
+        return got
+
+    def decide(self, value: str) -> bool:
+        usual = None
+        for a, least in self.autos:
+            t = a.total(value)
+            if t >= least * (len(value) + 1):
+                if usual is None:
+                    usual = self.plain.total(value) if self.plain else (len(value) + 1) * math.log(FLOOR)
+                if t - usual >= self.bar:
+                    return True
         return False
 
+
+def _decide(model: dict, shortest: int, prior: float):
     out_schema = pa.schema([("text_hash", pa.int64()), ("doc_id", pa.int64()), *[(f"n_{k}", pa.int64()) for k in BASE_KINDS],
                             ("base_sha256", pa.string()), ("spans", pa.string()), ("n_added", pa.int64())])
     order = {k: i for i, k in enumerate((*BASE_KINDS, ADDED))}
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(model, prior)
         for batch in batches:
             rows = []
-            for row, doc_id, kinds, starts, ends, values in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                spans = sorted((s, order[k], k, e) for k, s, e, v in zip(kinds, starts, ends, values)
-                               if k in BASE_KINDS or k == ADDED and added(v))
+            for row, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                text = text or ""
+                found = base_spans(text)
+                # the tokens of a text are judged once each; only one that is added has its places looked up
+                new = {v for v in set(TOKEN.findall(text)) if len(v) >= shortest and judge(v)} if judge.autos else ()
+                if new:
+                    found = found + [(ADDED, m.start(), m.end(), m[0])
+                                     for m in apart(TOKEN.finditer(text), [s[1:3] for s in found]) if m[0] in new]
+                spans = sorted((s, order[k], k, e) for k, s, e, _ in found)
                 base = ",".join(f"{k}:{s}:{e}" for s, _, k, e in spans if k != ADDED)
                 every = ",".join(f"{k}:{s}:{e}" for s, _, k, e in spans)
                 n = [sum(x[2] == k for x in spans) for k in (*BASE_KINDS, ADDED)]
@@ -250,21 +287,24 @@ def secret_scan(docs: DataFrame, credentials: DataFrame | None = None, sample: i
     """Every secret of every whole text: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_added, text_hash.
 
     ``credentials`` (kind, value) may label the credentials to learn from; else
-    the base matches of ``docs`` do. The texts are read once; what was found is
-    kept in a written table, which is small beside them.
+    the base matches of ``docs`` do. The texts are read twice and not moved; what
+    the first pass found is a written table, which is small beside them.
     """
     ship_code(docs.sparkSession)
     rows = pick(docs, "doc_id", "text").select(F.xxhash64("text").alias("text_hash"), F.col("doc_id").cast("long"),
                                                F.col("text").cast("string"))
-    found = written(rows.mapInArrow(_find, FOUND_DDL), "secrets")
-    each = found.select(F.explode(F.arrays_zip("kinds", "values")).alias("x")) \
-        .select(F.col("x.kinds").alias("kind"), F.col("x.values").alias("value"))
-    labels = each.filter(F.col("kind") != ADDED)
+    labels = written(rows.select("text").mapInArrow(_label, LABELS_DDL), "secrets")
     if credentials is not None:
-        labels = labels.filter(F.col("kind") == PLAIN).unionByName(pick(credentials, "kind", "value"))
-    model = fit(labels.filter(F.col("value").isNotNull()), sample)
-    return found.mapInArrow(_decide(model), "text_hash long, doc_id long, n_assign long, n_access long, n_hex long, "
-                            "base_sha256 string, spans string, n_added long").drop("row")
+        given = pick(credentials, "kind", "value").filter(F.col("value") != "").withColumns({"n": F.lit(1).cast("long"), "h": F.lit(0).cast("long")})
+        labels = labels.filter(F.col("kind") == PLAIN).unionByName(given)
+    model = fit(labels, sample)
+    plain = F.col("kind") == PLAIN
+    tokens, known, least = labels.agg(F.sum(F.when(plain, F.col("n"))), F.count_if(~plain), F.min(F.when(~plain, F.length("value")))).first()
+    # how many tokens there are for each credential that an assignment or a fixed form shows
+    prior = min(0.5, (known or 1) / max(tokens or 0, known or 0, 1))
+    return rows.mapInArrow(_decide(model, max(SHORTEST, least or 0), prior),
+                           "text_hash long, doc_id long, n_assign long, n_access long, n_hex long, "
+                           "base_sha256 string, spans string, n_added long")
 
 
 def redacted(text: Column, spans: Column) -> Column:
