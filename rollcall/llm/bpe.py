@@ -33,11 +33,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from rollcall.llm.store import pick, ship_code
+from rollcall.llm.store import pick, release, releasing, ship_code
 
 WORD_END = "</w>"
-KNOWN_WORDS = 300_000         # word types that a worker remembers before it starts anew
-SLICE_CHARS = 1_000_000       # texts are taken in slices of about this many code points
+KNOWN_WORDS = 100_000         # word types that a worker remembers before it starts anew
+SLICE_CHARS = 250_000       # texts are taken in slices of about this many code points
 
 
 def byte_symbols() -> list[str]:
@@ -277,6 +277,7 @@ def loaded(spec: bytes) -> WordBPE:
     key = hashlib.sha256(spec).digest()
     if key not in _loaded:
         _loaded[key] = WordBPE(spec.decode("utf-8"))
+        release()               # what the tables were built from
     return _loaded[key]
 
 
@@ -320,4 +321,4 @@ def bpe_encode(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
-    return pick(docs, "doc_id", "text").mapInArrow(run, ddl)
+    return pick(docs, "doc_id", "text").mapInArrow(releasing(run), ddl)

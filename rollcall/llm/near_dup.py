@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import pick, ship_code, written
+from rollcall.llm.store import pick, releasing, ship_code, written
 
 SAMPLES = 120
 SKETCH_BITS = 512
@@ -392,7 +392,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     rows, limit = band_rows(percent / 100), sketch_limit(percent / 100)
     base = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"),
                                                F.col("text").cast("string"))
-    every = written(base.mapInArrow(_sketcher(width, rows), SKETCHED_DDL), "sketched")
+    every = written(base.mapInArrow(releasing(_sketcher(width, rows)), SKETCHED_DDL), "sketched")
     shown = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash"))
     # the numbers hold because the table is written: what reads it never counts again
     classes = written(every.filter(F.col("digest").isNotNull()).groupBy("digest").agg(
@@ -413,20 +413,20 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
         cells = members.withColumn("x", chunk).withColumn("y", other).withColumn(
             "cell", F.xxhash64("bucket", F.least("x", "y"), F.greatest("x", "y")))
         return cells.select("cell", "rep", "comp", "n", "sketch", "parity").repartition("cell").sortWithinPartitions("cell") \
-            .mapInArrow(_proposer(percent, limit, mode), "a long, b long").distinct()
+            .mapInArrow(releasing(_proposer(percent, limit, mode)), "a long, b long").distinct()
 
     first = written(proposed(buckets.withColumn("comp", F.col("rep")), STAR), "pairs")
     ends = first.select(F.explode(F.array("a", "b")).alias("rep")) \
         .unionByName(buckets.filter(F.col("m") > CHUNK).select("rep")).distinct()
     wanted = classes.select("rep", F.col("doc_id").alias("id"), F.col("text_hash").alias("h")).join(ends, "rep")
     sets = written(base.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("h")))
-                   .select("rep", "text").mapInArrow(_full_sets(width), SETS_DDL).dropDuplicates(["rep"]), "sets")
+                   .select("rep", "text").mapInArrow(releasing(_full_sets(width)), SETS_DDL).dropDuplicates(["rep"]), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a") \
             .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b") \
             .select("a", "b", "sa", "sb")
-        return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean")
+        return both.mapInArrow(releasing(_confirm(percent)), "a long, b long, linked boolean")
 
     tested = written(confirmed(first), "tested")
     stars = star_labels(tested.filter("linked").select("a", "b"))

@@ -40,11 +40,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import fresh_path, pick, ship_code, written
+from rollcall.llm.store import fresh_path, pick, release, releasing, ship_code, written
 
 ORDER = 5                 # spans words, so that repeated ordinary words don't look like text
 BLOCK_CHARS = 40_000_000  # the larger the blocks, the fewer types they have together
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 250_000
 BATCH_CHARS = 4_000_000   # texts of a block that are compressed together, and unpacked together
 START = "\x02"
 LEVEL = 6                 # of the packed texts: they are written once and moved once
@@ -194,6 +194,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if block.chars >= BLOCK_CHARS:
                 yield block.packed(f"{part}-{seq}")
                 seq, block = seq + 1, Block()
+                release()
     if block.chars:
         yield block.packed(f"{part}-{seq}")
 
@@ -222,6 +223,8 @@ def _score(packed: pa.Table, answers: pa.Table) -> pa.Table:
         parts.append(pa.table([docs.column("doc_id"), docs.column("lang"), pa.array([len(t) for t in texts], pa.int64()),
                                pa.array(total, pa.float64(), mask=np.full(len(texts), not len(logs))),
                                docs.column("text_hash")], schema=SCORED))
+    del types, logs
+    release()
     return pa.concat_tables(parts) if parts else SCORED.empty_table()
 
 
@@ -306,7 +309,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTIL
         F.xxhash64("text").alias("text_hash"))
     packed = by_block(base.join(few, F.col("doc_id") == F.col("id"), "left")
                       .select("doc_id", "lang", "text", "text_hash", F.coalesce("train", F.lit(False)).alias("train"))
-                      .mapInArrow(_pack, BLOCK_DDL))
+                      .mapInArrow(releasing(_pack), BLOCK_DDL))
     grams = packed.select("block", F.explode("grams").alias("g")).select("block", "g.gram", "g.n")
     types = written(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     logs = written(log_probabilities(types.select("gram"), types.filter("n > 0"), ORDER), "log-probabilities")

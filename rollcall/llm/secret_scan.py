@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import pick, ship_code, written
+from rollcall.llm.store import pick, releasing, ship_code, written
 
 BASE_KINDS = ("assign", "access", "hex")
 ADDED = "format"
@@ -293,7 +293,7 @@ def secret_scan(docs: DataFrame, credentials: DataFrame | None = None, sample: i
     ship_code(docs.sparkSession)
     rows = pick(docs, "doc_id", "text").select(F.xxhash64("text").alias("text_hash"), F.col("doc_id").cast("long"),
                                                F.col("text").cast("string"))
-    labels = written(rows.select("text").mapInArrow(_label, LABELS_DDL), "secrets")
+    labels = written(rows.select("text").mapInArrow(releasing(_label), LABELS_DDL), "secrets")
     if credentials is not None:
         given = pick(credentials, "kind", "value").filter(F.col("value") != "").withColumns({"n": F.lit(1).cast("long"), "h": F.lit(0).cast("long")})
         labels = labels.filter(F.col("kind") == PLAIN).unionByName(given)
@@ -302,7 +302,7 @@ def secret_scan(docs: DataFrame, credentials: DataFrame | None = None, sample: i
     tokens, known, least = labels.agg(F.sum(F.when(plain, F.col("n"))), F.count_if(~plain), F.min(F.when(~plain, F.length("value")))).first()
     # how many tokens there are for each credential that an assignment or a fixed form shows
     prior = min(0.5, (known or 1) / max(tokens or 0, known or 0, 1))
-    return rows.mapInArrow(_decide(model, max(SHORTEST, least or 0), prior),
+    return rows.mapInArrow(releasing(_decide(model, max(SHORTEST, least or 0), prior)),
                            "text_hash long, doc_id long, n_assign long, n_access long, n_hex long, "
                            "base_sha256 string, spans string, n_added long")
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +75,23 @@ def ship_code(spark: SparkSession) -> None:
     sc._rollcall_llm_shipped = True
 
 
+def release() -> None:
+    """Give free memory of this process back to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def releasing(run):
+    """``run`` for ``mapInArrow``, after whose last batch free memory goes back: workers live on and serve other stages."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+    return whole
+
+
 def parts_for(total: int, per_part: int) -> int:
     """How many parts of about ``per_part`` units hold ``total`` units."""
     return max(1, -(-int(total or 0) // per_part))
