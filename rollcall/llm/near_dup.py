@@ -346,16 +346,6 @@ def _confirm(percent: int):
     return run
 
 
-def star_labels(edges: DataFrame) -> DataFrame:
-    """(node, label): equal labels are connected; the members of a star all get its smallest node.
-
-    Two steps of taking the smallest neighbour, for what needs no full components.
-    """
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    near = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("m"))
-    return both.join(near, "v").groupBy("u").agg(F.min("m").alias("label")).withColumnRenamed("u", "node")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of ``edges`` (a, b).
 
@@ -429,7 +419,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
         return both.mapInArrow(releasing(_confirm(percent)), "a long, b long, linked boolean")
 
     tested = written(confirmed(first), "tested")
-    stars = star_labels(tested.filter("linked").select("a", "b"))
+    stars = components(tested.filter("linked").select("a", "b")).withColumnRenamed("component", "label")
     named = buckets.join(stars, buckets["rep"] == stars["node"], "left") \
         .withColumn("comp", F.coalesce("label", "rep")).drop("node", "label")
     # buckets whose members are all connected need no second look
