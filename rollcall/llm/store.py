@@ -1,4 +1,4 @@
-"""Shared helpers of the operators: the shared folder, written tables, code shipping."""
+"""Shared helpers of the operators: the shared folder, written tables, cogroups, code shipping."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 
 ARROW_ROWS = 1000
@@ -97,6 +98,16 @@ def parts_for(total: int, per_part: int) -> int:
     return max(1, -(-int(total or 0) // per_part))
 
 
+def cogrouped(left: DataFrame, right: DataFrame, *by: str) -> PandasCogroupedOps:
+    """Both sides grouped by the columns ``by`` of either, whole numbers.
+
+    Spark hashes an int and a long of the same value apart and casts no keys of
+    a cogroup, so a group's two sides would go to different tasks: all are long.
+    """
+    sides = (df.withColumns({c: F.col(c).cast("long") for c in by}).groupBy(*by) for df in (left, right))
+    return next(sides).cogroup(next(sides))
+
+
 def pick(df: DataFrame, *cols: str) -> DataFrame:
     """The named columns only, so that extra columns never reach an operator."""
     return df.select(*[F.col(f"`{c}`") for c in cols])
