@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import parts_for, pick, ship_code, written
+from rollcall.llm.store import cogrouped, parts_for, pick, ship_code, written
 
 SHARD = 8192            # documents of a cell
 POSTINGS = 2_000_000    # postings of a cell
@@ -231,7 +231,7 @@ def lexical_search(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     def search(vectors: pa.Table, items: pa.Table) -> pa.Table:
         return search_cell(vectors, items, k, n, length, Counter())
 
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(search, OUT_DDL)
+    found = cogrouped(left, right, "shard", "block").applyInArrow(search, OUT_DDL)
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.join(asked.select("item", "item_id"), "item").select(

@@ -1,11 +1,14 @@
 """The grids of the searches where every cell is a task of its own, as on large tables."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.llm import topk
+from rollcall.llm import lemp, topk
 from rollcall.llm.topk import maxscore_topk
+from tests.llm.test_search_and_licenses import prose, ranked, searched
 
 
 @pytest.fixture()
@@ -65,3 +68,12 @@ def test_topk_where_bounds_exceed_64_bits(spark):
     got = sorted(map(tuple, maxscore_topk(df, F.col("vec_id") == 0, k=20, scale=1).collect()))
     want = sorted((-s, i) for i, s in enumerate(exact) if i != 0)[:20]
     assert got == [(0, r, i, -s) for r, (s, i) in enumerate(want, 1)]
+
+
+def test_search_of_many_cells(apart, monkeypatch):
+    for name, value in (("SHARD", 60), ("ITEM_TERMS", 40)):
+        monkeypatch.setattr(lemp, name, value)
+    rng = random.Random(4)
+    docs = [(i, prose(rng, rng.choice((3, 20, 90)))) for i in range(300)]
+    items = [(i, prose(rng, 12)) for i in range(15)]
+    assert searched(apart, docs, items) == ranked(docs, items) != []
