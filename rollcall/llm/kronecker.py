@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import parts_for, pick, ship_code, written
+from rollcall.llm.store import cogrouped, parts_for, pick, ship_code, written
 from rollcall.llm.topk import matrix, quantised
 
 SHARD = 2048            # rows of a cell
@@ -187,8 +187,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column, positiv
     left = side(left, "label", "shard", "block", "id", "row", "v")
     right = sized.filter("is_anchor").withColumn("block", F.pmod(key, "blocks")).withColumn("shard", cell(F.col("shards")))
     right = side(right, "label", "shard", "block", "row", "v")
-    by = ("label", "shard", "block")
-    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(
+    found = cogrouped(left, right, "label", "shard", "block").applyInArrow(
         lambda r, a: positives_in(r, a, width, positives), POSITIVE_DDL)
     order = Window.partitionBy("anchor").orderBy(F.desc("score"), "positive_id", "row")
     found = found.withColumn("place", F.row_number().over(order).cast("long")).filter(F.col("place") <= positives)
@@ -201,7 +200,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column, positiv
     left = side(left, "shard", "block", "id", "row", "label", "v")
     right = anchors.withColumn("block", F.pmod(key, F.lit(blocks))).withColumn("shard", cell(shards))
     right = side(right, "shard", "block", "row", "label", "v", "positives")
-    hard = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(
+    hard = cogrouped(left, right, "shard", "block").applyInArrow(
         lambda r, a: negatives_in(r, a, width, negatives, least, most), NEGATIVE_DDL)
     order = Window.partitionBy("anchor", "place").orderBy(F.desc("score"), "negative_id", "row")
     hard = hard.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= negatives) \

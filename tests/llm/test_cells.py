@@ -6,9 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.llm import lemp, topk
+from rollcall.llm import kronecker, lemp, topk
 from rollcall.llm.topk import maxscore_topk
-from tests.llm.test_search_and_licenses import prose, ranked, searched
+from tests.llm.test_search_and_licenses import mined, negatives, prose, ranked, searched
 
 
 @pytest.fixture()
@@ -77,3 +77,12 @@ def test_search_of_many_cells(apart, monkeypatch):
     docs = [(i, prose(rng, rng.choice((3, 20, 90)))) for i in range(300)]
     items = [(i, prose(rng, 12)) for i in range(15)]
     assert searched(apart, docs, items) == ranked(docs, items) != []
+
+
+def test_negatives_of_many_cells(apart, monkeypatch):
+    monkeypatch.setattr(kronecker, "SHARD", 37)
+    monkeypatch.setattr(kronecker, "ANCHORS", 2)
+    rng = np.random.RandomState(3)
+    rows = [(20 * i, [float(x) for x in v], int(rng.choice(3))) for i, v in enumerate(np.round(rng.normal(0.1, 0.2, (200, 6)), 3))]
+    want = mined([(i, [float(np.float32(x)) for x in v], b) for i, v, b in rows])
+    assert negatives(apart, rows) == want and len(want) > 30
