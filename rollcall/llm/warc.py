@@ -5,8 +5,8 @@ the dictionary, then every record as a Zstandard frame of its own, compressed
 with that dictionary. Between frames stands an empty skippable frame, which
 any Zstandard reader passes over: it is the line separator of Spark's text
 writer, so archives are written through Spark's committed output to whatever
-file system the folder is on, one file a partition, and a lost task leaves no
-half archive behind. They are read back with the binary file reader.
+file system the folder is on, one file a partition (small ones are merged), and
+a lost task leaves no half archive behind. They are read back with the binary file reader.
 
 Equal payloads of at least ``REVISIT_BYTES`` are stored once: the record of the
 largest page_id is the response, the others are revisits that name it. The
@@ -29,13 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.store import fresh_path, pick, ship_code
+from rollcall.llm.store import fresh_path, parts_for, pick, ship_code
 
 REVISIT_BYTES = 1000
 DICT_BYTES = 64 * 1024        # size of the dictionary
 DICT_RECORDS = 500            # records that it is built from, by hash of the payload
 DICT_RECORD_BYTES = 32 * 1024  # larger records don't take part: they need no dictionary
 LEVEL = 3
+ARCHIVE_BYTES = 4 << 20       # payload of an archive, on average, where there are partitions to merge
 DICT_FRAME = 0x184D2A5D       # fixed values of the formats
 EMPTY_FRAME = b"P*M\x18\x00\x00\x00\x00"
 SKIPPABLE = range(0x184D2A50, 0x184D2A60)
@@ -153,9 +154,14 @@ def with_targets(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, least: int = REVISIT_BYTES) -> None:
-    """Archive every row of ``pages`` under ``path``, a file per partition."""
+    """Archive every row of ``pages`` under ``path``, a file per partition.
+
+    Partitions of less than ARCHIVE_BYTES are merged: each file holds the dictionary, and opening, closing
+    and committing it costs a task more than a little payload does.
+    """
     ship_code(pages.sparkSession)
-    every = with_targets(pages, least)
+    total = pick(pages, "html").agg(F.sum(F.octet_length(F.col("html").cast("string")))).first()[0]
+    every = with_targets(pages, least).coalesce(parts_for(total, ARCHIVE_BYTES))
     # only small records matter to the dictionary, so revisits need not be told apart here
     plain = pick(pages, "page_id", "url", "html").select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),

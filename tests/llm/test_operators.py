@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -129,6 +130,27 @@ def test_warc_layout(spark):
     assert back and all(want[i] == v for i, v in back.items())
 
 
+def test_warc_small_partitions_share_an_archive(spark):
+    path = shared_dir(spark) + "/warc-small-" + str(random.random())
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    df = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i % 150} " + "some words of a page " * 60) for i in range(200)],
+                               "page_id long, url string, html string").repartition(40)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        write_archives(df, path)
+        write_archives(df.withColumn("html", F.repeat("html", 60)), path + "-large")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len([n for n in os.listdir(path) if n.startswith("part-")]) == 1
+    assert 4 <= len([n for n in os.listdir(path + "-large") if n.startswith("part-")]) <= 5       # 15 MB of payload
+    for p in (path, path + "-large"):
+        got = {r.page_id: r.refers_to for r in read_archives(spark, p).collect()}
+        assert got == {i: i + 150 if i < 50 else None for i in range(200)}
+
+
 def test_quality_keeps_trusted_text(spark):
     docs, marks = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     got = quality_scores(docs, marks).join(marks, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k"))
