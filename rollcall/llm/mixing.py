@@ -135,16 +135,18 @@ def rates(rated: DataFrame, weights: list[float], anchor: int | None = None, mos
     gram = free.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[a] * F.col("p")[b]), F.lit(0.0)) for a in k for b in k]).first()
     rows = [[gram[a * len(weights) + b] / total / (share[a] * share[b]) ** 0.5 for b in k] for a in k]
     step = 1 / (float(np.linalg.eigvalsh(np.array(rows)).max()) + MU)
-    pulls: list[list[float]] = []              # of each step, a factor for each posterior and the momentum
+    pulls: list[list[float]] = []              # of each step, a factor for each posterior, its momentum and the next one's
 
     def state() -> Column:
-        # (rate, rate before) after the steps so far: one loop over them, so the expression doesn't grow
-        begin = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("before"))
+        # (rate, rate before, momentum) after the steps so far: one loop over them, so the expression doesn't grow.
+        # What differs between steps is in the array alone: the code is compiled once, not again for each step
+        begin = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("before"), F.lit(0.0).alias("ahead"))
         if not pulls:
             return begin
         return F.aggregate(F.array(*[F.array(*map(F.lit, c)) for c in pulls]), begin, lambda s, c: F.struct(
             F.least(F.lit(most), F.greatest(F.lit(0.0), F.lit(1 - step * MU) * (s["r"] + c[len(weights)] * (s["r"] - s["before"]))
-                    + sum((c[d] * F.col("p")[d] for d in k), F.lit(step * MU)))).alias("r"), s["r"].alias("before")))
+                    + sum((c[d] * F.col("p")[d] for d in k), F.lit(step * MU)))).alias("r"), s["r"].alias("before"),
+            c[len(weights) + 1].alias("ahead")))
 
     def shares(sums: list[float]) -> list[float]:
         got = [h - f + g for h, f, g in zip(have, first, sums)]
@@ -152,15 +154,15 @@ def rates(rated: DataFrame, weights: list[float], anchor: int | None = None, mos
         return [g / whole for g in got]
 
     for t in range(STEPS + 1):
-        ahead = t / (t + 3)                    # momentum: the gradient is taken where the last two steps point
+        # momentum, t / (t + 3): the gradient is taken where the last two steps point
         at = free.withColumn("s", state()).select("n_tokens", "p", F.col("s.r").alias("r"), (
-            F.col("s.r") + ahead * (F.col("s.r") - F.col("s.before"))).alias("y"))
+            F.col("s.r") + F.col("s.ahead") * (F.col("s.r") - F.col("s.before"))).alias("y"))
         sums = at.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[d] * F.col(c)), F.lit(0.0)) for c in "ry" for d in k]).first()
         reached = shares(sums[:len(weights)])
         if t == STEPS or all(abs(g - w) <= CLOSE * w or h <= 0 for g, w, h in zip(reached, weights, have)):
             break
         pulls.append([-step * (g - w) / s if h > 0 else 0.0 for g, w, s, h in zip(
-            shares(sums[len(weights):]), weights, share, have)] + [ahead])
+            shares(sums[len(weights):]), weights, share, have)] + [t / (t + 3), (t + 1) / (t + 4)])
     return F.when(held, 1.0).otherwise(state()["r"]), reached
 
 

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from rollcall.llm import queries
-from rollcall.llm.mixing import chosen_ids, label_domains, mix
+from rollcall.llm.mixing import STEPS, chosen_ids, label_domains, mix, rates
 from rollcall.llm.store import table
 
 SF = "/root/testdata/sf0.01"
@@ -51,3 +51,14 @@ def test_a_target_out_of_reach_is_told(spark):
     reached = {r.domain: r.reached for r in got}
     # nothing is known of toxic, so it gets none; the others meet their targets all the same
     assert set(reached) == {"clean", "junk"} and abs(reached["clean"] - 0.5) < 0.005 and abs(reached["junk"] - 0.3) < 0.005
+
+
+def test_steps_compile_no_code_of_their_own(spark):
+    rows = [(10 + i % 7, [0.1 + 0.8 * (i % 5) / 4, 0.9 - 0.8 * (i % 5) / 4]) for i in range(200)]
+    rated = spark.createDataFrame(rows, "n_tokens long, p array<double>")
+    compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME()
+    before = compiled.getCount()
+    # out of reach, as no rate is above 1: all steps are taken
+    rate, reached = rates(rated, [0.05, 0.95], most=1.0)
+    assert compiled.getCount() - before < STEPS / 2
+    assert abs(reached[0] - 0.05) > 0.01 and all(0 <= r.r <= 1 for r in rated.select(rate.alias("r")).collect())

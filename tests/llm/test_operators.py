@@ -352,6 +352,20 @@ def test_components_of_long_chains(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
 
 
+def test_components_of_stars_take_no_step(spark):
+    folder = shared_dir(spark).removeprefix("file:")
+    stars = spark.createDataFrame([(1, 5), (6, 1), (2, 3), (3, 2)], "a long, b long")
+    before = set(os.listdir(folder))
+    assert {tuple(r) for r in components(stars).collect()} == {(1, 1), (5, 1), (6, 1), (2, 2), (3, 2)}
+    new = set(os.listdir(folder)) - before
+    assert not any("star" in n for n in new) and not any("_SUCCESS" in os.listdir(f"{folder}/{n}") for n in new)
+    # a node between two centres, a chain, a ring
+    for edges in ([(1, 3), (2, 3)], [(1, 2), (2, 3), (3, 4)], [(2, 1), (3, 2), (1, 3), (1, 1)]):
+        got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == {(x, 1) for e in edges for x in e}
+    assert components(stars.limit(0)).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
